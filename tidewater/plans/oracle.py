@@ -473,6 +473,25 @@ ORACLE: dict[str, str] = {
     "login_fail_alert": sql(
         strict(KIND_LOGIN, ["fail"] * 3, FAILS, LOGIN_COLS, " AND ts2 - ts < INTERVAL 2 DAY"), "login"
     ),
+    "login_fail_timer": sql(
+        """, o AS (SELECT user_id, ts, status = 'fail' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS rn
+                   FROM login),
+           fold AS (
+             SELECT user_id, rn, CASE WHEN bad THEN ts END AS f, CASE WHEN bad THEN ts END AS l,
+               CASE WHEN bad THEN 1 ELSE 0 END AS n, CAST(NULL AS TIMESTAMP) AS of, CAST(NULL AS TIMESTAMP) AS ol, 0 AS n_out
+             FROM o WHERE rn = 1
+             UNION ALL
+             SELECT o.user_id, o.rn,
+               CASE WHEN NOT bad THEN NULL WHEN f IS NULL OR o.ts > f + INTERVAL 3 DAY THEN o.ts ELSE f END,
+               CASE WHEN bad THEN o.ts END,
+               CASE WHEN NOT bad THEN 0 WHEN f IS NULL OR o.ts > f + INTERVAL 3 DAY THEN 1 ELSE n + 1 END,
+               f, l, CASE WHEN o.ts > f + INTERVAL 3 DAY THEN n ELSE 0 END
+             FROM fold JOIN o ON o.user_id = fold.user_id AND o.rn = fold.rn + 1),
+           tail AS (SELECT user_id, max(rn) AS rn FROM o GROUP BY 1)
+           SELECT user_id, of AS first_ts, ol AS last_ts, CAST(n_out AS BIGINT) AS times FROM fold WHERE n_out >= 3
+           UNION ALL SELECT user_id, f, l, CAST(n AS BIGINT) FROM fold JOIN tail USING (user_id, rn) WHERE n >= 3""",
+        "login",
+    ),
     "pattern_followed_by": sql(
         """, m AS (SELECT a.user_id, a.seq AS a_seq, a.ts, min(b.seq) AS b_seq, min(b.ts) AS b_ts FROM e a
              LEFT JOIN e b ON b.event_type = 'purchase' AND b.user_id = a.user_id AND b.seq > a.seq

@@ -93,13 +93,13 @@ def number_rows(
             *keys,
             CHUNK,
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(w).alias("_total"),
+            F.sum("_n").over(w).alias("_all_rows"),
         )
         d = chunks.withColumn(out, F.row_number().over(inner).cast("bigint"))
         d = _with_carry(d, carry, keys, hot, policy).withColumn(out, F.col(out) + F.col("_before"))
         if total:
-            d = d.withColumn(total, F.col("_total"))
-        return d.drop(CHUNK, "_before", "_total")
+            d = d.withColumn(total, F.col("_all_rows"))
+        return d.drop(CHUNK, "_before", "_all_rows")
 
     return _by_key(df, keys, order, policy, plain, cut)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater import schemas
 from tidewater.functions import aggregates, register, text, timeexpr
-from tidewater.operators import aggregate, basic, changelog, joins, late, patterns, reconcile, topn, windows
+from tidewater.operators import aggregate, basic, bursts, changelog, joins, late, patterns, reconcile, topn, windows
 from tidewater.plans.views import Views
 from tidewater.sinks import encode, files
 from tidewater.session import scratch_path
@@ -589,6 +589,12 @@ def login_fail_alert(v: Views) -> DataFrame:
     return _login_matches(v, "2 days")
 
 
+@query
+def login_fail_timer(v: Views) -> DataFrame:
+    failed = F.col("status") == "fail"
+    return bursts.failure_bursts(v.login, ["user_id"], ["ts", "seq"], "ts", failed, 3, "3 days")
+
+
 @query
 def pattern_followed_by(v: Views) -> DataFrame:
     kind = F.col("event_type")
