@@ -18,7 +18,7 @@ def spark():
         "local[8]",
         **{
             "spark.ui.enabled": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.autoBroadcastJoinThreshold": "10MB",
         },

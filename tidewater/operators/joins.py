@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.timeexpr import Duration, cell, duration_us, micros, spark_duration
+from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, spark_duration
 from tidewater.operators.windows import BOUNDS, assign_window, window_agg
 from tidewater.plans.ordered import nearest
 from tidewater.plans.skew import DEFAULT, SkewPolicy, bounded_broadcast, full_outer, skew_join
@@ -27,15 +27,20 @@ def window_join(
 ) -> DataFrame:
     """All pairs of rows with the same key in the same tumbling window."""
     if left.isStreaming or right.isStreaming:
-        w = spark_duration(size)
         on = ["_w", *keys]
-        joined = left.withColumn("_w", F.window(left_ts, w)).join(right.withColumn("_w", F.window(right_ts, w)), on)
+        joined = _framed_stream(left, left_ts, size).join(_framed_stream(right, right_ts, size), on)
         rest = [c for c in joined.columns if c != "_w"]
         return joined.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *rest)
     framed_right = assign_window(right, right_ts, size).drop("window_end")
     return skew_join(assign_window(left, left_ts, size), framed_right, [*keys, "window_start"], policy=policy)
 
 
+def _framed_stream(df: DataFrame, ts: str, size: Duration) -> DataFrame:
+    """Add the window as the only event-time column: a streaming join takes one per side."""
+    framed = df.withColumn("_w", F.window(ts, spark_duration(size)))
+    return framed.withColumn(ts, from_micros(micros(ts), df, ts))
+
+
 def window_cogroup(
     left: DataFrame,
     right: DataFrame,
@@ -60,6 +65,20 @@ def _max_rows_per_key(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
+def stream_interval(
+    right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str, lo: int, hi: int
+) -> tuple[DataFrame, Column]:
+    """The right side with renamed keys, and a join condition from which Spark derives how long to keep state."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = F.expr(
+        f"{right_ts} >= {left_ts} + INTERVAL '{lo / 1e6:.6f}' SECOND AND "
+        f"{right_ts} <= {left_ts} + INTERVAL '{hi / 1e6:.6f}' SECOND"
+    )
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_r_{k}"))
+    return r, on
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -80,12 +99,7 @@ def interval_join(
     lo, hi = duration_us(low), duration_us(high)
     cond = (micros(right_ts) - micros(left_ts)).between(lo, hi)
     if left.isStreaming or right.isStreaming:
-        r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-        on = F.expr(
-            f"{right_ts} >= {left_ts} + INTERVAL '{lo / 1e6}' SECOND AND {right_ts} <= {left_ts} + INTERVAL '{hi / 1e6}' SECOND"
-        )
-        for k in keys:
-            on = on & (F.col(k) == F.col(f"_r_{k}"))
+        r, on = stream_interval(right, keys, left_ts, right_ts, lo, hi)
         return left.join(r, on, "inner" if how == "inner" else "left_outer").drop(*[f"_r_{k}" for k in keys])
     biggest = max(_max_rows_per_key(left, keys), _max_rows_per_key(right, keys))
     if biggest <= min(SMALL_KEY_ROWS, policy.rows_per_task):

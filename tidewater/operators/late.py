@@ -48,11 +48,16 @@ def late_status(
     size: Duration,
     lateness: Duration = "0 seconds",
     slide: Duration | None = None,
+    newest_before_us: int | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """``on_time`` while one of the row's windows is open, ``late_allowed`` while one still takes corrections,
-    ``too_late`` after that: such rows form the late-data output."""
+    ``too_late`` after that: such rows form the late-data output. ``newest_before_us`` is the newest event time
+    of the rows that arrived before ``df``."""
     seen = _watermark_before(df, order, ts, delay, policy)
+    if newest_before_us is not None:
+        earlier = F.lit(newest_before_us - duration_us(delay))
+        seen = seen.withColumn("_wm", F.greatest(F.col("_wm"), earlier))
     end = last_window_end(ts, size, slide)
     status = (
         F.when(F.col("_wm").isNull() | (end > F.col("_wm")), F.lit(ON_TIME))

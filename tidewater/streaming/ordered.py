@@ -104,7 +104,9 @@ class OrderedProcessor(StatefulProcessor):
             due = self.deadline(state) if state is not None else None
 
     def _wake(self, rest: list[tuple], state, watermark: int) -> None:
-        due = [t for t in (rest[0][0] if rest else None, self.deadline(state) if state is not None else None) if t]
+        due = [rest[0][0]] if rest else []
+        if state is not None and (at := self.deadline(state)) is not None:
+            due.append(at)
         timer = -(-min(due) // 1000) if due else -1
         old = self._clock.get()
         if timer >= 0 and (old is None or old[1] != timer):
