@@ -101,7 +101,7 @@ JOINS = {
     "interval_wide": lambda a, b, p: joins.interval_join(a, b, ["user_id"], "l_ts", "r_ts", "0 hours", "9 days", policy=p),
     "interval_point": lambda a, b, p: joins.interval_join(a, b, ["user_id"], "l_ts", "r_ts", "1 hours", "1 hours", policy=p),
     "interval_left": lambda a, b, p: joins.interval_join(
-        a, b, ["user_id"], "l_ts", "r_ts", "-6 hours", "12 hours", "left", p
+        a, b, ["user_id"], "l_ts", "r_ts", "-6 hours", "12 hours", "left", None, p
     ),
     "history": lambda a, b, p: joins.history_join(a, b, ["user_id"], policy=p),
     "history_full": lambda a, b, p: joins.history_join(a, b, ["user_id"], "full", p),

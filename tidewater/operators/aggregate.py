@@ -12,7 +12,7 @@ from tidewater.functions.text import bitmap_slot
 from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, whole_div
 from tidewater.operators.windows import BOUNDS, assign_window, window_agg
 from tidewater.plans.ordered import number_rows
-from tidewater.plans.skew import DEFAULT, SkewPolicy, lookup
+from tidewater.plans.skew import DEFAULT, SkewPolicy
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -125,9 +125,7 @@ def keyed_state(
 ) -> DataFrame:
     """Per row, what keyed state holds after it: the list length, the count in the map, the reduced row (the
     first row's ``first_of`` with the newest time), and the formatted aggregate."""
-    numbered = number_rows(df, keys, order, "list_size", policy=policy)
-    first = df.groupBy(*keys).agg(F.min_by(first_of, F.struct(*order)).alias(f"first_{first_of}"))
-    out = lookup(numbered, first, keys, policy)
+    out = number_rows(df, keys, order, "list_size", first_of=first_of, policy=policy)
     return out.withColumn("map_count", F.col("list_size")).withColumn(
         "agg_result", F.concat(F.lit("result "), F.col("list_size").cast("string"))
     )

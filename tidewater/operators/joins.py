@@ -61,8 +61,14 @@ def window_cogroup(
     return a.join(b, [*BOUNDS, *keys], "full")
 
 
-def _max_rows_per_key(df: DataFrame, keys: Sequence[str]) -> int:
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def small_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], key_rows: int | None, policy: SkewPolicy
+) -> bool:
+    """Whether no key has many rows on either side; counted unless the bound is known."""
+    limit = min(SMALL_KEY_ROWS, policy.rows_per_task)
+    if key_rows is not None:
+        return key_rows <= limit
+    return all((d.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= limit for d in (left, right))
 
 
 def stream_interval(
@@ -88,11 +94,13 @@ def interval_join(
     low: Duration,
     high: Duration,
     how: str = "inner",
+    key_rows: int | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Pairs with the same key and ``left_ts + low <= right_ts <= left_ts + high``; ``how`` is inner or left.
 
-    Where keys are small this is an equi join with a range condition. Otherwise time is cut into buckets of the
+    ``key_rows`` is a known bound on the rows per key of both sides, such as 1 for unique keys; without it the
+    rows per key are counted. Where keys are small this is an equi join with a range condition. Otherwise time is cut into buckets of the
     interval's length and the right side is copied to the two or three buckets it can meet, which bounds the
     pairs that are compared; a bucket that is still hot is salted.
     """
@@ -101,8 +109,7 @@ def interval_join(
     if left.isStreaming or right.isStreaming:
         r, on = stream_interval(right, keys, left_ts, right_ts, lo, hi)
         return left.join(r, on, "inner" if how == "inner" else "left_outer").drop(*[f"_r_{k}" for k in keys])
-    biggest = max(_max_rows_per_key(left, keys), _max_rows_per_key(right, keys))
-    if biggest <= min(SMALL_KEY_ROWS, policy.rows_per_task):
+    if small_keys(left, right, keys, key_rows, policy):
         r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
         on = cond
         for k in keys:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.timeexpr import Duration, duration_us, micros
-from tidewater.operators.joins import SMALL_KEY_ROWS, _max_rows_per_key, interval_join, stream_interval
+from tidewater.operators.joins import SMALL_KEY_ROWS, interval_join, small_keys, stream_interval
 from tidewater.plans.skew import DEFAULT, SkewPolicy
 
 MATCHED, LEFT_ONLY, RIGHT_ONLY = "matched", "left_only", "right_only"
@@ -24,9 +24,11 @@ def reconcile(
     left_wait: Duration,
     right_wait: Duration,
     tags: tuple[str, str, str] = (MATCHED, LEFT_ONLY, RIGHT_ONLY),
+    key_rows: int | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Match on key while ``-right_wait <= right_ts - left_ts <= left_wait``; ``tag`` names the outcome.
+    ``key_rows`` is a known bound on the rows per key, as in :func:`interval_join`.
 
     Where keys are small this is one full outer join. A full outer join cannot split a hot key, so otherwise
     the matches come from a bucketed, salted left join and the unmatched right rows from its mirror image.
@@ -35,16 +37,16 @@ def reconcile(
     if left.isStreaming or right.isStreaming:
         r, on = stream_interval(right, keys, left_ts, right_ts, lo, hi)
         return _tagged(left.join(r, on, "full_outer"), left, right, keys, left_ts, right_ts, tags)
-    biggest = max(_max_rows_per_key(left, keys), _max_rows_per_key(right, keys))
-    if biggest <= min(SMALL_KEY_ROWS, policy.rows_per_task):
+    if small_keys(left, right, keys, key_rows, policy):
         r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
         on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
         on = on & (micros(right_ts) - micros(left_ts)).between(lo, hi)
         return _tagged(left.join(r, on, "full"), left, right, keys, left_ts, right_ts, tags)
     low, high = f"{lo} microseconds", f"{hi} microseconds"
-    found = interval_join(left, right, keys, left_ts, right_ts, low, high, "left", policy)
+    found = interval_join(left, right, keys, left_ts, right_ts, low, high, "left", SMALL_KEY_ROWS + 1, policy)
     back = interval_join(
-        right, left, keys, right_ts, left_ts, f"{-hi} microseconds", f"{-lo} microseconds", "left", policy
+        right, left, keys, right_ts, left_ts, f"{-hi} microseconds", f"{-lo} microseconds", "left",
+        SMALL_KEY_ROWS + 1, policy,
     )
     missing = back.filter(F.col(left_ts).isNull())
     return _tagged(found.unionByName(missing), left, right, [], left_ts, right_ts, tags)

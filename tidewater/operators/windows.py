@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, spark_duration
+from tidewater.plans.skew import DEFAULT, SkewPolicy, lookup
 
 BOUNDS = ("window_start", "window_end")
 
@@ -188,10 +189,12 @@ def keep_newest(
     return framed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def keep_last_span(df: DataFrame, keys: Sequence[str], ts: str, size: Duration, span: Duration) -> DataFrame:
+def keep_last_span(
+    df: DataFrame, keys: Sequence[str], ts: str, size: Duration, span: Duration, policy: SkewPolicy = DEFAULT
+) -> DataFrame:
     """Evict rows older than ``span`` before the newest row of their key and window."""
     framed = assign_window(df, ts, size)
     on = [*keys, *BOUNDS]
     newest = framed.groupBy(*on).agg(F.max(ts).alias("_newest"))
-    joined = framed.join(newest, on)
+    joined = lookup(framed, newest, on, policy)
     return joined.filter(micros("_newest") - micros(ts) <= F.lit(duration_us(span))).drop("_newest")

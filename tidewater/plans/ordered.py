@@ -75,18 +75,25 @@ def number_rows(
     order: Sequence[str],
     out: str = "rn",
     total: str | None = None,
+    first_of: str | None = None,
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """Exact 1-based position of each row inside its key, and the number of rows of the key as ``total``."""
+    """Exact 1-based position of each row inside its key; on demand the number of rows of the key as ``total``
+    and the value of column ``first_of`` in the key's first row as ``first_<column>``."""
+    first_out = f"first_{first_of}"
 
     def plain(d: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys)
-        d = d.withColumn(out, F.row_number().over(w.orderBy(*_order(order))).cast("bigint"))
+        by = w.orderBy(*_order(order))
+        d = d.withColumn(out, F.row_number().over(by).cast("bigint"))
+        if first_of:
+            d = d.withColumn(first_out, F.first(first_of).over(by.rowsBetween(Window.unboundedPreceding, 0)))
         return d.withColumn(total, F.count(F.lit(1)).over(w)) if total else d
 
     def cut(chunks: DataFrame, hot: HotKeys) -> DataFrame:
         inner = Window.partitionBy(*keys, CHUNK).orderBy(*_order(order))
-        sizes = chunks.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+        head = F.min_by(F.struct(first_of), F.struct(*order)) if first_of else F.lit(None)
+        sizes = chunks.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"), head.alias("_head"))
         w = Window.partitionBy(*keys)
         before = w.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carry = sizes.select(
@@ -94,12 +101,15 @@ def number_rows(
             CHUNK,
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
             F.sum("_n").over(w).alias("_all_rows"),
+            F.first("_head").over(w.orderBy(CHUNK)).alias("_head"),
         )
         d = chunks.withColumn(out, F.row_number().over(inner).cast("bigint"))
         d = _with_carry(d, carry, keys, hot, policy).withColumn(out, F.col(out) + F.col("_before"))
         if total:
             d = d.withColumn(total, F.col("_all_rows"))
-        return d.drop(CHUNK, "_before", "_all_rows")
+        if first_of:
+            d = d.withColumn(first_out, F.col(f"_head.{first_of}"))
+        return d.drop(CHUNK, "_before", "_all_rows", "_head")
 
     return _by_key(df, keys, order, policy, plain, cut)
 

@@ -239,7 +239,7 @@ def interval_join(v: Views) -> DataFrame:
 
 @query
 def pay_match_interval(v: Views) -> DataFrame:
-    return joins.interval_join(v.pay_log, v.receipt_log, ["tx_id"], "pay_ts", "receipt_ts", "-300 days", "500 days")
+    return joins.interval_join(v.pay_log, v.receipt_log, ["tx_id"], "pay_ts", "receipt_ts", "-300 days", "500 days", key_rows=1)
 
 
 @query
@@ -275,14 +275,14 @@ def bill_check(v: Views) -> DataFrame:
         F.col("tx_id").alias("order_id"), F.lit("success").alias("third_status"), F.col("receipt_ts").alias("third_ts")
     )
     tags = ("matched", "app_only", "third_only")
-    return reconcile.reconcile(app, third, ["order_id"], "app_ts", "third_ts", "365 days", "0 seconds", tags)
+    return reconcile.reconcile(app, third, ["order_id"], "app_ts", "third_ts", "365 days", "0 seconds", tags, 1)
 
 
 @query
 def reconcile_payments(v: Views) -> DataFrame:
     tags = ("matched", "order_only", "receipt_only")
     return reconcile.reconcile(
-        v.pay_log, v.receipt_log, ["tx_id"], "pay_ts", "receipt_ts", "500 days", "300 days", tags
+        v.pay_log, v.receipt_log, ["tx_id"], "pay_ts", "receipt_ts", "500 days", "300 days", tags, 1
     )
 
 
@@ -365,34 +365,33 @@ def window_url_count(v: Views) -> DataFrame:
 
 @query
 def hourly_pv(v: Views) -> DataFrame:
-    return windows.window_count(v.user_behavior.filter("behavior = 'pv'"), [], "ts", "1 hour")
+    return windows.window_count(v.page_views, [], "ts", "1 hour")
 
 
 @query
 def hourly_pv_salted(v: Views) -> DataFrame:
-    return windows.salted_count(v.user_behavior.filter("behavior = 'pv'"), "ts", "1 hour", "seq")
+    return windows.salted_count(v.page_views, "ts", "1 hour", "seq")
 
 
 @query
 def hourly_uv(v: Views) -> DataFrame:
-    return aggregate.unique_count(v.user_behavior.filter("behavior = 'pv'"), [], "user_id", "ts", "1 hour")
+    return aggregate.unique_count(v.page_views, [], "user_id", "ts", "1 hour")
 
 
 @query
 def uv_bitmap(v: Views) -> DataFrame:
-    return aggregate.unique_count_bitmap(v.user_behavior.filter("behavior = 'pv'"), "user_id", "ts", "1 hour")
+    return aggregate.unique_count_bitmap(v.page_views, "user_id", "ts", "1 hour")
 
 
 @query
 def uv_running(v: Views) -> DataFrame:
-    r = aggregate.unique_running(v.user_behavior.filter("behavior = 'pv'"), "user_id", "ts", "seq", "1 hour")
+    r = aggregate.unique_running(v.page_views, "user_id", "ts", "seq", "1 hour")
     return r.select("window_end", "user_id", "seq", "uv")
 
 
 @query
 def uv_hll(v: Views) -> DataFrame:
-    pv = v.user_behavior.filter("behavior = 'pv'")
-    return aggregate.unique_count_sketch(pv, "user_id", "ts", "1 hour").drop("sketch")
+    return aggregate.unique_count_sketch(v.page_views, "user_id", "ts", "1 hour").drop("sketch")
 
 
 @query
@@ -526,7 +525,7 @@ def periodic_pv(v: Views) -> DataFrame:
 
 @query
 def hot_items(v: Views) -> DataFrame:
-    pv = v.user_behavior.filter("behavior = 'pv'")
+    pv = v.page_views
     return topn.hot_by_window(pv, "item_id", "ts", "1 hour", "5 minutes", 10)
 
 

@@ -19,9 +19,14 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class SkewPolicy:
+    """Limits for one task. ``max_chunks`` and ``max_salts`` bound the number of shuffle partitions and of copies
+    for the hottest keys: past them the pieces get larger, and no row is left out."""
+
     rows_per_task: int = 2_000_000
     max_keys: int = 10_000
     broadcast_rows: int = 200_000
+    max_chunks: int = 20_000
+    max_salts: int = 2_000
 
 
 DEFAULT = SkewPolicy()
@@ -63,9 +68,8 @@ def bounded_broadcast(df: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
 
 
 def _salts(hot: HotKeys, policy: SkewPolicy) -> DataFrame:
-    return hot.table.select(
-        *hot.keys, F.ceil(F.col("_rows") / F.lit(policy.rows_per_task)).cast("int").alias("_salts")
-    )
+    n = F.ceil(F.col("_rows") / F.lit(policy.rows_per_task))
+    return hot.table.select(*hot.keys, F.least(n, F.lit(policy.max_salts)).cast("int").alias("_salts"))
 
 
 def skew_join(
@@ -165,4 +169,4 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], policy: S
 
 
 def tasks_for(rows: int, policy: SkewPolicy) -> int:
-    return max(1, math.ceil(rows / policy.rows_per_task))
+    return min(max(1, math.ceil(rows / policy.rows_per_task)), policy.max_chunks)

@@ -58,6 +58,15 @@ class Views:
             "seq",
         )
 
+    @cached_property
+    def page_views(self) -> DataFrame:
+        """``user_behavior`` rows of behaviour ``pv``, filtered on the stored column so that the scan can skip."""
+        rows = self.events.filter("event_type = 'view'")
+        return rows.select(
+            "user_id", F.col("k").alias("item_id"), (F.col("k") % 10).alias("category_id"), F.lit("pv").alias("behavior"),
+            "ts", "seq",
+        )
+
     @cached_property
     def login(self) -> DataFrame:
         ip = F.concat_ws(".", F.lit("10.0"), (F.col("user_id") % 256).cast("string"), F.col("k").cast("string"))
