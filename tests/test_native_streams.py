@@ -11,7 +11,7 @@ from streams import drain, drain_batches, read_stream, replay, write_files
 from tidewater.operators import aggregate, basic, joins, late, reconcile, topn, windows
 from tidewater.plans.views import Views
 from tidewater.sinks import files, upsert
-from tidewater.sinks.external import RowWriter
+from tidewater.sinks.external import RowWriter, stream_to_console
 from tidewater.sources import tables
 from tidewater.sources import text as text_source
 from tidewater.streaming import batches
@@ -157,6 +157,24 @@ def test_hot_items_stream(spark, events, stream):
     assert counted(got) == counted(want)
 
 
+def test_corrected_counts_replace_older_ones(spark, events):
+    """Update mode sends a count again when late rows arrive; the ranking uses the last one."""
+    path = tempfile.mkdtemp() + "/counts"
+    mixed = events.withColumn("arrival", F.col("seq") + (F.col("seq") * 7919) % 50)
+    late_ok = replay(mixed, "arrival", 3).withWatermark("ts", "30 days")
+    drain_batches(batches.hot_counts(late_ok, "k", "ts", "6 hours", "3 hours"), batches.replace_counts_batch(path, "k"), mode="update")
+    want = topn.hot_by_window(events, "k", "ts", "6 hours", "3 hours", 3)
+    assert counted(batches.ranked_counts(spark, path, "k", 3)) == counted(want)
+
+
+def test_console(stream):
+    query = stream_to_console(stream.select("seq"), rows=1)
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None
+    assert sum(p["numInputRows"] for p in query.recentProgress) > 0
+
+
 def test_late_split_stream(spark, events):
     path = tempfile.mkdtemp() + "/late"
     mixed = events.withColumn("arrival", F.col("seq") + (F.col("seq") * 7919) % 50)

@@ -64,6 +64,7 @@ KEYED = {
     "uv_running": lambda d, p: aggregate.unique_running(
         d.withColumn("visitor", F.col("seq") % 300), "visitor", "ts", "seq", "5 days", policy=p
     ),
+    "most_active": lambda d, p: aggregate.most_active_running(d, "user_id", ORDER, policy=p),
     "ttl": lambda d, p: patterns.last_value_with_ttl(d, ["user_id"], ORDER, "ts", "k", "3 hours", policy=p),
     "late": lambda d, p: late.late_status(d, ["seq"], "ts", "1 hour", "1 hour", policy=p),
     "periodic": lambda d, p: late.periodic_count(d, ["user_id"], "ts", "1 day", policy=p),

@@ -11,7 +11,7 @@ from tidewater.functions.aggregates import mean_time_ms
 from tidewater.functions.text import bitmap_slot
 from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, whole_div
 from tidewater.operators.windows import BOUNDS, assign_window, window_agg
-from tidewater.plans.ordered import number_rows
+from tidewater.plans.ordered import number_rows, running_max
 from tidewater.plans.skew import DEFAULT, SkewPolicy
 
 
@@ -29,6 +29,19 @@ def most_active(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return best.select(F.col(f"_b.{key}").alias(key), F.col("_b.cnt").alias("cnt"))
 
 
+def most_active_running(
+    df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy = DEFAULT
+) -> DataFrame:
+    """After each row: the key with most rows so far, and its count; among equals the newest.
+
+    Counts run per key, then a running maximum runs over the whole stream, cut into ranges of ``order``.
+    """
+    counted = number_rows(df.select(key, *order), [key], order, "_n", policy=policy)
+    best = F.struct(F.col("_n").alias("n"), *order, F.col(key).alias("k"))
+    top = running_max(counted, [], order, best, "_b", policy=policy)
+    return top.select(*order, F.col("_b.k").alias(f"top_{key}"), F.col("_b.n").alias("cnt"))
+
+
 def running_count(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "cnt", policy: SkewPolicy = DEFAULT
 ) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,29 @@ def key_range_scan(
     return df.filter((F.col(key) >= low) & (F.col(key) < high)).select(key, F.concat(F.col(key), values).alias(out))
 
 
+def rich_map(
+    df: DataFrame,
+    function: Callable[[Any, pd.DataFrame], pd.DataFrame],
+    schema: str,
+    open_: Callable[[], Any] = lambda: None,
+    close: Callable[[Any], None] = lambda resource: None,
+) -> DataFrame:
+    """Map Arrow batches with a resource that each task opens once and closes at its end.
+
+    For work that needs a client or a model; plain expressions stay in Spark.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resource = open_()
+        try:
+            for batch in batches:
+                yield function(resource, batch)
+        finally:
+            close(resource)
+
+    return df.mapInPandas(run, schema)
+
+
 def partition_id(key: Column, n: int) -> Column:
     """Partition number from the hash of the key."""
     return F.abs(java_hash(key.cast("string")) % n).cast("int")

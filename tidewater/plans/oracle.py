@@ -159,6 +159,9 @@ ORACLE: dict[str, str] = {
         "SELECT user_id, item_id, ts FROM pv WHERE ts > TIMESTAMP '2024-01-02'", "behavior", "pv"
     ),
     "map_length": sql("SELECT user_name, length(user_name) AS len FROM clicks", "clicks"),
+    "map_with_setup": sql(
+        "SELECT user_name, 'user ' || user_name AS tagged, length(user_name) AS len FROM clicks", "clicks"
+    ),
     "table_api_select": sql("SELECT url, user_name FROM clicks WHERE user_name = 'u1'", "clicks"),
     "sql_project_view": sql("SELECT url, user_name FROM clicks WHERE user_name <> 'u1'", "clicks"),
     "hash_concat": sql(
@@ -251,6 +254,13 @@ ORACLE: dict[str, str] = {
            ORDER BY cnt DESC, t DESC, s DESC LIMIT 1""",
         "clicks",
     ),
+    "most_active_running": sql(
+        """, n AS (SELECT *, row_number() OVER (PARTITION BY user_name ORDER BY ts, seq) AS n FROM clicks),
+           m AS (SELECT ts, seq, max(struct_pack(n := n, t := ts, s := seq, k := user_name))
+                 OVER (ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS b FROM n)
+           SELECT ts, seq, b.k AS top_user_name, b.n AS cnt FROM m""",
+        "clicks",
+    ),
     "latest_visit": sql(
         "SELECT user_name, url, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_name ORDER BY ts DESC, seq DESC) AS rn "
         "FROM clicks) WHERE rn = 1",

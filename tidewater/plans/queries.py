@@ -160,6 +160,14 @@ def map_length(v: Views) -> DataFrame:
     return v.clicks.select("user_name", F.length("user_name").cast("bigint").alias("len"))
 
 
+@query
+def map_with_setup(v: Views) -> DataFrame:
+    def lengths(prefix, batch):
+        return batch.assign(tagged=prefix + batch["user_name"], len=batch["user_name"].str.len())
+
+    return basic.rich_map(v.clicks.select("user_name"), lengths, "user_name string, tagged string, len bigint", lambda: "user ")
+
+
 @query
 def table_api_select(v: Views) -> DataFrame:
     return v.clicks.where(F.col("user_name") == "u1").select("url", "user_name")
@@ -305,6 +313,11 @@ def most_active_user(v: Views) -> DataFrame:
     return aggregate.most_active(v.clicks, "user_name", ["ts", "seq"])
 
 
+@query
+def most_active_running(v: Views) -> DataFrame:
+    return aggregate.most_active_running(v.clicks, "user_name", ["ts", "seq"])
+
+
 @query
 def latest_visit(v: Views) -> DataFrame:
     return aggregate.latest_by_key(v.clicks, ["user_name"], ["ts", "seq"]).select("user_name", "url", "ts")

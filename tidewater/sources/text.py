@@ -16,6 +16,11 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False, files_per_b
     return reader.text(path)
 
 
+def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """Lines from a socket; not replayable, so for trials only."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
+
+
 def parse_records(
     lines: DataFrame, schema: T.StructType, sep: str = ",", value: str = "value", trim: bool = True
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.timeexpr import Duration, micros
@@ -16,6 +16,7 @@ from tidewater.operators.late import late_status
 from tidewater.operators.topn import top_n
 from tidewater.operators.windows import window_count
 from tidewater.plans.skew import DEFAULT, SkewPolicy
+from tidewater.sinks.upsert import read_latest, upsert_batch
 
 
 def hot_counts(df: DataFrame, key: str, ts: str, size: Duration, slide: Duration) -> DataFrame:
@@ -32,6 +33,19 @@ def top_n_batch(path: str, partition: Sequence[str], order: Sequence[Column], n:
     return write
 
 
+def replace_counts_batch(path: str, key: str) -> Callable[[DataFrame, int], None]:
+    """For counts in update mode, where a late row corrects its window: the newer count replaces the older one.
+
+    Counts only grow, so the biggest is the newest. Read the ranking with :func:`ranked_counts`.
+    """
+    return upsert_batch(path, ["window_end", key], ["cnt"])
+
+
+def ranked_counts(spark: SparkSession, path: str, key: str, n: int) -> DataFrame:
+    counts = read_latest(spark, path, ["window_end", key], ["cnt"])
+    return top_n(counts, ["window_end"], [F.desc("cnt"), F.asc(key)], n).select("window_end", key, "cnt", "rn")
+
+
 def late_split_batch(
     path: str,
     order: Sequence[str],
