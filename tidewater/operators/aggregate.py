@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.aggregates import mean_time_ms
 from tidewater.functions.text import bitmap_slot
-from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, whole_div
+from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, spark_duration, whole_div
 from tidewater.operators.windows import BOUNDS, assign_window, window_agg
 from tidewater.plans.ordered import number_rows, running_max
 from tidewater.plans.skew import DEFAULT, SkewPolicy
@@ -81,8 +81,14 @@ def unique_count(df: DataFrame, keys: Sequence[str], value: str, ts: str, size:
 
 
 def unique_count_stream(df: DataFrame, value: str, ts: str, size: Duration, out: str = "uv") -> DataFrame:
-    """Streaming form of :func:`unique_count` without keys: a set per window, as streams allow no DISTINCT."""
-    return window_agg(df, [], ts, size, [F.size(F.collect_set(value)).cast("bigint").alias(out)])
+    """Streaming form of :func:`unique_count` without keys.
+
+    State is one entry per (window, value), spread over tasks, and one count per window; both go when the
+    watermark passes the window.
+    """
+    framed = df.select(F.window(ts, spark_duration(size)).alias("_w"), value)
+    counts = framed.dropDuplicates(["_w", value]).groupBy("_w").agg(F.count(value).alias(out))
+    return counts.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), out)
 
 
 def unique_count_bitmap(

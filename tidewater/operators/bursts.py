@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.timeexpr import Duration, duration_us, from_micros, micros
-from tidewater.plans.ordered import nearest
-from tidewater.plans.skew import DEFAULT, SkewPolicy, find_hot_keys, split
+from tidewater.plans.ordered import nearest, number_rows
+from tidewater.plans.skew import DEFAULT, SkewPolicy
 from tidewater.session import shared_dir
 
 # Runs of more failures than this (without a success between) are cut by jumps, not folded in one row.
@@ -45,11 +45,13 @@ def failure_bursts(
         *keys, F.coalesce("_ok.id", F.lit("")).alias("_run"), F.col("_ok.t").alias("_end"), micros(ts).alias("_t")
     )
     times = fails.groupBy(*run, "_end", "_t").agg(F.count(F.lit(1)).alias("_c"))
-    long_runs = find_hot_keys(times, run, SkewPolicy(fold_rows, policy.max_keys))
-    if long_runs is None:
+    sizes = times.groupBy(*run).agg(F.count(F.lit(1)).alias("_size"))
+    if sizes.filter(F.col("_size") > fold_rows).isEmpty():
         found = _fold(times, run, n, width)
     else:
-        short, long = split(times, long_runs)
+        sized = number_rows(times, run, ["_t"], "_rn", "_size", policy=policy).drop("_rn")
+        short = sized.filter(F.col("_size") <= fold_rows).drop("_size")
+        long = sized.filter(F.col("_size") > fold_rows).drop("_size")
         found = _fold(short, run, n, width).unionByName(_jump(long, run, n, width, policy))
     return found.select(
         *keys, from_micros(F.col("f"), df, ts).alias("first_ts"), from_micros(F.col("l"), df, ts).alias("last_ts"), "times"

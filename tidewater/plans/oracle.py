@@ -492,10 +492,10 @@ ORACLE: dict[str, str] = {
              FROM o WHERE rn = 1
              UNION ALL
              SELECT o.user_id, o.rn,
-               CASE WHEN NOT bad THEN NULL WHEN f IS NULL OR o.ts > f + INTERVAL 3 DAY THEN o.ts ELSE f END,
+               CASE WHEN NOT bad THEN NULL WHEN f IS NULL OR o.ts > f + INTERVAL 1 DAY THEN o.ts ELSE f END,
                CASE WHEN bad THEN o.ts END,
-               CASE WHEN NOT bad THEN 0 WHEN f IS NULL OR o.ts > f + INTERVAL 3 DAY THEN 1 ELSE n + 1 END,
-               f, l, CASE WHEN o.ts > f + INTERVAL 3 DAY THEN n ELSE 0 END
+               CASE WHEN NOT bad THEN 0 WHEN f IS NULL OR o.ts > f + INTERVAL 1 DAY THEN 1 ELSE n + 1 END,
+               f, l, CASE WHEN o.ts > f + INTERVAL 1 DAY THEN n ELSE 0 END
              FROM fold JOIN o ON o.user_id = fold.user_id AND o.rn = fold.rn + 1),
            tail AS (SELECT user_id, max(rn) AS rn FROM o GROUP BY 1)
            SELECT user_id, of AS first_ts, ol AS last_ts, CAST(n_out AS BIGINT) AS times FROM fold WHERE n_out >= 3

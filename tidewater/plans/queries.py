@@ -604,7 +604,7 @@ def login_fail_alert(v: Views) -> DataFrame:
 @query
 def login_fail_timer(v: Views) -> DataFrame:
     failed = F.col("status") == "fail"
-    return bursts.failure_bursts(v.login, ["user_id"], ["ts", "seq"], "ts", failed, 3, "3 days")
+    return bursts.failure_bursts(v.login, ["user_id"], ["ts", "seq"], "ts", failed, 3, "1 day")
 
 
 @query
