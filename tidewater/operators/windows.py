@@ -61,7 +61,7 @@ def _runs_of_ends(
     reaches, not to each of its windows.
     """
     lo, hi = cell(F.col("_first"), span), cell(F.col("_last"), span)
-    parts = marks.select(*keys, "_n", first.alias("_first"), last.alias("_last")).filter("_first <= _last")
+    parts = marks.select(*keys, "_n", first.alias("_first"), last.alias("_last"))
     parts = parts.select("*", F.explode(F.sequence(lo, hi)).alias("_chunk"))
     stop = (F.col("_chunk") + 1) * F.lit(span)
     enter = F.struct(F.greatest(F.col("_first"), F.col("_chunk") * F.lit(span)).alias("e"), F.col("_n").alias("d"))
@@ -98,12 +98,17 @@ def sliding_count(
     if size_us % slide_us:
         raise ValueError("size must be a multiple of slide")
     n = size_us // slide_us
-    pane = cell(micros(ts), slide_us)
-    first = pane + 1
-    if closed_until_us is not None:
-        first = F.greatest(first, cell(closed_until_us, slide_us) + 1)
-    panes = df.groupBy(*keys, pane.alias("_pane"), first.alias("_open")).agg(F.count(F.lit(1)).alias("_n"))
-    ends = _runs_of_ends(panes, keys, F.col("_open"), F.col("_pane") + n, 4 * n, out)
+    pane = cell(micros(ts), slide_us).alias("_pane")
+    if closed_until_us is None:
+        panes = df.groupBy(*keys, pane).agg(F.count(F.lit(1)).alias("_n"))
+        first = F.col("_pane") + 1
+    else:
+        open_ = F.greatest(F.col("_pane"), F.col("_closed")) + 1
+        marked = df.select(*keys, pane, cell(closed_until_us, slide_us).alias("_closed"))
+        panes = marked.groupBy(*keys, "_pane", open_.alias("_open")).agg(F.count(F.lit(1)).alias("_n"))
+        panes = panes.filter(F.col("_open") <= F.col("_pane") + n)
+        first = F.col("_open")
+    ends = _runs_of_ends(panes, keys, first, F.col("_pane") + n, 4 * n, out)
     end_us = F.col("_end") * F.lit(slide_us)
     return ends.select(
         from_micros(end_us - F.lit(size_us), df, ts).alias("window_start"),

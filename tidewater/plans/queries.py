@@ -419,14 +419,14 @@ def marketing_by_channel(v: Views) -> DataFrame:
     return windows.sliding_count(m, ["channel", "behavior"], "ts", "1 hour", "5 minutes")
 
 
-def _kept_clicks(v: Views) -> DataFrame:
-    return patterns.click_limit(v.ad_click, ["user_id", "ad_id"], ["ts", "seq"], "ts", 1)
+def _limited_clicks(v: Views, tag: str) -> DataFrame:
+    limited = patterns.click_limit(v.ad_click, ["user_id", "ad_id"], ["ts", "seq"], "ts", 1)
+    return basic.output(limited, tag).join(v.user_place, "user_id")
 
 
 @query
 def ad_clicks_by_province(v: Views) -> DataFrame:
-    kept = basic.output(_kept_clicks(v), "kept")
-    return windows.sliding_count(kept, ["province"], "ts", "1 hour", "5 minutes")
+    return windows.sliding_count(_limited_clicks(v, "kept"), ["province"], "ts", "1 hour", "5 minutes")
 
 
 @query
@@ -478,19 +478,24 @@ def tvf_cumulate(v: Views) -> DataFrame:
     return windows.cumulate_count(v.user_behavior, ["category_id"], "ts", "1 hour", "1 day")
 
 
+# Hopping counts in SQL: count per pane, then let each pane enter the windows it belongs to.
+HOP_COUNTS = """
+    SELECT item_id, window_end, sum(n) AS cnt
+    FROM (SELECT item_id, n, explode(sequence(w.end, w.end + INTERVAL 55 MINUTES, INTERVAL 5 MINUTES)) AS window_end
+          FROM (SELECT item_id, window(ts, '5 minutes') AS w, count(item_id) AS n
+                FROM page_views GROUP BY item_id, window(ts, '5 minutes')))
+    GROUP BY item_id, window_end"""
+
+
 @query
 def sql_hop(v: Views) -> DataFrame:
-    v.user_behavior.createOrReplaceTempView("behavior")
-    return v.spark.sql(
-        """SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM behavior WHERE behavior = 'pv'
-           GROUP BY item_id, window(ts, '1 hour', '5 minutes')"""
-    )
+    v.page_views.createOrReplaceTempView("page_views")
+    return v.spark.sql(HOP_COUNTS)
 
 
 @query
 def api_slide(v: Views) -> DataFrame:
-    pv = v.user_behavior.where(F.col("behavior") == "pv")
-    return windows.window_count(pv, ["item_id"], "ts", "1 hour", "5 minutes").drop("window_start")
+    return windows.sliding_count(v.page_views, ["item_id"], "ts", "1 hour", "5 minutes").drop("window_start")
 
 
 @query
@@ -544,11 +549,9 @@ def hot_items(v: Views) -> DataFrame:
 
 @query
 def hot_items_sql(v: Views) -> DataFrame:
-    v.user_behavior.createOrReplaceTempView("behavior")
+    v.page_views.createOrReplaceTempView("page_views")
     return v.spark.sql(
-        """WITH counts AS (
-             SELECT item_id, window.end AS window_end, count(item_id) AS cnt FROM behavior WHERE behavior = 'pv'
-             GROUP BY item_id, window(ts, '1 hour', '5 minutes')),
+        f"""WITH counts AS ({HOP_COUNTS}),
            ranked AS (
              SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS rn FROM counts)
            SELECT window_end, item_id, cnt, CAST(rn AS BIGINT) AS rn FROM ranked WHERE rn <= 5"""
@@ -635,13 +638,12 @@ def order_timeout(v: Views) -> DataFrame:
 
 @query
 def ad_blacklist(v: Views) -> DataFrame:
-    warned = basic.output(_kept_clicks(v), "warning")
-    return warned.select("user_id", "ad_id", "seq", F.lit("click over 1 times").alias("msg"))
+    return _limited_clicks(v, "warning").select("user_id", "ad_id", "seq", F.lit("click over 1 times").alias("msg"))
 
 
 @query
 def ad_clicks_kept(v: Views) -> DataFrame:
-    return basic.output(_kept_clicks(v), "kept").select("user_id", "ad_id", "province", "ts", "seq")
+    return _limited_clicks(v, "kept").select("user_id", "ad_id", "province", "ts", "seq")
 
 
 @query

@@ -22,7 +22,7 @@ class SkewPolicy:
     """Limits for one task. ``max_chunks`` and ``max_salts`` bound the number of shuffle partitions and of copies
     for the hottest keys: past them the pieces get larger, and no row is left out."""
 
-    rows_per_task: int = 2_000_000
+    rows_per_task: int = 5_000_000
     max_keys: int = 10_000
     broadcast_rows: int = 200_000
     max_chunks: int = 20_000

@@ -95,14 +95,18 @@ class Views:
 
     @cached_property
     def ad_click(self) -> DataFrame:
-        place = (
+        rows = self.events.filter("event_type = 'click'")
+        return rows.select("user_id", (F.col("k") % 5).alias("ad_id"), "ts", "seq")
+
+    @cached_property
+    def user_place(self) -> DataFrame:
+        """Province and city of each user. Join it after the click limit, when few rows per user are left."""
+        return (
             self.table("customer")
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("province"), F.col("r_name").alias("city"))
         )
-        rows = self.events.filter("event_type = 'click'")
-        return rows.select("user_id", (F.col("k") % 5).alias("ad_id"), "ts", "seq").join(place, "user_id")
 
     @cached_property
     def access_log(self) -> DataFrame:
