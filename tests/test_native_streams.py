@@ -12,7 +12,7 @@ from tidewater.operators import aggregate, basic, joins, late, reconcile, topn,
 from tidewater.plans.views import Views
 from tidewater.sinks import files, upsert
 from tidewater.sinks.external import RowWriter, stream_to_console
-from tidewater.sources import tables
+from tidewater.sources import payload, tables
 from tidewater.sources import text as text_source
 from tidewater.streaming import batches
 from tidewater.streaming import processors as P
@@ -79,6 +79,17 @@ def test_running_count_in_update_mode(events, stream):
     assert last == counted(events.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def test_newest_row_in_complete_mode(events, stream):
+    got = drain(aggregate.latest_by_key(stream, ["user_id"], ["ts", "seq"]), "complete").filter("user_id >= 0")
+    assert counted(got) == counted(aggregate.latest_by_key(events, ["user_id"], ["ts", "seq"]))
+
+
+def test_payload_stream(events, stream):
+    raw = stream.select(F.col("user_id").cast("string").cast("binary").alias("key"), F.col("event_type").cast("binary").alias("value"))
+    got = drain(payload.message_text(raw)).filter("key <> '-1'")
+    assert counted(got) == counted(events.select(F.col("user_id").cast("string").alias("key"), F.col("event_type").alias("value")))
+
+
 def test_update_mode_counts_are_refused_in_append_mode(stream):
     from pyspark.errors import AnalysisException
 
@@ -104,13 +115,24 @@ def test_window_join_stream(spark, events, folder):
     assert counted(got) == counted(want)
 
 
-def test_cogroup_by_joined_windows_in_batch_equals_windows(events):
-    left, right = sides(events)
-    got = joins.window_cogroup(
-        left, right, ["user_id"], "l_ts", "r_ts", "1 day", [F.count("l_seq").alias("l")], [F.count("r_seq").alias("r")]
-    )
-    total = got.agg(F.sum("l"), F.sum("r")).first()
-    assert tuple(total) == (left.count(), right.count())
+def test_cogroup_stream(spark, events, folder):
+    aggs = [F.count("l_seq").alias("l"), F.sum("l_seq").alias("l_sum")], [F.count("r_seq").alias("r")]
+    args = (["user_id"], "l_ts", "r_ts", "1 day", *aggs)
+    got = drain(joins.window_cogroup(*stream_sides(spark, events, folder), *args)).filter("user_id >= 0")
+    assert counted(got) == counted(joins.window_cogroup(*sides(events), *args))
+
+
+def test_rules_stream(spark, events, folder):
+    """Action pairs of the stream meet a rule table that is read again in each micro-batch."""
+    rules_path = tempfile.mkdtemp() + "/rules"
+    spark.createDataFrame([("view", "purchase")], "action1 string, action2 string").write.parquet(rules_path)
+    rules = spark.read.parquet(rules_path)
+    few = events.filter("user_id < 20")
+    s = read_stream(spark, write_files(flushed(few), "seq", 2), events.schema).withWatermark("ts", "1 hour")
+    pairs = run_ordered(s, ["user_id"], "ts", "seq", P.ActionPairs("event_type"))
+    got = drain(pairs.join(rules, ["action1", "action2"])).filter("user_id >= 0")
+    want = joins.rule_pair_match(few, ["user_id"], ["ts", "seq"], "event_type", rules)
+    assert counted(got.select("user_id", "seq")) == counted(want.select("user_id", "seq"))
 
 
 def test_interval_join_stream(spark, events, folder):

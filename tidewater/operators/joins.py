@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros, spark_duration
-from tidewater.operators.windows import BOUNDS, assign_window, window_agg
+from tidewater.operators.windows import assign_window, window_agg
 from tidewater.plans.ordered import nearest
 from tidewater.plans.skew import DEFAULT, SkewPolicy, bounded_broadcast, full_outer, skew_join
 
@@ -51,14 +51,18 @@ def window_cogroup(
     left_aggs: Sequence[Column],
     right_aggs: Sequence[Column],
 ) -> DataFrame:
-    """Per key and window, an aggregate of each side; a side without rows gives NULL.
+    """Per key and window, aggregates of both sides, also where one side has no rows.
 
-    Each side is aggregated to one row per key and window first, so the join has no hot group. Ask for
-    ``collect_list`` only where groups are known to be small.
+    The sides are tagged rows of one union, aggregated once with map-side combine: no join, no hot group. A row
+    carries NULL in the columns of the other side, so count a column rather than rows. Ask for ``collect_list``
+    only where groups are known to be small. Streams need a watermark on both time columns.
     """
-    a = window_agg(left, keys, left_ts, size, left_aggs)
-    b = window_agg(right, keys, right_ts, size, right_aggs)
-    return a.join(b, [*BOUNDS, *keys], "full")
+    sides = [
+        left.withColumn("_ts", F.col(left_ts)).drop(left_ts),
+        right.withColumn("_ts", F.col(right_ts)).drop(right_ts),
+    ]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    return window_agg(both, keys, "_ts", size, [*left_aggs, *right_aggs])
 
 
 def small_keys(

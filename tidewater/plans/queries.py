@@ -231,12 +231,11 @@ def window_join(v: Views) -> DataFrame:
 
 @query
 def window_cogroup(v: Views) -> DataFrame:
-    j = joins.window_cogroup(
+    return joins.window_cogroup(
         v.left_stream, v.right_stream, ["user_id"], "l_ts", "r_ts", "1 day",
-        [F.count(F.lit(1)).alias("l_cnt"), F.sum("l_seq").alias("l_sum")],
-        [F.count(F.lit(1)).alias("r_cnt"), F.sum("r_seq").alias("r_sum")],
+        [F.count("l_seq").alias("l_cnt"), F.sum("l_seq").alias("l_sum")],
+        [F.count("r_seq").alias("r_cnt"), F.sum("r_seq").alias("r_sum")],
     )
-    return j.withColumn("l_cnt", F.coalesce("l_cnt", F.lit(0))).withColumn("r_cnt", F.coalesce("r_cnt", F.lit(0)))
 
 
 @query
