@@ -20,13 +20,15 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class SkewPolicy:
     """Limits for one task. ``max_chunks`` and ``max_salts`` bound the number of shuffle partitions and of copies
-    for the hottest keys: past them the pieces get larger, and no row is left out."""
+    for the hottest keys: past them the pieces get larger, and no row is left out. ``even_keys`` states that no key
+    is hot, and saves the count."""
 
     rows_per_task: int = 5_000_000
     max_keys: int = 10_000
     broadcast_rows: int = 200_000
     max_chunks: int = 20_000
     max_salts: int = 2_000
+    even_keys: bool = False
 
 
 DEFAULT = SkewPolicy()
@@ -42,6 +44,8 @@ class HotKeys:
 
 def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> HotKeys | None:
     """The hot keys of ``df`` or None. Runs one aggregation over the key columns only."""
+    if policy.even_keys:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     biggest = counts.filter(F.col("_rows") > policy.rows_per_task).orderBy(F.desc("_rows")).limit(policy.max_keys)
     rows = biggest.collect()
@@ -84,7 +88,8 @@ def skew_join(
 
     Only ``keys`` may appear on both sides. With hot keys the rows of the left side are dealt to salts and
     the right rows of the same keys are copied to each of them; for an inner join right keys that are hot are
-    dealt out as well, so each pair still meets exactly once.
+    dealt out as well, so each pair still meets exactly once. The salt is a hash of the row, so that a task that
+    is run again deals its rows the same way; rows should carry an id, as equal rows share a salt.
     """
     assert how in ("inner", "left")
     hot_left = find_hot_keys(left, keys, policy)

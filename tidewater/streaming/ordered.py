@@ -55,11 +55,20 @@ class OrderedProcessor(StatefulProcessor):
         self._clock = handle.getValueState("clock", "done bigint, timer bigint")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        done, _ = self._clock.get() or (-1, -1)
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        done, timer = self._clock.get() or (-1, -1)
         fresh = [
             (r[US], r["_seq"], *[r[n] for n in self._names]) for r in rows if r[US] > done
         ]
-        yield from self._advance(key, fresh, timerValues.getCurrentWatermarkInMs() * 1000)
+        if not fresh:
+            return
+        first = min(r[0] for r in fresh)
+        if first > watermark and (timer < 0 or timer > watermark // 1000):
+            # Nothing is due yet: append, without reading what waits.
+            self._waiting.appendList(fresh)
+            self._wake_at(first if timer < 0 else min(first, timer * 1000), watermark)
+            return
+        yield from self._advance(key, fresh, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
@@ -107,7 +116,11 @@ class OrderedProcessor(StatefulProcessor):
         due = [rest[0][0]] if rest else []
         if state is not None and (at := self.deadline(state)) is not None:
             due.append(at)
-        timer = -(-min(due) // 1000) if due else -1
+        self._wake_at(min(due) if due else None, watermark)
+
+    def _wake_at(self, us: int | None, watermark: int) -> None:
+        """Keep one timer per key, at the first whole millisecond from ``us`` on."""
+        timer = -(-us // 1000) if us is not None else -1
         old = self._clock.get()
         if timer >= 0 and (old is None or old[1] != timer):
             if old is not None and old[1] > watermark // 1000:
