@@ -43,7 +43,7 @@ def rows(df):
 
 
 def strict(d):
-    steps = [patterns.Step(n, F.col("event_type").isin("view", "click")) for n in "ab"]
+    steps = [patterns.Step("a", F.col("event_type") == "view"), patterns.Step("b", F.col("event_type") == "click")]
     m = patterns.match_strict(d, ["user_id"], ORDER, "ts", steps, "1 day")
     return m.select("user_id", F.col("a.seq").alias("s0_seq"), F.col("b.seq").alias("s1_seq"))
 
@@ -91,10 +91,7 @@ CASES = {
         ),
     ),
     "action_pairs": (P.ActionPairs("event_type"), pairs),
-    "strict": (
-        P.StrictSequence("event_type", ["view", "click"], "1 day"),
-        lambda d: strict_values(d),
-    ),
+    "strict": (P.StrictSequence("event_type", ["view", "click"], "1 day"), strict),
     "relaxed": (P.RelaxedSequence("event_type", ["signup", "click", "purchase"], "3 days"), relaxed),
     "bursts": (
         P.FailureBursts("event_type", "view", 1, "12 hours"),
@@ -119,12 +116,6 @@ CASES = {
 }
 
 
-def strict_values(d):
-    steps = [patterns.Step("a", F.col("event_type") == "view"), patterns.Step("b", F.col("event_type") == "click")]
-    m = patterns.match_strict(d, ["user_id"], ORDER, "ts", steps, "1 day")
-    return m.select("user_id", F.col("a.seq").alias("s0_seq"), F.col("b.seq").alias("s1_seq"))
-
-
 @pytest.mark.parametrize("name", list(CASES))
 def test_stream_equals_batch(name, events, stream):
     processor, batch = CASES[name]

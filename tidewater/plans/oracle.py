@@ -552,6 +552,44 @@ ORACLE: dict[str, str] = {
         SELECT page_id, word, {hashed('word')} AS h FROM (
           SELECT page_id, unnest(string_split(rtrim(url, '?'), '?')) AS word FROM pages))""",
 }
+# Streams end at the watermark.
+VIEWS["seen"] = f"SELECT * FROM e WHERE epoch_us(ts) <= ((SELECT epoch_us(max(ts)) FROM e) - {HOUR}) // 1000 * 1000"
+VIEWS["seen_clicks"] = f"""SELECT *, k % 5 AS ad_id FROM e WHERE event_type = 'click' AND epoch_us(ts) <=
+    ((SELECT epoch_us(max(ts)) FROM e WHERE event_type = 'click') - {HOUR}) // 1000 * 1000"""
+ORACLE["stream_changelog"] = sql(
+    """, n AS (SELECT user_id, seq, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS n FROM seen)
+       SELECT user_id, seq, '+I' AS row_kind, n AS cnt FROM n WHERE n = 1
+       UNION ALL SELECT user_id, seq, '-U', n - 1 FROM n WHERE n > 1
+       UNION ALL SELECT user_id, seq, '+U', n FROM n WHERE n > 1""",
+    "seen",
+)
+ORACLE["stream_every_n"] = sql(
+    """, n AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) - 1) // 5 AS batch FROM seen)
+       SELECT user_id, batch, CAST(sum(epoch_us(ts) // 1000) // 5 AS BIGINT) AS avg_ms FROM n GROUP BY 1, 2 HAVING count(*) = 5""",
+    "seen",
+)
+ORACLE["stream_click_limit"] = sql(
+    """, n AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, CAST(ts + INTERVAL 8 HOUR AS DATE)
+               ORDER BY ts, seq) AS rn FROM seen_clicks)
+       SELECT user_id, ad_id, seq, CASE rn WHEN 1 THEN 'kept' ELSE 'warning' END AS tag FROM n WHERE rn <= 2""",
+    "seen_clicks",
+)
+ORACLE["stream_hot_items"] = sql(
+    f""", w AS ({hop('pv', 'item_id', HOUR, 5 * MIN)}),
+          c AS (SELECT window_end, item_id, count(*) AS cnt FROM w
+                WHERE epoch_us(window_end) <= ((SELECT epoch_us(max(ts)) FROM pv) - {HOUR}) // 1000 * 1000 GROUP BY ALL)
+        {HOT.format(key='item_id', n=10)}""",
+    "behavior",
+    "pv",
+)
+ORACLE["stream_interval_join"] = sql(
+    """SELECT user_id, l_seq, r_seq FROM l JOIN r USING (user_id)
+       WHERE r_ts BETWEEN l_ts - INTERVAL 6 HOUR AND l_ts + INTERVAL 12 HOUR""",
+    "l",
+    "r",
+)
+ORACLE["stream_upsert"] = """SELECT user_id, event_type, event_id AS seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
 ORACLE["hourly_pv_salted"] = ORACLE["hourly_pv"]
 ORACLE["sliding_count_panes"] = ORACLE["sliding_count"]
 ORACLE["api_slide"] = ORACLE["sql_hop"]

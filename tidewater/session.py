@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import tidewater
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -29,6 +32,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # Processors travel with the query, so the package need not be installed on the executors.
+    cloudpickle.register_pickle_by_value(tidewater)
     return spark
 
 
