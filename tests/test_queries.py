@@ -4,6 +4,9 @@ import pytest
 from check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidewater.plans.oracle import ORACLE
+from tidewater.plans.queries import QUERIES
+from tidewater.plans.stream_queries import STREAM_QUERIES
 
 NO_TWIN = {"uv_hll"}
 
@@ -14,7 +17,8 @@ def con(sf):
 
 
 def test_all_queries_have_a_twin():
-    assert set(queries()) - set(oracle_sql()) == NO_TWIN
+    own = {**QUERIES, **STREAM_QUERIES}
+    assert set(own) - set(ORACLE) == NO_TWIN
     assert not set(oracle_sql()) - set(queries())
 
 
@@ -22,7 +26,7 @@ def test_all_queries_have_a_twin():
 SPARSE = {"login_fail_timer"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted({**QUERIES, **STREAM_QUERIES}))
 def test_query(name, spark, con, sf):
     ok, note = compare(spark, con, name, queries()[name], oracle_sql().get(name), sf)
     assert ok or (name in SPARSE and note.startswith("0 rows,")), note
