@@ -49,7 +49,7 @@ def compare(spark, con, name, fn, sql, sf_dir) -> tuple[bool, str]:
         return False, f"columns {sorted(df.columns)} != {sorted(columns)}"
     kinds = {d[0]: str(d[1]) for d in cur.description}
     spark_kinds = dict(df.dtypes)
-    names = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+    names = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
     bad = {c: (spark_kinds[c], kinds[c]) for c in columns if names.get(spark_kinds[c]) != kinds[c]}
     if bad:
         return False, f"types {bad}"
