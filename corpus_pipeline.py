@@ -5,12 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, mixture, shards
+from tidewater.llm import decontaminate, lang_id, mixture, near_dups, shards
 from tidewater.llm.common import cut, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents whose language is less certain than this are rejected, as are those without a letter.
+LEAST_SCORE = 0.5
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known with some certainty; the model learns from labelled rows outside a fifth."""
+    model = lang_id.fit(lang_id.training_rows(docs))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = lang_id.identify(rows, model)
+    return found.filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest doc_id."""
+    dropped = near_dups.group_near(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
@@ -28,12 +46,14 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("lang_id", identified),
+    ("near_dups", deduplicated),
     ("decontaminate", decontaminated),
     ("mix", mixed),
     ("shard", sharded),
 ]
 
-#: Pseudo-random draws and label propagation have no SQL form; the stages are tested against brute force.
+#: Models, pseudo-random draws and label propagation have no SQL form; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
 
 

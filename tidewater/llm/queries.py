@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, mixture, shards
+from tidewater.llm import decontaminate, exact_dups, lang_id, mixture, near_dups, shards
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,19 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.group_near(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = lang_id.identify(docs.select(F.struct("doc_id", "text").alias("row")), lang_id.fit(lang_id.training_rows(docs)))
+    held_out = lang_id.remainder(F.col("row.doc_id"), 5) == 0
+    return out.select("row.doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_exact_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dups.group_exact(table(spark, sf_dir, "documents"))
