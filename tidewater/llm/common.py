@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewater.session import scratch_path
+from tidewater.session import scratch_path, ship_package
 
 #: A key is hot when it holds more than one in so many rows; there are then fewer than HOT_SHARE hot keys.
 HOT_SHARE = 2000
@@ -19,11 +18,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps restart from there if an executor is lost."""
+    ship_package(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -89,7 +90,3 @@ def spread(rows: DataFrame, side: DataFrame, key: str, counts: DataFrame, rows_p
         big = F.broadcast(big)
     rows = rows.join(big, key, "left").withColumn("_salt", F.pmod(salt, F.coalesce("_copies", F.lit(1))).cast("int"))
     return rows.drop("_copies").join(side, [key, "_salt"]).drop("_salt")
-
-
-def with_schema(name: str, kind: str) -> T.StructField:
-    return T.StructField(name, T._parse_datatype_string(kind))

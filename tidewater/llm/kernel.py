@@ -15,7 +15,7 @@ import pyarrow as pa
 
 SLICE = 1 << 21
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_BASE_INV = pow(BASE, -1, 1 << 64)
+BASE_INV = pow(BASE, -1, 1 << 64)
 SHINGLE = 0xD1342543DE82EF95
 
 _powers: dict[int, np.ndarray] = {}
@@ -107,7 +107,7 @@ def words(symbols: np.ndarray, offsets: np.ndarray, inside: np.ndarray, mixed: n
     ends = np.flatnonzero(stops) + 1
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(mixed * powers(BASE, n), out=prefix[1:])
-    hashes = mix((prefix[ends] - prefix[starts]) * powers(_BASE_INV, n + 1)[starts])
+    hashes = mix((prefix[ends] - prefix[starts]) * powers(BASE_INV, n + 1)[starts])
     return Words(hashes, np.searchsorted(starts, offsets), starts, ends, prefix)
 
 

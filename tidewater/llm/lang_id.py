@@ -63,7 +63,7 @@ def grams(w: kernel.Words, words: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     count = np.maximum(w.ends[words] - w.starts[words] - n + 1, 0)
     owner = np.repeat(np.arange(len(words)), count)
     at = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + w.starts[words][owner]
-    shift = kernel.powers(kernel._BASE_INV, len(w.prefix))[at]
+    shift = kernel.powers(kernel.BASE_INV, len(w.prefix))[at]
     return owner, kernel.mix((w.prefix[at + n] - w.prefix[at]) * shift + np.uint64(n))
 
 

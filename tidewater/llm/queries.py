@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, lang_id, mixture, near_dups, shards
+from tidewater.llm import decontaminate, exact_dups, lang_id, mixture, near_dups, shards, toxicity
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,16 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
+    out = toxicity.rate(docs.select(F.struct("doc_id", "text").alias("row")), model)
+    held_out = lang_id.remainder(F.col("row.doc_id"), 4) == 2
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return out.select("row.doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "passages")
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
