@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, lang_id, mixture, near_dups, shards, toxicity
+from tidewater.llm import decontaminate, exact_dups, lang_id, mixture, near_dups, shards, token_files, toxicity
 from tidewater.llm.common import table
+from tidewater.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,6 +25,13 @@ def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.group_near(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.read_digests(spark, path)
+
+
 @query
 def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

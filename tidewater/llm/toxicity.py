@@ -37,8 +37,8 @@ from tidewater.llm.lang_id import remainder
 FIT_ROWS = 20_000
 MAX_WORDS = 50_000
 PREFIXES = (4, 5, 6)  # bytes
-PRIOR = 1000.0  # pseudo-words of the Dirichlet prior
-LEAST_Z = 5.0
+PRIOR = 0.02  # weight of the Dirichlet prior: so many pseudo-words per counted word
+LEAST_Z = 3.0
 DRIFT = 0.15
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
@@ -161,9 +161,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_words:
     n0, n1 = counts.agg(F.sum("c0"), F.sum("c1")).first()
     if not n0 or not n1:
         return _constant(share)
-    prior = (F.col("c0") + F.col("c1")) * (PRIOR / (n0 + n1))
+    prior = (F.col("c0") + F.col("c1")) * PRIOR
+    weight = (n0 + n1) * PRIOR
     y0, y1 = F.col("c0") + prior, F.col("c1") + prior
-    delta = F.log(y1 / (n1 + PRIOR - y1)) - F.log(y0 / (n0 + PRIOR - y0))
+    delta = F.log(y1 / (n1 + weight - y1)) - F.log(y0 / (n0 + weight - y0))
     scored = counts.select("hash", "c0", delta.alias("delta"), (delta / F.sqrt(1 / y0 + 1 / y1)).alias("z"))
     scored = scored.filter(F.abs("z") >= LEAST_Z).orderBy(F.desc(F.abs("z")), "hash").limit(max_words).toPandas()
     h = scored["hash"].to_numpy(np.int64).view(np.uint64)
