@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, lang_id, mixture, near_dups, shards, token_files, toxicity
+from tidewater.llm import decontaminate, exact_dups, lang_id, licenses, mixture, near_dups, shards, token_files, toxicity
 from tidewater.llm.common import table
 from tidewater.session import scratch_path
 
@@ -46,6 +46,11 @@ def op5_exact_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.assign(table(spark, sf_dir, "documents"))
