@@ -7,11 +7,15 @@ that two sets agree in a register with a probability equal to their Jaccard simi
 
 1. Bands: 64 keys of five registers each. Two sets of similarity 0.75 share no key with a probability near 1e-5.
 2. Documents with equal sets are one class from here on; a bucket counts only when it holds two different sets.
-3. First pairs: each set with the smallest of its bucket; the similarity estimated from the registers, corrected for
-   registers that agree by chance, decides which one of these is compared on full sets. Links give components.
-4. Remaining pairs: in each bucket, sets of different components, whatever their number, after the same estimate. They
-   are enumerated from the sets outside the bucket's largest component, so a bucket full of copies gives no pairs.
-5. Full sets decide every link; the final components are those of all links.
+3. Sets in such buckets get a finer sketch of 2048 registers, of each of which one bit is kept, drawn from the smallest
+   hash and the number of the register. Half of what is different agrees by chance; so corrected, the agreement
+   estimates the similarity with a standard deviation below 0.018 at 0.75.
+4. First pairs: of the smallest sets of its buckets each set takes the one that agrees best. Links give components. This
+   is done twice, the second time between components only.
+5. Remaining pairs: in each bucket, sets of different components, whatever their number, that agree well enough. They are
+   enumerated from the sets outside the bucket's largest component, so a bucket full of copies gives none.
+6. Whole registers, again corrected for those that agree by chance, sort out pairs once more; full sets decide every
+   link. The final components are those of all links.
 
 Links between sets of one component that were not compared cannot change a component.
 
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +46,26 @@ BUCKET_BITS = 7
 MANTISSA = 10
 BANDS = 64
 BAND_ROWS = 5
-#: An estimate of 128 registers strays by 0.038 at a similarity of 0.75; five times that is let through.
-SLACK = 0.19
-#: Below so many shingles registers repeat each other, and pairs go straight to the full sets.
-ESTIMATE_FROM = 256
+#: The estimate from 128 registers strays by 0.038 at a similarity of 0.75; five times that is let through, and more for
+#: small sets, whose registers repeat each other: SMALL / sqrt(shingles).
+SLACK, SMALL = 0.19, 0.6
+FINE_BITS = 11
+#: Of the fine estimate at 0.75; four standard deviations are let through.
+FINE_DEVIATION, FINE_SIGMAS = 0.018, 4
 
 K = 1 << BUCKET_BITS
 _random = np.random.default_rng(20240)
-_BOUNDS = np.arange(K, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
-_BORROW = _random.random((K, K))  # of bucket i: the order in which it asks other buckets
 _PICKS = np.array([_random.choice(K, BAND_ROWS, replace=False) for _ in range(BANDS)])
+TRIES = 24
+
+
+@cache
+def asks(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of 2**bits buckets: the priority it gives to the others, and the first it asks."""
+    priority = np.random.default_rng(bits).random((1 << bits, 1 << bits), np.float32)
+    first = np.argpartition(priority, TRIES, axis=1)[:, :TRIES]
+    order = np.argsort(np.take_along_axis(priority, first, axis=1), axis=1)
+    return priority, np.take_along_axis(first, order, axis=1)
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -68,20 +83,35 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+def smallest(s: np.ndarray, bits: int) -> np.ndarray:
+    """The smallest hash in each of 2**bits buckets of a sorted set; an empty bucket has that of the first full one in
+    its own fixed order of all buckets."""
+    k = 1 << bits
+    at = np.searchsorted(s, np.arange(k, dtype=np.uint64) << np.uint64(64 - bits))
+    full = at < np.append(at[1:], len(s))
+    out = np.empty(k, np.uint64)
+    out[full] = s[at[full]]
+    empty, lender = np.flatnonzero(~full), np.flatnonzero(full)
+    if len(empty):
+        priority, first = asks(bits)
+        if len(lender) > 64:
+            asked = first[empty]
+            good = full[asked]
+            found = good.any(axis=1)
+            out[empty[found]] = out[asked[found, good[found].argmax(axis=1)]]
+            empty = empty[~found]
+        if len(empty):
+            out[empty] = out[lender[np.argmin(priority[np.ix_(empty, lender)], axis=1)]]
+    return out
+
+
 def registers(s: np.ndarray) -> np.ndarray:
     """The HyperMinHash sketch of a sorted set with at least one hash."""
-    at = np.searchsorted(s, _BOUNDS)
-    full = at < np.append(at[1:], len(s))
-    v = s[at[full]] << np.uint64(BUCKET_BITS)
+    v = smallest(s, BUCKET_BITS) << np.uint64(BUCKET_BITS)
     zeros = 64 - np.frexp(v.astype(np.float64))[1]  # of a value that rounds up to a power of two: one less, always
     zeros = np.clip(zeros, 0, 62).astype(np.uint64)
     rest = (v << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
-    out = np.empty(K, np.uint16)
-    out[full] = (zeros << np.uint64(MANTISSA)) | rest
-    if not full.all():
-        lender = np.flatnonzero(full)
-        out[~full] = out[lender[np.argmin(_BORROW[~full][:, lender], axis=1)]]
-    return out
+    return ((zeros << np.uint64(MANTISSA)) | rest).astype(np.uint16)
 
 
 def band_keys(sketch: np.ndarray) -> np.ndarray:
@@ -89,6 +119,29 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return kernel.mix((picked * kernel.powers(kernel.SHINGLE, BAND_ROWS + 1)[1:]).sum(axis=1) + np.arange(BANDS, dtype=np.uint64) * np.uint64(kernel.BASE)).view(np.int64)
 
 
+FINE = [f"f{k}" for k in range((1 << FINE_BITS) // 64)]
+
+
+def fine_bits(s: np.ndarray) -> np.ndarray:
+    """One bit of each fine register, 64 in a long."""
+    low = smallest(s, FINE_BITS) + np.arange(1 << FINE_BITS, dtype=np.uint64) * np.uint64(kernel.SHINGLE)
+    return np.packbits((kernel.mix(low) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
+def agreement(a: str, b: str) -> Column:
+    """Fine registers whose bits differ in columns a_f0 .. and b_f0 .., as the estimated similarity."""
+    differ = F.lit(0)
+    for m in FINE:
+        differ += F.bit_count(F.col(f"{a}_{m}").bitwiseXOR(F.col(f"{b}_{m}")))
+    return 1 - differ * (2.0 / (1 << FINE_BITS))  # half of what is different agrees by chance
+
+
+def may_link(a: str, b: str) -> Column:
+    """By sizes and by the fine estimate."""
+    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (agreement(a, b) >= PERCENT / 100 - FINE_SIGMAS * FINE_DEVIATION)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, digest (of the full set), sketch, bands."""
 
@@ -111,17 +164,20 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, shingles) of the documents named in ``ids`` (doc_id)."""
+    """(doc_id, n, shingles, f0 ..) of the documents named in ``ids`` (doc_id): full set and fine sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                sets = [s.view(np.int64) for s in shingle_sets(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+                sets = list(shingle_sets(part.column(1)))
+                bits = [fine_bits(s) if len(s) else np.zeros(len(FINE), np.int64) for s in sets]
+                fine = [pa.array(c) for c in np.array(bits).T.copy()]
+                n = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), n, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), *fine], ["doc_id", "n", "shingles", *FINE])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(run, f"doc_id {kind}, shingles array<long>")
+    kind = f"doc_id {dict(docs.dtypes)['doc_id']}, n long, shingles array<long>, " + ", ".join(f"{f} long" for f in FINE)
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(run, kind)
 
 
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -133,7 +189,7 @@ def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def estimated(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Pairs (a, b, na, nb) with ``est``, the collision-corrected similarity of their sketches (doc_id, sketch)."""
+    """The pairs (a, b) whose sketches (doc_id, n, sketch) make the similarity likely, after correction for chance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,78 +199,93 @@ def estimated(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
             na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
             by_chance = chance(na, nb)
             est = ((x == y).mean(axis=1) - by_chance) / (1 - by_chance)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")], pa.array(est)], ["a", "b", "na", "nb", "est"])
+            good = pa.array(est >= PERCENT / 100 - SLACK - SMALL / np.sqrt(np.minimum(na, nb)))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
     kind = dict(pairs.dtypes)["a"]
-    one = sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa"))
-    other = sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb"))
+    one = sketch.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    other = sketch.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "na", "nb", "sa", "sb")
-    out = both.mapInArrow(run, f"a {kind}, b {kind}, na long, nb long, est double")
-    return out.filter((F.col("est") >= PERCENT / 100 - SLACK) | (F.least("na", "nb") < ESTIMATE_FROM))
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose full sets have the similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut(full_sets(docs, ids), f"{name}-sets")
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets (doc_id, shingles) have the similarity."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa"))
     other = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb"))
-    both = pairs.select("a", "b").join(one, "a").join(other, "b")
+    both = pairs.join(one, "a").join(other, "b")
     same = F.size(F.array_intersect("xa", "xb"))
     return both.filter(100 * same >= PERCENT * (F.size("xa") + F.size("xb") - same)).select("a", "b")
 
 
-def _sizes_fit(n: Column, m: Column) -> Column:
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
-
-
 def bucket_members(sk: DataFrame) -> DataFrame:
-    """(key, node, n): the different sets in every bucket that holds at least two; node is the smallest doc_id of a set."""
-    own = F.xxhash64("digest")
-    rows = sk.select("doc_id", "n_shingles", own.alias("d"), F.explode("bands").alias("key"))
+    """(key, node): the different sets in every bucket that holds at least two; node is the smallest doc_id of a set."""
+    rows = sk.select("doc_id", F.xxhash64("digest").alias("d"), F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("d").alias("_lo"), F.max("d").alias("_hi"), F.count(F.lit(1)).alias("_n"))
     buckets = cut(buckets.filter("_lo != _hi").select("key", "_n"), "buckets")
     inside = attach(rows, buckets, "key", "_n", sk.count() * BANDS)
-    return inside.groupBy("key", "d").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n")).select("key", "node", "n")
+    return inside.groupBy("key", "d").agg(F.min("doc_id").alias("node")).select("key", "node")
 
 
-def first_pairs(members: DataFrame, total: int) -> DataFrame:
-    """Each set with the smallest of its bucket: distinct (a, b, na, nb)."""
-    least = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    stars = attach(members, cut(least, "bucket-heads"), "key", "_n", total)
-    stars = stars.select(F.col("_first.node").alias("a"), F.col("node").alias("b"), F.col("_first.n").alias("na"), F.col("n").alias("nb"))
-    return stars.filter((F.col("a") != F.col("b")) & _sizes_fit(F.col("na"), F.col("nb"))).distinct()
+def _side(members: DataFrame, fine: DataFrame, name: str, *more: str) -> DataFrame:
+    """(key, name, name_n, name_f0 .., name_<more>) of bucket members; ``fine`` has a row for each set."""
+    own = [F.col(c).alias(f"{name}_{c}") for c in ("n", *FINE)]
+    wanted = [c for c in more if c in fine.columns]
+    found = members.join(fine.select(F.col("doc_id").alias("node"), "n", *FINE, *wanted), "node")
+    return found.select("key", F.col("node").alias(name), *own, *[F.col(c).alias(f"{name}_{c}") for c in more])
 
 
-def other_pairs(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components: distinct (a, b, na, nb)."""
-    side = comp.select(F.col("node").alias("_node"), "comp")
-    m = members.join(side, F.col("node") == F.col("_node"), "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    m = cut(m, "bucket-components")
-    shares = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_c"))
+def best_heads(members: DataFrame, fine: DataFrame, total: int) -> DataFrame:
+    """For each set the one it agrees with best among the heads (smallest sets) of its buckets: (a, b), at most one per b.
+
+    ``members`` (key, node, comp) has a component for each set; heads of the same component are left out.
+    """
+    heads = members.groupBy("key").agg(F.min(F.struct("node", "comp")).alias("h"), F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+    heads = heads.filter("_lo != _hi").select("key", "_n", F.col("h.node").alias("node"), F.col("h.comp").alias("comp"))
+    heads = cut(_side(heads, fine, "a", "comp", "_n").withColumnRenamed("a__n", "_n"), "bucket-heads")
+    pairs = attach(_side(members, fine, "b", "comp"), heads, "key", "_n", total)
+    pairs = pairs.filter((F.col("a_comp") != F.col("b_comp")) & may_link("a", "b"))
+    best = pairs.groupBy("b").agg(F.max(F.struct(agreement("a", "b").alias("s"), (-F.col("a")).alias("a"))).alias("x"))
+    return best.select((-F.col("x.a")).alias("a"), "b")
+
+
+def other_pairs(members: DataFrame, fine: DataFrame) -> DataFrame:
+    """Pairs of one bucket and different components that may be linked: distinct (a, b)."""
+    shares = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_c"))
     mixed = shares.groupBy("key").agg(F.max_by("comp", F.struct("_c", "comp")).alias("main"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_n"))
     mixed = cut(mixed.filter("_k > 1").drop("_k"), "mixed-buckets")
-    left = cut(attach(m, mixed, "key", "_n", m.count()), "mixed-members")
-    x = left.filter("comp != main").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    y = left.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), "main")
-    once = (F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))
-    both = x.join(y, "key").filter((F.col("cx") != F.col("cy")) & once & _sizes_fit(F.col("nx"), F.col("ny")))
-    swap = F.col("x") > F.col("y")
-    pick = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
-    return both.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("nx", "ny").alias("na"), pick("ny", "nx").alias("nb")).distinct()
+    inside = cut(attach(members, mixed, "key", "_n", members.count()), "mixed-members")
+    x = _side(inside.filter("comp != main"), fine, "x", "comp", "bands")
+    y = _side(inside, fine, "y", "comp", "bands", "main")
+    once = (F.col("y_comp") == F.col("y_main")) | (F.col("x") < F.col("y"))
+    # A pair that shares several buckets comes out of the first one only, in which both orders may meet.
+    first = F.col("key") == F.array_min(F.array_intersect("x_bands", "y_bands"))
+    both = x.join(y, "key").filter((F.col("x_comp") != F.col("y_comp")) & once & may_link("x", "y") & first)
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def in_components(members: DataFrame, comp: DataFrame) -> DataFrame:
+    side = comp.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
+    out = members.join(side, F.col("node") == F.col("_node"), "left")
+    return cut(out.select("key", "node", F.coalesce("_comp", "node").alias("comp")), "bucket-components")
 
 
 def links(docs: DataFrame, sk: DataFrame) -> DataFrame:
     """Confirmed links (a, b) between sets (named by their smallest doc_id) whose components are those of all links."""
     members = cut(bucket_members(sk), "bucket-members")
-    ids = members.select(F.col("node").alias("doc_id")).distinct()
-    sketch = cut(sk.select("doc_id", "sketch").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sketches")
-    first = cut(estimated(first_pairs(members, members.count()), sketch), "first-pairs")
-    best = first.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a"))
-    found = cut(confirmed(best, docs, "first"), "first-links")
-    rest = other_pairs(members, components(found)).join(best.select("a", "b"), ["a", "b"], "left_anti")
-    rest = cut(estimated(rest, sketch), "other-pairs")
-    return found.unionByName(confirmed(rest, docs, "other"))
+    total = members.count()
+    ids = cut(members.select(F.col("node").alias("doc_id")).distinct(), "bucket-ids")
+    sketch = sk.select("doc_id", F.col("n_shingles").alias("n"), "sketch", "bands").join(ids, "doc_id", "left_semi")
+    sketch = cut(sketch.dropDuplicates(["doc_id"]), "sketches")
+    sets = cut(full_sets(docs, ids).dropDuplicates(["doc_id"]), "sets")
+    known, placed = None, members.withColumn("comp", F.col("node"))
+    for _ in range(2):
+        new = confirmed(estimated(cut(best_heads(placed, sets, total), "head-pairs"), sketch), sets)
+        known = cut(new if known is None else known.unionByName(new), "head-links")
+        placed = in_components(members, components(known))
+    banded = sets.drop("shingles").join(sketch.select("doc_id", "bands"), "doc_id")
+    rest = estimated(cut(other_pairs(placed, banded), "other-pairs"), sketch)
+    return known.unionByName(confirmed(rest, sets))
 
 
 def group_near(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, lang_id, licenses, mixture, near_dups, shards, token_files, toxicity
+from tidewater.llm import decontaminate, exact_dups, lang_id, licenses, mixture, near_dups, pseudonyms, shards, token_files, toxicity
 from tidewater.llm.common import table
 from tidewater.session import scratch_path
 
@@ -20,6 +20,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = [F.size(F.array_remove("kinds", kind)) for kind in pseudonyms.PATTERNS]
+    count = [(F.size("kinds") - n).cast("long").alias(f"n_{kind}") for kind, n in zip(pseudonyms.PATTERNS, count, strict=True)]
+    return out.select("row.doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), *count)
+
+
 @query
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.group_near(table(spark, sf_dir, "documents"))
