@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from streams import drain, replay
 
 from tidewater.functions.timeexpr import micros
-from tidewater.operators import aggregate, bursts, changelog, joins, late, patterns, windows
+from tidewater.operators import aggregate, bursts, changelog, joins, late, patterns
 from tidewater.plans.views import Views
 from tidewater.streaming import processors as P
 from tidewater.streaming.ordered import run_ordered
@@ -103,12 +103,6 @@ CASES = {
         P.ClickLimit(1),
         lambda d: patterns.click_limit(d, ["user_id"], ORDER, "ts", 1).select("user_id", "seq", "tag"),
     ),
-    "manual_window": (
-        P.ManualWindow("1 day"),
-        lambda d: windows.window_count(d, ["user_id"], "ts", "1 day").select(
-            "user_id", micros("window_start").alias("window_start_us"), micros("window_end").alias("window_end_us"), "cnt"
-        ),
-    ),
     "periodic": (
         P.PeriodicCount("1 day"),
         lambda d: late.periodic_count(d, ["user_id"], "ts", "1 day").select("user_id", micros("tick").alias("tick_us"), "cnt"),
@@ -122,7 +116,7 @@ def test_stream_equals_batch(name, events, stream):
     end_us = events.agg(F.max(micros("ts"))).first()[0]
     got = rows(drain(run_ordered(stream.withWatermark("ts", DELAY), ["user_id"], "ts", "seq", processor)))
     want = rows(batch(events))
-    if name in ("relaxed", "bursts", "manual_window"):
+    if name in ("relaxed", "bursts"):
         # Results that fall due after the end of the data are still open in the stream.
         missing = want - got
         assert not got - want

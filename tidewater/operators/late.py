@@ -76,9 +76,10 @@ def closed_until(
     out: str = "closed_us",
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
-    """The time up to which windows are final when the row arrives, for sliding counts that drop late rows."""
+    """The time up to which windows are final when the row arrives, for sliding counts that drop late rows;
+    NULL before the first watermark, when every window is open."""
     seen = _watermark_before(df, order, ts, delay, policy)
-    return seen.withColumn(out, F.coalesce(F.col("_wm") - F.lit(duration_us(lateness)), F.lit(0))).drop("_wm")
+    return seen.withColumn(out, F.col("_wm") - F.lit(duration_us(lateness))).drop("_wm")
 
 
 def periodic_count(

@@ -125,7 +125,8 @@ ORACLE: dict[str, str] = {
     "stream_as_table": sql("SELECT item_id AS item, behavior AS action, ts AS rt FROM pv", "behavior", "pv"),
     "event_time_column": "SELECT event_id, epoch_us(ts) // 1000 AS ms, date_trunc('second', ts) AS et FROM events",
     # sinks
-    "file_sink_roundtrip": sql("SELECT url, user_name FROM clicks WHERE user_name = 'u7'", "clicks"),
+    "file_sink_roundtrip": sql("SELECT url, user_name FROM clicks", "clicks"),
+    "csv_insert": sql("SELECT url, user_name FROM clicks WHERE user_name = 'u7'", "clicks"),
     "kafka_encode": sql(
         """SELECT user_name AS key, '{"user_name":"' || user_name || '","url":"' || url || '","seq":' || seq || '}' AS value
            FROM clicks""",
@@ -166,12 +167,11 @@ ORACLE: dict[str, str] = {
     "sql_project_view": sql("SELECT url, user_name FROM clicks WHERE user_name <> 'u1'", "clicks"),
     "hash_concat": sql(
         f"SELECT url, CAST({HASH} AS VARCHAR) || '----' || url AS tagged FROM "
-        f"(SELECT url, {hashed('url')} AS h FROM (SELECT DISTINCT url FROM clicks))",
+        f"(SELECT url, {hashed('url')} AS h FROM clicks)",
         "clicks",
     ),
     "route_by_value": sql(
-        """SELECT CASE WHEN user_name IN ('u1', 'u2') THEN user_name ELSE 'rest' END AS tag, count(*) AS cnt
-           FROM clicks GROUP BY 1""",
+        "SELECT CASE WHEN user_name IN ('u1', 'u2') THEN user_name ELSE 'rest' END AS tag, user_name, url, seq FROM clicks",
         "clicks",
     ),
     "custom_partition": f"""SELECT user_id, seq, CAST(abs({HASH} % 4) AS BIGINT) AS pid FROM (SELECT user_id, event_id AS seq,
@@ -462,13 +462,19 @@ ORACLE: dict[str, str] = {
         "pv",
     ),
     "hot_pages": sql(
-        f""", g AS (SELECT '/' || k % 20 AS url, ts, epoch_us(max(ts) OVER (ORDER BY arrival, event_id
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS top_us FROM disordered WHERE event_type = 'view'),
+        f""", g AS (SELECT '/' || k % 20 AS url, ts, top_us FROM wm WHERE event_type = 'view'),
               w AS ({hop('g', 'url, top_us', 10 * MIN, MIN)}),
               c AS (SELECT window_end, url, count(*) AS cnt FROM w
                     WHERE top_us IS NULL OR epoch_us(window_end) > top_us - {2 * MIN} GROUP BY ALL)
             {HOT.format(key='url', n=3)}""",
         "disordered",
+        "wm",
+    ),
+    "hot_pages_late": sql(
+        f"""SELECT event_id, arrival, ts FROM wm WHERE event_type = 'view'
+            AND (epoch_us(ts) // {MIN}) * {MIN} + {10 * MIN} + {MIN} <= top_us - {MIN}""",
+        "disordered",
+        "wm",
     ),
     "window_top2_users": sql(
         f""", c AS (SELECT {start(HOUR)} AS window_start, {end(HOUR)} AS window_end, user_name, count(*) AS cnt
@@ -552,36 +558,27 @@ ORACLE: dict[str, str] = {
         SELECT page_id, word, {hashed('word')} AS h FROM (
           SELECT page_id, unnest(string_split(rtrim(url, '?'), '?')) AS word FROM pages))""",
 }
-# Streams end at the watermark.
-VIEWS["seen"] = f"SELECT * FROM e WHERE epoch_us(ts) <= ((SELECT epoch_us(max(ts)) FROM e) - {HOUR}) // 1000 * 1000"
-VIEWS["seen_clicks"] = f"""SELECT *, k % 5 AS ad_id FROM e WHERE event_type = 'click' AND epoch_us(ts) <=
-    ((SELECT epoch_us(max(ts)) FROM e WHERE event_type = 'click') - {HOUR}) // 1000 * 1000"""
+# Streams.
 ORACLE["stream_changelog"] = sql(
-    """, n AS (SELECT user_id, seq, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS n FROM seen)
+    """, n AS (SELECT user_id, seq, row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) AS n FROM e)
        SELECT user_id, seq, '+I' AS row_kind, n AS cnt FROM n WHERE n = 1
        UNION ALL SELECT user_id, seq, '-U', n - 1 FROM n WHERE n > 1
        UNION ALL SELECT user_id, seq, '+U', n FROM n WHERE n > 1""",
-    "seen",
+    "e",
 )
 ORACLE["stream_every_n"] = sql(
-    """, n AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) - 1) // 5 AS batch FROM seen)
+    """, n AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, seq) - 1) // 5 AS batch FROM e)
        SELECT user_id, batch, CAST(sum(epoch_us(ts) // 1000) // 5 AS BIGINT) AS avg_ms FROM n GROUP BY 1, 2 HAVING count(*) = 5""",
-    "seen",
+    "e",
 )
 ORACLE["stream_click_limit"] = sql(
-    """, n AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, CAST(ts + INTERVAL 8 HOUR AS DATE)
-               ORDER BY ts, seq) AS rn FROM seen_clicks)
+    """, c AS (SELECT *, k % 5 AS ad_id FROM e WHERE event_type = 'click'),
+          n AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, CAST(ts + INTERVAL 8 HOUR AS DATE)
+               ORDER BY ts, seq) AS rn FROM c)
        SELECT user_id, ad_id, seq, CASE rn WHEN 1 THEN 'kept' ELSE 'warning' END AS tag FROM n WHERE rn <= 2""",
-    "seen_clicks",
-)
-ORACLE["stream_hot_items"] = sql(
-    f""", w AS ({hop('pv', 'item_id', HOUR, 5 * MIN)}),
-          c AS (SELECT window_end, item_id, count(*) AS cnt FROM w
-                WHERE epoch_us(window_end) <= ((SELECT epoch_us(max(ts)) FROM pv) - {HOUR}) // 1000 * 1000 GROUP BY ALL)
-        {HOT.format(key='item_id', n=10)}""",
-    "behavior",
-    "pv",
+    "e",
 )
+ORACLE["stream_hot_items"] = ORACLE["hot_items"]
 ORACLE["stream_interval_join"] = sql(
     """SELECT user_id, l_seq, r_seq FROM l JOIN r USING (user_id)
        WHERE r_ts BETWEEN l_ts - INTERVAL 6 HOUR AND l_ts + INTERVAL 12 HOUR""",
@@ -590,6 +587,8 @@ ORACLE["stream_interval_join"] = sql(
 )
 ORACLE["stream_upsert"] = """SELECT user_id, event_type, event_id AS seq FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+ORACLE["csv_file_records"] = ORACLE["csv_records"]
+ORACLE["uv_hll"] = f"SELECT *, TRUE AS within_bound FROM ({ORACLE['hourly_uv']})"
 ORACLE["hourly_pv_salted"] = ORACLE["hourly_pv"]
 ORACLE["sliding_count_panes"] = ORACLE["sliding_count"]
 ORACLE["api_slide"] = ORACLE["sql_hop"]

@@ -1,7 +1,7 @@
 """Registered queries that run as streams: the events table is replayed through a file source until it is drained.
 
-Results that wait for the watermark end where it ends: at the newest event time less the delay, cut to the
-millisecond.
+An end marker, one row of its own key past the newest event time, moves the watermark beyond all rows and windows, so
+that results which wait for the watermark are complete. It is left out of the results.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from tidewater.streaming.ordered import run_ordered
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DELAY = "1 hour"
+MARKER = -1  # the user of the end marker
 
 
 def stream_query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
@@ -41,12 +42,21 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _events(v: Views) -> DataFrame:
+def _events(v: Views, kind: str | None = None) -> DataFrame:
+    """All events and the end marker, with a watermark over all of them. Spark moves filters below the watermark, so
+    the marker is of the ``kind`` of event that the query keeps."""
     path = f"{v.dir}/events.parquet"
+    table = v.spark.read.parquet(path)
+    newest = table.agg(F.max("ts").alias("ts")).select(F.lit(MARKER).alias("user_id"), (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), F.lit(kind).alias("event_type"))
+    kinds = {f.name: f.dataType for f in table.schema}
+    marker = newest.select(*[F.col(c).cast(t).alias(c) if c in newest.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
+    end = scratch_path(v.spark, "stream-end")
+    marker.write.parquet(end)
     # A pattern stands for the table whether it is one file or a folder.
-    rows = v.spark.readStream.schema(v.spark.read.parquet(path).schema).parquet(f"{path}*")
+    rows = v.spark.readStream.schema(table.schema).parquet(f"{path}*").unionByName(v.spark.readStream.schema(table.schema).parquet(end))
     k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint").alias("k")
-    return rows.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), k, F.col("event_id").alias("seq"))
+    rows = rows.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), k, F.col("event_id").alias("seq"))
+    return rows.withWatermark("ts", DELAY)
 
 
 def _finish(v: Views, stream: DataFrame) -> DataFrame:
@@ -54,7 +64,7 @@ def _finish(v: Views, stream: DataFrame) -> DataFrame:
     path = scratch_path(v.spark, "stream-out")
     with _state_partitions(v.spark):
         files.stream_files(stream, path, scratch_path(v.spark, "stream-state")).awaitTermination()
-    return v.spark.read.schema(stream.schema).parquet(path)
+    return v.spark.read.schema(stream.schema).parquet(path).filter(F.col("user_id") != MARKER)
 
 
 def _finish_batches(v: Views, stream: DataFrame, write: Callable[[DataFrame, int], None]) -> None:
@@ -65,25 +75,25 @@ def _finish_batches(v: Views, stream: DataFrame, write: Callable[[DataFrame, int
 
 @stream_query
 def stream_changelog(v: Views) -> DataFrame:
-    events = _events(v).withWatermark("ts", DELAY)
+    events = _events(v)
     return _finish(v, run_ordered(events, ["user_id"], "ts", "seq", P.CountChangelog()))
 
 
 @stream_query
 def stream_every_n(v: Views) -> DataFrame:
-    events = _events(v).withWatermark("ts", DELAY)
+    events = _events(v)
     return _finish(v, run_ordered(events, ["user_id"], "ts", "seq", P.EveryN(5)))
 
 
 @stream_query
 def stream_click_limit(v: Views) -> DataFrame:
-    clicks = _events(v).filter("event_type = 'click'").withColumn("ad_id", F.col("k") % 5).withWatermark("ts", DELAY)
+    clicks = _events(v, "click").filter("event_type = 'click'").withColumn("ad_id", F.col("k") % 5)
     return _finish(v, run_ordered(clicks, ["user_id", "ad_id"], "ts", "seq", P.ClickLimit(1)))
 
 
 @stream_query
 def stream_hot_items(v: Views) -> DataFrame:
-    views = _events(v).filter("event_type = 'view'").withColumnRenamed("k", "item_id").withWatermark("ts", DELAY)
+    views = _events(v, "view").filter("event_type = 'view'").withColumnRenamed("k", "item_id")
     path = scratch_path(v.spark, "stream-out")
     counts = batches.hot_counts(views, "item_id", "ts", "1 hour", "5 minutes")
     ranked = batches.top_n_batch(path, ["window_end"], [F.desc("cnt"), F.asc("item_id")], 10)
@@ -95,16 +105,14 @@ def stream_hot_items(v: Views) -> DataFrame:
 def stream_interval_join(v: Views) -> DataFrame:
     left = _events(v).filter("event_type = 'click'").select("user_id", F.col("ts").alias("l_ts"), F.col("seq").alias("l_seq"))
     right = _events(v).filter("event_type = 'purchase'").select("user_id", F.col("ts").alias("r_ts"), F.col("seq").alias("r_seq"))
-    pairs = joins.interval_join(
-        left.withWatermark("l_ts", DELAY), right.withWatermark("r_ts", DELAY), ["user_id"], "l_ts", "r_ts", "-6 hours", "12 hours"
-    )
+    pairs = joins.interval_join(left, right, ["user_id"], "l_ts", "r_ts", "-6 hours", "12 hours")
     return _finish(v, pairs.select("user_id", "l_seq", "r_seq"))
 
 
 @stream_query
 def stream_upsert(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "stream-log")
-    rows = _events(v).select("user_id", "event_type", "ts", "seq")
+    rows = _events(v).filter(F.col("user_id") != MARKER).select("user_id", "event_type", "ts", "seq")
     _finish_batches(v, rows, upsert.upsert_batch(path, ["user_id"], ["ts", "seq"]))
     latest = upsert.read_latest(v.spark, path, ["user_id"], ["ts", "seq"])
     return latest.select("user_id", "event_type", "seq")

@@ -13,7 +13,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def build_session(app: str = "tidewater", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -68,12 +68,14 @@ def late_split_batch(
         if batch_id > 0:
             before = spark.read.parquet(f"{path}/newest/batch={batch_id - 1}").first()["us"]
         batch = batch.persist()  # read for the newest time, the ordered pass and the output
-        top = batch.agg(F.max(micros(ts)).alias("us")).first()["us"]
-        rows = late_status(batch, order, ts, delay, size, lateness, slide, before, policy)
-        rows.write.mode("overwrite").partitionBy("status").parquet(f"{path}/rows/batch={batch_id}")
-        newest = max((t for t in (before, top) if t is not None), default=None)
-        one = spark.createDataFrame([(newest,)], "us bigint")
-        one.write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
-        batch.unpersist()
+        try:
+            top = batch.agg(F.max(micros(ts)).alias("us")).first()["us"]
+            rows = late_status(batch, order, ts, delay, size, lateness, slide, before, policy)
+            rows.write.mode("overwrite").partitionBy("status").parquet(f"{path}/rows/batch={batch_id}")
+            newest = max((t for t in (before, top) if t is not None), default=None)
+            one = spark.createDataFrame([(newest,)], "us bigint")
+            one.write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from tidewater.functions.timeexpr import micros
 
 US = "_us"
+NEVER = -(1 << 62)  # before any event time
 
 
 class OrderedProcessor(StatefulProcessor):
@@ -56,7 +57,7 @@ class OrderedProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        done, timer = self._clock.get() or (-1, -1)
+        done, timer = self._clock.get() or (NEVER, -1)
         fresh = [
             (r[US], r["_seq"], *[r[n] for n in self._names]) for r in rows if r[US] > done
         ]
@@ -126,7 +127,8 @@ class OrderedProcessor(StatefulProcessor):
             if old is not None and old[1] > watermark // 1000:
                 self._handle.deleteTimer(old[1])
             self._handle.registerTimer(timer)
-        self._clock.update((watermark, timer))
+        # Before the first watermark nothing is late, rows before 1970 included.
+        self._clock.update((watermark if watermark > 0 else NEVER, timer))
 
     def _rows(self, key, out: list[tuple]) -> Iterator[Row]:
         for values in out:
@@ -136,12 +138,16 @@ class OrderedProcessor(StatefulProcessor):
 def run_ordered(
     df: DataFrame, keys: Sequence[str], ts: str, seq: str, processor: OrderedProcessor
 ) -> DataFrame:
-    """Apply a processor to a stream that has a watermark on ``ts``. Output: the keys and the processor's columns."""
+    """Apply a processor to a stream that has a watermark on ``ts``. Output: the keys and the processor's columns.
+
+    Rows without an event time have no place in the order and are left out; rows behind the watermark of their key are
+    late and are left out too: take them from ``batches.late_split_batch`` where they matter.
+    """
     if not df.isStreaming:
         raise ValueError("the batch operators do this on tables")
     types = dict(df.dtypes)
     needed = [n for n, _ in processor.row_fields if n not in keys]
-    slim = df.select(*keys, F.col(ts), micros(ts).alias(US), F.col(seq).cast("bigint").alias("_seq"), *needed)
+    slim = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts), micros(ts).alias(US), F.col(seq).cast("bigint").alias("_seq"), *needed)
     schema = StructType.fromDDL(", ".join([f"{k} {types[k]}" for k in keys] + [processor.output_schema]))
     processor.result_names = schema.names
     return slim.groupBy(*keys).transformWithState(processor, schema, "Append", "eventTime")

@@ -248,27 +248,6 @@ class OrderWatch(OrderedProcessor):
         return None, [(at, "timeout") if state[0] is not None else (state[1], "paid_not_created")]
 
 
-class ManualWindow(OrderedProcessor):
-    """Tumbling count by hand: the open window and its count, emitted when the window ends."""
-
-    state_schema = "win bigint, n bigint"
-    output_schema = "window_start_us bigint, window_end_us bigint, cnt bigint"
-
-    def __init__(self, size: Duration):
-        self.size = duration_us(size)
-
-    def step(self, key, state, us, seq, row):
-        win = us // self.size
-        n = state[1] if state else 0
-        return (win, n + 1), []
-
-    def deadline(self, state):
-        return (state[0] + 1) * self.size
-
-    def expire(self, key, state, at):
-        return None, [(state[0] * self.size, at, state[1])]
-
-
 class PeriodicCount(OrderedProcessor):
     """From the first row of a key on, every ``period``: its rows so far."""
 
