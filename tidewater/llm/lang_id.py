@@ -176,7 +176,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = MAX_WORD
             h = part["hash"].to_numpy(np.int64).view(np.uint64)
             c = part[[f"c{i}" for i in range(len(langs))]].to_numpy(float)
             order = np.argsort(h)
-            logs = np.log((c + SMOOTHING) / (c.sum(axis=0) + SMOOTHING * max(1, len(c)))) if len(c) else c
+            logs = np.log((c + SMOOTHING) / (c.sum(axis=0) + SMOOTHING * (len(c) + 1)))
             out[k] = Table(h[order], logs[order])
         return out
 
