@@ -46,3 +46,27 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op2_near_dups"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other
+), c AS (
+  SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
