@@ -12,7 +12,7 @@ from tidewater.operators import aggregate, joins, late, patterns, windows
 from tidewater.plans.skew import SkewPolicy
 
 EPOCH = dt.datetime(1970, 1, 1)
-SMALL = SkewPolicy(rows_per_task=25, max_keys=3)
+SMALL = SkewPolicy(rows_per_task=25)
 
 
 def ms(t):

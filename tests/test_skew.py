@@ -10,7 +10,7 @@ from tidewater.plans import ordered, skew
 from tidewater.plans.skew import SkewPolicy
 from tidewater.plans.views import Views
 
-TINY = SkewPolicy(rows_per_task=60, max_keys=5, broadcast_rows=1000)
+TINY = SkewPolicy(rows_per_task=60, broadcast_rows=1000)
 ORDER = ["ts", "seq"]
 
 
@@ -37,8 +37,24 @@ def test_hot_keys_are_found_and_bounded(events):
     hot = skew.find_hot_keys(events, ["user_id"], TINY)
     assert {r["user_id"] for r in hot.table.collect()} == {0, None}
     assert skew.find_hot_keys(events, ["user_id"]) is None
-    one = skew.find_hot_keys(events, ["user_id"], SkewPolicy(60, 1))
-    assert [r["user_id"] for r in one.table.collect()] == [0]
+    every = skew.find_hot_keys(events, ["user_id"], SkewPolicy(1))
+    counts = events.groupBy("user_id").count().filter("count > 1")
+    assert every.count == counts.count() == every.table.count()  # no key is left out
+
+
+def test_left_join_with_hot_right_keys(events):
+    left = events.select("user_id", F.col("seq").alias("l"), F.col("k").alias("lk")).filter("l % 7 = 0")
+    right = events.select("user_id", F.col("seq").alias("r"), F.col("k").alias("rk")).filter("r % 3 = 0")
+    for condition in (None, F.col("rk") < F.col("lk")):
+        plain = skew.skew_join(left, right, ["user_id"], "left", condition)
+        same(plain, skew.skew_join(left, right, ["user_id"], "left", condition, TINY))
+    few = left.filter("user_id = 0").limit(3)
+    same(skew.skew_join(few, right, ["user_id"], "left"), skew.skew_join(few, right, ["user_id"], "left", policy=TINY))
+
+
+def test_successors_without_keys(events):
+    args = ([], ["seq"], F.struct("seq"), 3, "x")
+    same(ordered.following(events, *args), ordered.following(events, *args, policy=TINY))
 
 
 KEYED = {

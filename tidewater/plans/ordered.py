@@ -205,7 +205,7 @@ def following(
     hot = _hot(df, keys, policy)
     if hot is None:
         return plain(df)
-    cold_rows, hot_rows = skew.split(df, hot)
+    cold_rows, hot_rows = skew.split(df, hot) if keys else (None, df)
     block_rows = max(policy.rows_per_task, n + 1)
     numbered = number_rows(hot_rows, keys, order, "_rn", policy=policy).withColumn("_at", F.col("_rn") - 1)
     own = F.call_function("div", F.col("_at"), F.lit(block_rows))
@@ -214,4 +214,5 @@ def following(
         "_block", F.explode(F.when(near_start, F.array(own, own - 1)).otherwise(F.array(own)))
     )
     done = leads(copied, [*keys, "_block"], ["_rn"]).filter(F.col("_block") == F.col("_own"))
-    return plain(cold_rows).unionByName(done.drop("_rn", "_at", "_own", "_block"))
+    done = done.drop("_rn", "_at", "_own", "_block")
+    return done if cold_rows is None else plain(cold_rows).unionByName(done)

@@ -1,8 +1,8 @@
 """Hot keys: finding them, and joins that split them.
 
 A key is *hot* when it holds more rows than one task should sort. Hot keys are found by one aggregation with
-map-side combine. The list is bounded: the ``max_keys`` biggest keys above ``rows_per_task``. A key outside
-the list holds at most ``1 / max_keys`` of all rows and takes the plain path, which gives the same rows.
+map-side combine. Their number is bounded by what they are: no more than all rows divided by ``rows_per_task``. The
+number of pieces they are cut into has the same bound, and no key is left out.
 """
 
 from __future__ import annotations
@@ -16,18 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import shared_dir
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """Limits for one task. ``max_chunks`` and ``max_salts`` bound the number of shuffle partitions and of copies
-    for the hottest keys: past them the pieces get larger, and no row is left out. ``even_keys`` states that no key
-    is hot, and saves the count."""
+    """Limits for one task. ``even_keys`` states that no key is hot, and saves the count."""
 
     rows_per_task: int = 5_000_000
-    max_keys: int = 10_000
     broadcast_rows: int = 200_000
-    max_chunks: int = 20_000
-    max_salts: int = 2_000
     even_keys: bool = False
 
 
@@ -37,7 +34,7 @@ DEFAULT = SkewPolicy()
 @dataclass(frozen=True)
 class HotKeys:
     keys: tuple[str, ...]
-    table: DataFrame  # keys + _rows, a local relation of at most max_keys rows
+    table: DataFrame  # keys + _rows, a local relation
     rows: int
     count: int
 
@@ -47,7 +44,7 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAU
     if policy.even_keys:
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    biggest = counts.filter(F.col("_rows") > policy.rows_per_task).orderBy(F.desc("_rows")).limit(policy.max_keys)
+    biggest = counts.filter(F.col("_rows") > policy.rows_per_task)
     rows = biggest.collect()
     if not rows:
         return None
@@ -73,7 +70,7 @@ def bounded_broadcast(df: DataFrame, policy: SkewPolicy = DEFAULT) -> DataFrame:
 
 def _salts(hot: HotKeys, policy: SkewPolicy) -> DataFrame:
     n = F.ceil(F.col("_rows") / F.lit(policy.rows_per_task))
-    return hot.table.select(*hot.keys, F.least(n, F.lit(policy.max_salts)).cast("int").alias("_salts"))
+    return hot.table.select(*hot.keys, n.cast("int").alias("_salts"))
 
 
 def skew_join(
@@ -93,7 +90,9 @@ def skew_join(
     """
     assert how in ("inner", "left")
     hot_left = find_hot_keys(left, keys, policy)
-    hot_right = find_hot_keys(right, keys, policy) if how == "inner" else None
+    hot_right = find_hot_keys(right, keys, policy)
+    if how == "left" and hot_right is not None:
+        return _left_of_hot(left, right, keys, condition, hot_right, policy)
     if hot_left is None and hot_right is None:
         return _equi(left, right, list(keys), how, condition)
     left, right = _deal(left, right, hot_left, keys, "_ls", policy)
@@ -102,6 +101,21 @@ def skew_join(
     return joined.drop("_ls", "_rs")
 
 
+def _left_of_hot(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], condition: Column | None, hot: HotKeys, policy: SkewPolicy
+) -> DataFrame:
+    """Left join where right keys are hot: their rows meet in a salted inner join, then left rows without a partner follow."""
+    shared_dir(left.sparkSession)
+    cold_left, hot_left = split(left, hot)
+    cold_right, hot_right = split(right, hot)
+    out = skew_join(cold_left, cold_right, keys, "left", condition, policy)
+    hot_left = hot_left.withColumn("_row", F.monotonically_increasing_id()).checkpoint()  # ids must not change
+    pairs = skew_join(hot_left, hot_right, keys, "inner", condition, policy)
+    rest = hot_left.join(pairs.select("_row").distinct(), "_row", "left_anti").drop("_row")
+    out = out.unionByName(pairs.drop("_row")).unionByName(rest, allowMissingColumns=True)
+    return out
+
+
 def _equi(left: DataFrame, right: DataFrame, keys: list[str], how: str, condition: Column | None) -> DataFrame:
     if condition is None:
         return left.join(right, keys, how)
@@ -135,7 +149,7 @@ def _hashable(df: DataFrame) -> list[str]:
 def lookup(big: DataFrame, small: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT) -> DataFrame:
     """Inner join of ``big`` with ``small`` (one row per key); rows of hot keys do not move.
 
-    The part of ``small`` that belongs to hot keys has at most ``max_keys`` rows and is broadcast.
+    The part of ``small`` that belongs to hot keys is as small as their list and is broadcast.
     """
 
     def match(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -174,4 +188,4 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], policy: S
 
 
 def tasks_for(rows: int, policy: SkewPolicy) -> int:
-    return min(max(1, math.ceil(rows / policy.rows_per_task)), policy.max_chunks)
+    return max(1, math.ceil(rows / policy.rows_per_task))
