@@ -428,6 +428,14 @@ ORACLE: dict[str, str] = {
         "disordered",
         "wm",
     ),
+    "late_corrected": sql(
+        f"""SELECT {start(HOUR)} AS window_start, {end(HOUR)} AS window_end,
+              count(*) FILTER (top_us IS NULL OR last_end > top_us - {10 * MIN}) AS first_cnt, count(*) AS cnt
+            FROM (SELECT *, (epoch_us(ts) // {HOUR} + 1) * {HOUR} AS last_end FROM wm)
+            WHERE top_us IS NULL OR last_end + {30 * MIN} > top_us - {10 * MIN} GROUP BY 1, 2""",
+        "disordered",
+        "wm",
+    ),
     "late_split": sql(
         f"SELECT event_id, arrival, ts FROM wm WHERE (epoch_us(ts) // {HOUR} + 1) * {HOUR} <= top_us - {HOUR}",
         "disordered",

@@ -543,6 +543,18 @@ def late_status(v: Views) -> DataFrame:
     return s.select("event_id", "status")
 
 
+@query
+def late_corrected(v: Views) -> DataFrame:
+    """Hourly counts when a window closes, and after the rows that its lateness still lets in."""
+    s = late.late_status(v.disordered, ["arrival", "event_id"], "ts", "10 minutes", "1 hour", "30 minutes")
+    hour = timeexpr.duration_us("1 hour")
+    start = timeexpr.cell(timeexpr.micros("ts"), hour) * F.lit(hour)
+    on_time = F.count(F.when(F.col("status") == late.ON_TIME, 1))
+    counts = s.filter(F.col("status") != late.TOO_LATE).groupBy(start.alias("_us")).agg(on_time.alias("first_cnt"), F.count(F.lit(1)).alias("cnt"))
+    ends = [timeexpr.from_micros(F.col("_us") + F.lit(d), v.events, "ts").alias(n) for d, n in ((0, "window_start"), (hour, "window_end"))]
+    return counts.select(*ends, "first_cnt", "cnt")
+
+
 @query
 def late_split(v: Views) -> DataFrame:
     s = late.late_status(v.disordered, ["arrival", "event_id"], "ts", "1 hour", "1 hour")
