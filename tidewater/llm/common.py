@@ -42,7 +42,11 @@ def attach(rows: DataFrame, side: DataFrame, key: str, weight: str, total: int)
     if not found:
         return rows.join(side, key)
     hot = F.broadcast(rows.sparkSession.createDataFrame(found, side.schema))
-    cold_rows = rows.join(hot.select(key), key, "left_anti")
+    keys = [r[key] for r in found]
+    if isinstance(keys[0], (bytes, bytearray)):
+        cold_rows = rows.join(hot.select(key), key, "left_anti")
+    else:
+        cold_rows = rows.filter(~F.col(key).isin(keys))
     return rows.join(hot, key).unionByName(cold_rows.join(side.filter(~is_hot), key))
 
 
