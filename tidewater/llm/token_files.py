@@ -70,19 +70,28 @@ class Encoder:
         self.index: dict[bytes, int] = {}
         self.size = 0
         self.flat = np.empty(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 14, np.int64)
-        self.length = np.zeros(1 << 14, np.int64)
+        self.start, self.length, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))
 
-    def _put(self, word: bytes, ids: np.ndarray) -> None:
-        k = len(self.index)
-        if k == len(self.start):
-            self.start, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length))
+    def shrink(self) -> None:
+        """Forget all but the words met most often."""
+        words, n = list(self.index), len(self.index)
+        keep = np.sort(np.argsort(-self.seen[:n], kind="stable")[: CACHE_WORDS // 3])
+        flat, start, length = self.flat, self.start, self.length
+        self.clear()
+        ids = flat[np.repeat(start[keep] - np.cumsum(length[keep]) + length[keep], length[keep]) + np.arange(length[keep].sum())]
+        self._put([words[i] for i in keep.tolist()], ids, length[keep])
+
+    def _put(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        k, n = len(self.index), len(words)
+        while k + n > len(self.start):
+            self.start, self.length, self.seen = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length, self.seen))
         while self.size + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
         self.flat[self.size : self.size + len(ids)] = ids
-        self.start[k], self.length[k] = self.size, len(ids)
+        self.length[k : k + n] = lengths
+        self.start[k : k + n] = self.size + np.cumsum(lengths) - lengths
         self.size += len(ids)
-        self.index[word] = k
+        self.index.update(zip(words, range(k, k + n), strict=True))
 
     def _learn(self, words: list[bytes]) -> None:
         plain, other = [], []
@@ -93,12 +102,13 @@ class Encoder:
             ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):  # one pre-token for each word
-                for w, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                    self._put(w, ids[a:b])
+                self._put(part, ids, np.diff(ends, prepend=0))
             else:
                 other += part
-        for w, e in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
-            self._put(w, np.array(e.ids, np.uint32))
+        for lo in range(0, len(other), 4096):
+            part = other[lo : lo + 4096]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+            self._put(part, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64))
 
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, without an end id."""
@@ -109,7 +119,7 @@ class Encoder:
             return
         for _, _, data, offsets in kernel.text_slices(column):
             if len(self.index) > CACHE_WORDS:
-                self.clear()
+                self.shrink()
             data, offsets = apart(data, offsets)
             raw = data.tobytes()
             words: list[bytes] = []
@@ -123,6 +133,7 @@ class Encoder:
                 new = [words[i] for i in missing.tolist()]
                 self._learn(list(dict.fromkeys(new)))
                 at[missing] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
+            self.seen[: len(self.index)] += np.bincount(at, minlength=len(self.index))
             n = self.length[at]
             ends = np.concatenate(([0], np.cumsum(n)))
             ids = self.flat[np.repeat(self.start[at] - ends[:-1], n) + np.arange(ends[-1])]
