@@ -77,20 +77,3 @@ def running_total(df: DataFrame, order: Sequence[Column], amount: Column, name:
         (F.col("_n0") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias("_rank"),
         (F.col("_sum0") + F.col("_own")).alias("_before"),
     )
-
-
-def spread(rows: DataFrame, side: DataFrame, key: str, counts: DataFrame, rows_per_task: int, salt: Column) -> DataFrame:
-    """Inner join for a ``side`` with heavy rows: a key with many ``rows`` gets several copies of its side row.
-
-    ``counts`` has one row per key with the number of its rows in ``_rows``.
-    """
-    copies = F.ceil(F.col("_rows") / rows_per_task).cast("int")
-    side = side.join(counts.select(key, copies.alias("_copies")), key)
-    side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
-    big = counts.filter(F.col("_rows") > rows_per_task).select(key, copies.alias("_copies"))
-    total = rows.count()
-    limit = max(1, total // rows_per_task + 1)  # so many keys at most can be past rows_per_task
-    if limit <= 1_000_000:
-        big = F.broadcast(big)
-    rows = rows.join(big, key, "left").withColumn("_salt", F.pmod(salt, F.coalesce("_copies", F.lit(1))).cast("int"))
-    return rows.drop("_copies").join(side, [key, "_salt"]).drop("_salt")

@@ -12,12 +12,11 @@ tables give empty or clean results. Columns of the documents are carried inside
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,7 +149,7 @@ def scan(rows: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_rows:
     return out
 
 
-def _covered(spans: str) -> DataFrame:
+def _covered(spans: Column) -> Column:
     @F.pandas_udf("long")
     def total(s):
         return s.map(lambda b: int((x := np.frombuffer(b, np.int64).reshape(-1, 2))[:, 1].sum() - x[:, 0].sum()))
@@ -207,10 +206,6 @@ def cut_spans(text: str | None, spans: bytes) -> str | None:
     return b" ".join(x for x in out if x).decode()
 
 
-def items_digest(items: str) -> DataFrame:
+def items_digest(items: Column) -> Column:
     """sha256 of the ids sorted as strings and joined by commas."""
     return F.sha2(F.concat_ws(",", F.array_sort(items)), 256)
-
-
-def digest_of(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
