@@ -53,7 +53,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("shard", sharded),
 ]
 
-#: Models, pseudo-random draws and label propagation have no SQL form; the stages are tested against brute force.
+#: Models, pseudo-random draws and packing have no SQL form; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
 
 

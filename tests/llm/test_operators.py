@@ -352,6 +352,29 @@ def test_links_stay_together(spark):
     assert {r["count"] for r in counts} == {200}
 
 
+@pytest.mark.parametrize("share", [0.9, 1.0])
+@pytest.mark.parametrize("each", [2, 4])
+def test_links_stay_together_where_most_rows_have_copies(spark, share, each):
+    n = 9600
+    rows = [(i, f"group {i // each}" if i < n * share else f"single {i}") for i in range(n)]
+    got = shards.assign(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert set(Counter(r.shard for r in got).values()) == {n // 24}
+    groups = defaultdict(set)
+    for r in got:
+        groups[r.hub].add(r.shard)
+    assert sum(len(s) > 1 for s in groups.values()) <= 23  # one group per border
+
+
+def test_only_groups_above_a_shard_are_cut(spark):
+    sizes = [180] * 4 + [110, 90] * 2  # eight shards of 190 rows
+    rows = [(k, f"group {k}") for k, n in enumerate(sizes) for _ in range(n)]
+    rows += [(100 + i, f"single {i}") for i in range(1520 - len(rows))]
+    got = shards.assign(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    assert all(len({r.shard for r in got if r.doc_id == k}) == 1 for k in range(len(sizes)))
+    pieces, room = shards.pack([("a", 250), ("b", 100), ("c", 60)], 4, 110.0)
+    assert len(pieces["a"]) == 3 and pieces["b"] == [(3, 1.0)] and len(pieces["c"]) == 1 and sum(room) == pytest.approx(30)
+
+
 # -- 8 mixture ---------------------------------------------------------------------------------------------------
 
 
