@@ -423,6 +423,15 @@ def test_segments_are_maximal(scores):
     assert max((s for _, _, s in found), default=0) == max(0, best_segment(scores)[0])
 
 
+def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
+    model = toxicity.Model(np.array([kernel.word_hash("idiot")], np.uint64), np.array([3.0]), 1.0, 0.0, (0.0, 1.0, 1.0))
+    texts = ["idiot", "idiot", "", None, "idiot you", "you are an idiot", "idiot idiot idiot", "idiot"]
+    alone = [next(model.texts(pa.array([t], pa.string()))) for t in texts]
+    assert list(model.texts(pa.array(texts, pa.string()))) == alone
+    assert alone[0] == (1, [(0, 1, pytest.approx(3.0 - toxicity.DRIFT))])
+    assert alone[6] == (3, [(0, 3, pytest.approx(3.0 * (1 + 1 / 2 + 1 / 3) - 3 * toxicity.DRIFT))])  # repeats are damped
+
+
 def test_toxicity(spark, clashing, nothing):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(300)]

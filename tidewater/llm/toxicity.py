@@ -3,7 +3,7 @@
 Every word has a score: the log-odds of its use in toxic against other labelled texts under an informative Dirichlet
 prior (words are drawn towards the frequency they have in all labelled texts), where that differs from zero
 by ``LEAST_Z`` standard deviations. A word without such a score takes that of its longest prefix that has one, so that
-unseen endings of a known stem count; a word that repeats the one before it has no score. Every word also pays ``DRIFT``, so that a text without signal scores below zero. One
+unseen endings of a known stem count; the k-th of equal words in a row has 1 / k of the score. Every word also pays ``DRIFT``, so that a text without signal scores below zero. One
 linear scan finds all maximal scoring segments. By extreme-value theory the best segment of a clean text of m words
 exceeds S with probability ``1 - exp(-K m exp(-lambda S))``: lambda is the root of ``E[exp(lambda s)] = 1`` over the words
 of clean texts, K is fitted on the best segments of clean texts. A segment is significant when that probability is
@@ -72,6 +72,15 @@ def prefix_hashes(w: kernel.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return longer, kernel.mix((w.prefix[at + n] - w.prefix[at]) * kernel.powers(kernel.BASE_INV, len(w.prefix))[at] + np.uint64(n))
 
 
+def run_places(w: kernel.Words) -> np.ndarray:
+    """The place, from 1, of each word among equal words in a row; a text begins anew."""
+    at = np.arange(len(w.hashes))
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = w.hashes[1:] != w.hashes[:-1]
+    fresh[w.first[:-1][w.first[:-1] < len(at)]] = True
+    return at - np.maximum.accumulate(np.where(fresh, at, 0)) + 1
+
+
 @dataclass
 class Model:
     hashes: np.ndarray  # sorted
@@ -90,14 +99,14 @@ class Model:
         bitmap[self.hashes >> np.uint64(44)] = True
         for _, _, data, offsets in kernel.text_slices(column):
             w = kernel.byte_words(data, offsets, kernel.ALNUM)
-            s = np.full(len(w.hashes), -DRIFT)
+            s = np.zeros(len(w.hashes))
             if len(self.hashes):  # a later kind of token overrules an earlier one
                 for owner, h in [*(prefix_hashes(w, n) for n in PREFIXES), (np.arange(len(w.hashes)), w.hashes)]:
                     maybe = np.flatnonzero(bitmap[h >> np.uint64(44)])
                     at = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
                     hit = self.hashes[at] == h[maybe]
-                    s[owner[maybe[hit]]] = self.scores[at[hit]] - DRIFT
-            s[1:][w.hashes[1:] == w.hashes[:-1]] = -DRIFT
+                    s[owner[maybe[hit]]] = self.scores[at[hit]]
+            s = s / run_places(w) - DRIFT
             for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
                 yield b - a, segments(s[a:b]) if b > a else []
 
