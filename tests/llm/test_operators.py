@@ -317,6 +317,23 @@ def test_every_rule_is_reached_through_the_gate():
         assert any(g in r.keyword or g in r.regex.replace("\\", "").replace("[cs]", "c").replace("[ -]", " ") for g in license_rules.GATE) or r.keyword in ("://",) or "licen" in r.regex, r
 
 
+WRAPPED = {
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee",
+    "bsd-3-clause": " * Neither the name of the copyright holder nor the names of its\n *   contributors may be used to endorse or promote products",
+    "apache-2.0": '# distributed under the License is distributed on an "AS IS" BASIS,\r\n# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND',
+    "gpl-3.0": "the GNU General Public\n// License,  version 3",
+    "mit": "Permission is hereby granted, free of charge, to any person */\n/* obtaining a copy",
+    "cc-by-4.0": "under CC\nBY 4.0",
+    "public-domain": "put into the public\n\tdomain",
+    "proprietary": "All rights\n;; reserved",
+}
+
+
+def test_wrapped_license_texts(spark):
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(list(WRAPPED.items()), "doc_id string, text string")).collect()}
+    assert all(k in v.split(",") for k, v in got.items()), got
+
+
 # -- 7 shards ----------------------------------------------------------------------------------------------------
 
 

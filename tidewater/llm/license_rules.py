@@ -3,16 +3,34 @@
 A family line gives a label, a keyword that every text with the name contains, an expression for the name, and the SPDX
 identifiers. Each family makes four signatures: identifier tag, grant ("licensed under ..."), link, plain name. The
 phrases of license texts and notices are written out one by one. Lower numbers have priority.
+
+A space in an expression or in a gate word stands for any gap between words: white space, and where a line ends, the end
+of a comment and the comment marks of the next line (``wrapped``). A full stop passes such gaps, each as one character.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 TAG, GRANT, TEXT, NAME = range(4)
 LEVELS = 4
 
 
+BLANK = r"[ \t\x0b\f]"
+MARKS = r"[ \t\x0b\f\r\n*#/;%>|!\"'.-]"
+LINE = rf"{BLANK}*(?:\*/{BLANK}*)?[\r\n]{MARKS}*(?:(?:rem|dnl) )?"
+GAP = rf"(?:{BLANK}+|{LINE})"
+ANY = rf"(?>[^ \t\x0b\f\r\n*]|{LINE}|{BLANK}+|\*)"  # one way to read each text, so that a search never explodes
+
+
+def wrapped(regex: str) -> str:
+    """``regex`` with its spaces as gaps; a character class that holds a space may be a gap too."""
+    tokens = re.findall(r"\\.|\[(?:\\.|[^\]])*\]|.", regex)
+    gap = {" ": GAP, "\\s": GAP, ".": ANY}
+    return "".join(gap.get(t) or (f"(?:{t}|{GAP})" if t[0] == "[" and t[1] != "^" and " " in t else t) for t in tokens)
+
+
 @dataclass(frozen=True)
 class Rule:
     priority: int

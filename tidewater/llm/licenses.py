@@ -1,7 +1,7 @@
 """License scans with ordered signature rules, in DataFrame functions only.
 
 A text is scanned by the rules of ``license_rules`` when it contains one of a few strings, and by a single rule when it
-contains the rule's keyword. Detections are intervals of the text. Sorted by start, the longer first, one pass keeps
+contains the longest word of the rule's keyword. Phrases may be wrapped, doubly spaced or commented out. Detections are intervals of the text. Sorted by start, the longer first, one pass keeps
 those that no interval of the same or a higher priority contains.
 
 Besides, base phrases are found as words: the words of a phrase must stand consecutively, where words are runs of letters,
@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.license_rules import GATE, LEVELS, Rule, rules
+from tidewater.llm.license_rules import GATE, LEVELS, Rule, rules, wrapped
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a text in any case, and of a text in lower case.
@@ -34,7 +34,7 @@ HIT = "array<struct<s:int,e:int,p:int,label:string,confidence:double>>"
 
 def rule_table(found: list[Rule]) -> Column:
     return F.array(*[
-        F.struct(F.lit(r.priority).alias("p"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.regex).alias("regex"), F.lit(r.confidence).alias("confidence"))
+        F.struct(F.lit(r.priority).alias("p"), F.lit(r.label).alias("label"), F.lit(max(r.keyword.split(), key=len, default="")).alias("keyword"), F.lit(wrapped(r.regex)).alias("regex"), F.lit(r.confidence).alias("confidence"))
         for r in found
     ])
 
@@ -106,7 +106,7 @@ def scan(docs: DataFrame, base: list[tuple[str, str]] = BASE, found: list[Rule]
     # Unicode lower case has every ASCII letter that lower-casing A-Z gives, so no text that matters is missed.
     rows = docs.select("doc_id", text.alias("_text"), F.lower(text).alias("_any"))
     needed = [*gate, *[p.rsplit(" ", 1)[-1] for p, _ in base]]
-    gated = reduce(lambda a, b: a | b, [F.contains("_any", F.lit(k)) for k in dict.fromkeys(needed)])
+    gated = reduce(lambda a, b: a | b, [F.col("_any").rlike(wrapped(k)) if " " in k else F.contains("_any", F.lit(k)) for k in sorted(dict.fromkeys(needed), key=lambda k: " " in k)])
     rows = rows.select("doc_id", F.regexp_count("_text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"), F.when(gated, F.translate("_text", UPPER, LOWER)).alias("_low"))
     low = F.col("_low")
     words = F.regexp_extract_all(low, F.lit(LOWER_WORD), F.lit(0))
