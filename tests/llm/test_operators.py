@@ -334,6 +334,47 @@ def test_wrapped_license_texts(spark):
     assert all(k in v.split(",") for k, v in got.items()), got
 
 
+def samples(parsed):
+    """Texts that a parsed expression matches: each alternative and each optional part at least once with and without."""
+    from re import _constants as c
+
+    parts = []
+    for op, arg in parsed:
+        if op is c.LITERAL:
+            parts.append([chr(arg)])
+        elif op is c.NOT_LITERAL or op is c.ANY:
+            parts.append(["q"])
+        elif op is c.IN:
+            kinds = [k for k, _ in arg]
+            own = [chr(v if k is c.LITERAL else v[0]) for k, v in arg if k in (c.LITERAL, c.RANGE)]
+            parts.append(["q"] if c.NEGATE in kinds else own or [" " if any(v is c.CATEGORY_SPACE for _, v in arg) else "q"])
+        elif op is c.BRANCH:
+            parts.append([x for b in arg[1] for x in samples(b)])
+        elif op is c.SUBPATTERN:
+            parts.append(samples(arg[3]))
+        elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+            least, most, inner = arg
+            parts.append([x * max(least, 1) for x in samples(inner)] + ([""] if least == 0 else []))
+    first = [p[0] for p in parts]
+    return ["".join([*first[:i], x, *first[i + 1 :]]) for i, p in enumerate(parts) for x in p] or [""]
+
+
+def test_no_keyword_or_gate_word_drops_a_match(spark):
+    import dataclasses
+    from re import _parser
+
+    rules = license_rules.rules()
+    texts = list(dict.fromkeys(w for r in rules for s in samples(_parser.parse(r.regex)) for w in (s, s.replace(" ", "\n * "))))
+    for r in rules:
+        for s in samples(_parser.parse(r.regex)):
+            assert re.search(license_rules.wrapped(r.regex), s.replace(" ", "\n * ")), (r, s)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    free = licenses.scan(df, found=[dataclasses.replace(r, keyword="") for r in rules], gate=[""])
+    want = {r.doc_id: r.labels for r in free.collect()}
+    assert all(want.values())
+    assert {r.doc_id: r.labels for r in licenses.scan(df).collect()} == want
+
+
 # -- 7 shards ----------------------------------------------------------------------------------------------------
 
 

@@ -110,7 +110,7 @@ PHRASES = [
     ("bsd", "redistributions", r"redistributions (?:of source code|in binary form) must (?:retain|reproduce) the above copyright", 0.85),
     ("apache-2.0", "apache", r"licensed to the apache software foundation \(asf\) under one or more", 0.95),
     ("apache", "apache", r"(?:licensed|released|distributed) under (?:the )?apache licen[cs]e", 0.95),
-    ("apache-2.0", "as is", r"on an \"as is\" basis, without warranties or conditions of any kind", 0.85),
+    ("apache-2.0", "warranties", r"on an \"as is\" basis, without warranties or conditions of any kind", 0.85),
     ("apache-2.0", "license for the", r"see the license for the specific language governing permissions", 0.85),
     ("gpl", "general public", r"under the terms of the gnu general public licen[cs]e", 0.95),
     ("gpl", "general public", r"(?:gnu )?general public licen[cs]e", 0.9),
@@ -136,13 +136,13 @@ PHRASES = [
     ("proprietary", "rights reserved", r"all rights reserved", 0.6),
     ("proprietary", "proprietary", r"proprietary and confidential", 0.8),
     ("proprietary", "prohibited", r"unauthori[sz]ed (?:copying|use|reproduction|distribution)[^.]{0,80} (?:is )?(?:strictly )?prohibited", 0.8),
-    ("proprietary", "license agreement", r"end[- ]user licen[cs]e agreement", 0.7),
-    ("proprietary", "commercial license", r"(?:under|with) a commercial licen[cs]e", 0.7),
-    ("non-commercial", "commercial", r"for (?:non-?commercial|personal) use only", 0.7),
+    ("proprietary", "agreement", r"end[- ]user licen[cs]e agreement", 0.7),
+    ("proprietary", "commercial licen", r"(?:under|with) a commercial licen[cs]e", 0.7),
+    ("non-commercial", "use only", r"for (?:non-?commercial|personal) use only", 0.7),
     ("non-commercial", "commercial", r"may not be used for commercial purposes", 0.7),
     ("notice", "copyright", r"copyright (?:\(c\)|©)? ?(?:19|20)[0-9]{2}", 0.5),
     ("notice", "warranty", r"without (?:any )?warranty of any kind", 0.5),
-    ("notice", "warranties", r"merchantability(?: and|,| or) fitness for a particular purpose", 0.5),
+    ("notice", "merchantability", r"merchantability(?: and|,| or) fitness for a particular purpose", 0.5),
 ]
 
 
@@ -163,7 +163,7 @@ def rules() -> list[Rule]:
 GATE = [
     "licen", "copyright", "permission", "redistribut", "gpl", "public domain", "warrant", "rights reserved",
     "commercial", "proprietary", "prohibited", "creative commons", "creativecommons", "cc by", "cc-by", "cc0",
-    "mit no attribution", "as is", "advertising", "free software", "later version", "unencumbered", "mozilla.org/mpl",
+    "mit no attribution", "use only", "advertising", "free software", "later version", "unencumbered", "mozilla.org/mpl",
     "legal/epl", "marked as such", "as-is", "endorse", "merchantability", "waived", "eupl", "scripts.sil.org", "wtfpl",
-    "publicdomain", "/mpl/",
+    "publicdomain", "mpl/",
 ]
