@@ -88,6 +88,21 @@ def test_pseudonyms_keep_format_and_come_back(spark):
     assert other.text != got[3].text
 
 
+def test_dates_of_every_order_are_replaced_and_stay_linked(spark):
+    texts = ["25/12/2020", "12/25/2020", "2020-12-25", "25.12.2020", "29/02/2020", "31/12/2199", "13/01/1800"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pseudonyms.pseudonymise(df).select("row.doc_id", "text", "kinds").cache()
+    got = [r.text for r in out.orderBy("doc_id").collect()]
+    assert all(a != b for a, b in zip(got, texts, strict=True)) and all(r.kinds == ["date"] for r in out.collect())
+    d, m, y = got[0].split("/")
+    assert int(d) > 12 and got[1:4] == [f"{m}/{d}/{y}", f"{y}-{m}-{d}", f"{d}.{m}.{y}"]
+    assert [r.text for r in pseudonyms.reveal(out).orderBy("row.doc_id").collect()] == texts
+    days = spark.range(146_097).select(F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("d"))
+    both = days.select("d", pseudonyms.Cipher("k").date(F.col("d")).alias("n"))
+    late = [F.substring(c, 9, 2) > "12" for c in ("d", "n")]
+    assert both.agg(F.count_distinct("n"), F.sum((late[0] != late[1]).cast("int"))).first() == (146_097, 0)
+
+
 def test_feistel_is_a_permutation(spark):
     c = pseudonyms.Cipher("k")
     n = spark.range(21 * 13)

@@ -12,7 +12,7 @@ format's values, so equal values get equal pseudonyms in all documents, differen
 | ssn | area not 000, 666, 9xx; group, serial not 0 | hyphens | all valid numbers |
 | phone | a country code and 10 digits in one of the usual forms | country code, punctuation | valid area and exchange codes, or all digits |
 | ip | four octets up to 255 | dots | all addresses |
-| date | a day of the calendar from 1800 to 2199, three orders | order, separators | the 146,097 days of 400 years |
+| date | a day of the calendar from 1800 to 2199, four orders | order, separators | the 88,497 days above 12 of 400 years, or the 57,600 others |
 | email | a name and a domain with a dot | domain, punctuation, case | letters for letters, digits for digits |
 | secret | 8 characters or more after a word like token or password | the word, punctuation, case | letters for letters, digits for digits |
 
@@ -187,20 +187,35 @@ class Cipher:
         return F.when(valid, F.get(F.transform(F.array(out), text), F.lit(0)))
 
     def date(self, v: Column) -> Column:
+        """Days above 12 and up to 12 are permuted among themselves, so each reading stays and all orders stay linked."""
         dotted, slashed = v.contains("."), v.contains("/")
         p = lambda a, n: F.substr(v, F.lit(a), F.lit(n))
         ymd = lambda y, m, d: F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
         day_first, month_first = ymd(p(7, 4), p(4, 2), p(1, 2)), ymd(p(7, 4), p(1, 2), p(4, 2))
         # A slashed date is read with the month first; where that is no day, the day is first and below stays so.
-        given = F.when(dotted, day_first).when(slashed, month_first).otherwise(ymd(p(1, 4), p(6, 2), p(9, 2)))
-        n = F.datediff(given, F.lit("1800-01-01").cast("date"))
-        out = self.pair(F.floor(n / 773), n % 773, F.lit(189), F.lit(773), "date")
+        given = F.when(dotted, day_first).when(slashed, F.coalesce(month_first, day_first)).otherwise(ymd(p(1, 4), p(6, 2), p(9, 2)))
+        start = F.lit("1800-01-01").cast("date")
+        month = (F.year(given) - 1800) * 12 + F.month(given) - 1  # 0 .. 4799
+        day = F.dayofmonth(given)
+        late = day > 12
+        n = F.when(late, F.datediff(given, start) - 12 * (month + 1)).otherwise(month * 12 + day - 1)  # below 88,497 or 57,600
+        width = F.when(late, 9833).otherwise(240)
+        out = self.pair(F.floor(n / width), n % width, F.when(late, 9).otherwise(240), width, "date")
+
+        def late_day(i: Column) -> Column:
+            near = F.transform(F.array(*[F.lit(k) for k in (-1, 0, 1)]), lambda k: (F.floor(i * 4800 / 88_497) + k).cast("int"))
+            days = F.transform(near, lambda m: F.date_add(start, (i + 12 * (m + 1)).cast("int")))
+            return F.get(F.filter(days, lambda d, k: F.trunc(d, "month") == F.add_months(start, F.get(near, k))), F.lit(0))
 
         def text(q: Column) -> Column:
-            d = F.date_add(F.lit("1800-01-01").cast("date"), (q["x"] * 773 + q["y"]).cast("int"))
-            return F.when(dotted, F.date_format(d, "dd.MM.yyyy")).when(slashed, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd"))
-
-        return F.when(n.between(0, 146_096), F.get(F.transform(F.array(out), text), F.lit(0)))
+            i = q["x"] * width + q["y"]
+            early_day = F.date_add(F.add_months(start, F.floor(i / 12).cast("int")), (i % 12).cast("int"))
+            new = F.array(F.when(late, late_day(i)).otherwise(early_day))
+            slashes = lambda d: F.when(month_first.isNull(), F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy"))
+            form = lambda d: F.when(dotted, F.date_format(d, "dd.MM.yyyy")).when(slashed, slashes(d)).otherwise(F.date_format(d, "yyyy-MM-dd"))
+            return F.get(F.transform(new, form), F.lit(0))
+
+        return F.when(month.between(0, 4799), F.get(F.transform(F.array(out), text), F.lit(0)))
 
     def value(self, v: Column) -> Column:
         """struct(kind, new): the first kind whose whole form the value has; kind is NULL where it is not valid."""
