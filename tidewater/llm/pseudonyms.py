@@ -8,13 +8,13 @@ format's values, so equal values get equal pseudonyms in all documents, differen
 | kind | what counts as valid | what stays | range |
 | --- | --- | --- | --- |
 | card | 13 to 19 digits, Luhn sum | first digit, separators; the check digit is computed | the digits between |
-| iban | country, check digits modulo 97, digits | country, spaces; check digits are computed | the account digits |
+| iban | country, check digits modulo 97, letters and digits | country, spaces; check digits are computed | letters for letters, digits for digits |
 | ssn | area not 000, 666, 9xx; group, serial not 0 | hyphens | all valid numbers |
-| phone | a country code and 10 digits in one of the usual forms | country code, punctuation | valid area and exchange codes, or all digits |
+| phone | a country code and groups of digits, 8 to 15 in all, or ten digits grouped 3-3-4 | country code, punctuation | valid area and exchange codes, or all digits |
 | ip | four octets up to 255 | dots | all addresses |
 | date | a day of the calendar from 1800 to 2199, four orders | order, separators | the 88,497 days above 12 of 400 years, or the 57,600 others |
 | email | a name and a domain with a dot | domain, punctuation, case | letters for letters, digits for digits |
-| secret | 8 characters or more after a word like token or password | the word, punctuation, case | letters for letters, digits for digits |
+| secret | 8 characters or more, up to white space or a quote, after a word like token or password | the word, punctuation, case | letters for letters, digits for digits |
 
 What looks alike but is not valid is left as it is.
 
@@ -33,16 +33,23 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KEY = "corpus-pseudonyms-1"  # the default of the registered query; pass a secret one
 
+#: ASCII letters and digits, and the letters of other scripts below U+D800.
+LETTER = "A-Za-z0-9\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02FF\u0300-\u1FFF\u2C00-\u2DFF\u3040-\uD7FF"
+PHONE10 = r"\+[0-9]{1,3}[ -]?(?:\([0-9]{3}\)|[0-9]{3})[ -]?[0-9]{3}[ -]?[0-9]{4}"
+PHONE_ANY = r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\)|[ .-][0-9]{1,5})(?:[ .-]?[0-9]{2,5}){1,5}|\+[0-9]{8,15}"
+PHONE_PLAIN = r"(?<![0-9+.-])(?<![0-9] )(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+SECRET_BLOCK = 256  # secrets are replaced in blocks, so that time stays in proportion to their length
+
 #: Alternatives in order. No group captures, so group 0 is the value.
 PATTERNS = {
-    "secret": r"(?i:(?:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,256})",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,3})?\b",
-    "phone": r"\+[0-9]{1,3}[ -]?(?:\([0-9]{3}\)|[0-9]{3})[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])",
+    "secret": r"(?i:(?:token|password|passwd|secret|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{8,})",
+    "email": rf"(?<![{LETTER}._%+-])[{LETTER}][{LETTER}._%+-]{{0,63}}@(?:[A-Za-z0-9-]{{1,63}}\.){{1,8}}[A-Za-z]{{2,24}}",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4})(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?\b",
+    "phone": rf"(?:{PHONE10}|{PHONE_ANY}|{PHONE_PLAIN})(?![0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
-    "card": r"(?<![0-9-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9]|-[0-9])",
+    "card": r"(?<![0-9-])(?:[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7})(?![0-9]|-[0-9])",
 }
 ANY = "|".join(PATTERNS.values())
 LETTERS, DIGITS26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
@@ -93,15 +100,15 @@ class Cipher:
         joined = F.array_join(F.transform(parts, lambda k: one(F.substr(s, k * block + 1, F.lit(block)))), "")
         return F.when(F.length(s) == 0, F.lit("")).otherwise(joined)
 
-    def refill(self, value: Column, digits: Column) -> Column:
-        """``value`` with its digits replaced in order by ``digits``."""
+    def refill(self, value: Column, digits: Column, kind: str = "0-9") -> Column:
+        """``value`` with its digits (or the characters of ``kind``) replaced in order by ``digits``."""
         chars = F.split(value, "")
-        nth = lambda i: F.length(F.regexp_replace(F.array_join(F.slice(chars, 1, i + 1), ""), "[^0-9]", ""))
-        return F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike("^[0-9]$"), F.substr(digits, nth(i), F.lit(1))).otherwise(c)), "")
+        nth = lambda i: F.length(F.regexp_replace(F.array_join(F.slice(chars, 1, i + 1), ""), f"[^{kind}]", ""))
+        return F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(f"^[{kind}]$"), F.substr(digits, nth(i), F.lit(1))).otherwise(c)), "")
 
     def letters_and_digits(self, s: Column, tweak: str) -> Column:
         """Letters for letters (in the same case), digits for digits, all else in place."""
-        low = F.lower(s)
+        low = F.translate(s, LETTERS.upper(), LETTERS)
         digits = self.string(F.regexp_replace(low, "[^0-9]", ""), 10, tweak)
         letters = F.regexp_replace(low, "[^a-z]", "")
         letters = F.translate(self.string(F.translate(letters, LETTERS, DIGITS26), 26, tweak), DIGITS26, LETTERS)
@@ -127,8 +134,11 @@ class Cipher:
     # -- kinds: each gives the pseudonym, or NULL where the value is not valid -------------------------
 
     def secret(self, v: Column) -> Column:
-        word = F.regexp_extract(v, r"^(?i:[a-z_-]+\s{0,3}[=:]\s{0,3}[\"']?)", 0)
-        return F.concat(word, self.letters_and_digits(F.substr(v, F.length(word) + 1, F.length(v)), "secret"))
+        word = F.regexp_extract(v, r"^(?i:[a-z_-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?)", 0)
+        rest = F.substr(v, F.length(word) + 1, F.length(v))
+        blocks = F.sequence(F.lit(0), F.floor((F.length(rest) - 1) / SECRET_BLOCK).cast("int"))
+        new = F.transform(blocks, lambda k: self.letters_and_digits(F.substr(rest, k * SECRET_BLOCK + 1, F.lit(SECRET_BLOCK)), "secret"))
+        return F.concat(word, F.array_join(new, ""))
 
     def email(self, v: Column) -> Column:
         name = F.substring_index(v, "@", 1)
@@ -145,12 +155,13 @@ class Cipher:
         s = F.regexp_replace(v, " ", "")
         country = F.substr(s, F.lit(1), F.lit(2))
         account = F.substr(s, F.lit(5), F.length(s))
-        letters = F.concat((F.ascii(country) - 55).cast("string"), (F.ascii(F.substr(country, F.lit(2), F.lit(1))) - 55).cast("string"))
-        rest = lambda a, check: F.concat(a, letters, check).cast("decimal(38,0)") % 97
-        new = self.string(account, 10, "iban")
-        check = F.lpad((98 - rest(new, F.lit("00"))).cast("int").cast("string"), 2, "0")
+        # Letters count as two digits, 10 to 35.
+        add = lambda acc, c: F.when(c.rlike("[A-Z]"), acc * 100).otherwise(acc * 10) + F.coalesce(F.conv(c, 36, 10).cast("int"), F.lit(0))
+        rest = lambda a, check: F.aggregate(F.split(F.concat(a, country, check), ""), F.lit(0), lambda acc, c: add(acc, c) % 97)
+        new = self.letters_and_digits(account, "iban")
+        check = F.lpad((98 - rest(new, F.lit("00"))).cast("string"), 2, "0")
         valid = (F.length(account) <= 30) & (rest(account, F.substr(s, F.lit(3), F.lit(2))) == 1)
-        return F.when(valid, self.refill(v, F.concat(check, new)))
+        return F.when(valid, self.refill(v, F.concat(country, check, new), "A-Z0-9"))
 
     def ssn(self, v: Column) -> Column:
         area, group, serial = (F.substr(v, F.lit(a), F.lit(n)).cast("long") for a, n in ((1, 3), (5, 2), (8, 4)))
@@ -175,7 +186,13 @@ class Cipher:
         usual = F.get(F.transform(F.array(out), text), F.lit(0))
         new = F.when((area >= 200) & (exchange >= 200), usual).otherwise(self.string(d, 10, "phone-other"))
         other = F.when((area >= 200) & (exchange >= 200), F.lit(True)).otherwise(F.length(d) == 10)
-        return F.when(other, self.refill(v, F.concat(country, new)))
+        usual_form = F.when(other, self.refill(v, F.concat(country, new)))
+        # Other groupings keep the country code (the first two digits where nothing sets it off) and have 8 to 15 digits.
+        digits = F.regexp_replace(v, "[^0-9]", "")
+        code = F.when(v.startswith("+"), F.coalesce(F.nullif(F.regexp_extract(v, r"^\+([0-9]{1,3})[ .(-]", 1), F.lit("")), F.substr(digits, F.lit(1), F.lit(2)))).otherwise("")
+        own = self.string(F.substr(digits, F.length(code) + 1, F.length(digits)), 10, "phone-any")
+        any_form = F.when(F.length(digits).between(8, 15), self.refill(v, F.concat(code, own)))
+        return F.when(v.rlike(f"^{PHONE10}$"), usual_form).otherwise(any_form)
 
     def ip(self, v: Column) -> Column:
         octets = F.transform(F.split(v, r"\."), lambda o: o.cast("long"))
