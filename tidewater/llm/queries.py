@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, lang_id, licenses, mixture, near_dups, pseudonyms, shards, token_files, toxicity
+from tidewater.llm import decontaminate, exact_dups, hard_negatives, lang_id, licenses, mixture, near_dups, pseudonyms, quality, shards, token_files, toxicity
 from tidewater.llm.common import table
 from tidewater.session import scratch_path
 
@@ -87,3 +87,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(docs, items)
     digest = decontaminate.items_digest(F.col("items"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.training_labels(table(spark, sf_dir, "labels")))
+    out = quality.rate(docs.select(F.struct("doc_id", "text").alias("row")), model)
+    held_out = lang_id.remainder(F.col("row.doc_id"), 4) == 2
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return out.select("row.doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.vectors(table(spark, sf_dir, "embeddings"), label=hard_negatives.relabelled())
+    return hard_negatives.mine(rows, F.pmod("id", F.lit(100)) == 0)
