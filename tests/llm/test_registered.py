@@ -22,6 +22,8 @@ COLUMNS = {
     8: "doc_id size source_size target taken",
     9: "doc_id held_out score predicted",
     10: "doc_id n_words n_hit n_items items_sha256 contaminated",
+    11: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    12: "doc_id held_out score predicted",
 }
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, exact_dups, hard_negatives, lang_id, licenses, mixture, near_dups, pseudonyms, quality, shards, token_files, toxicity
+from tidewater.llm import decontaminate, exact_dups, hard_negatives, lang_id, licenses, mixture, near_dups, pseudonyms, quality, shards, token_alignment, token_files, toxicity
 from tidewater.llm.common import table
 from tidewater.session import scratch_path
 
@@ -89,6 +89,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.struct("doc_id", "text").alias("row"))
+    rows = token_alignment.alignments(rows, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    out = token_alignment.scored(rows.withColumn("row", F.struct("row.doc_id")))
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
