@@ -70,8 +70,8 @@ class Words:
         return np.diff(self.first)
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(from row, to row, bytes, offsets) of about SLICE bytes; a NULL text is empty. A longer text stands alone."""
+def text_slices(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from row, to row, bytes, offsets) of about ``size`` bytes, SLICE if None; a NULL text is empty. A longer text stands alone."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not pa.types.is_large_string(column.type):
@@ -87,7 +87,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + SLICE, "right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + (size or SLICE), "right")) - 1
         hi = min(n, max(lo + 1, hi))
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi

@@ -6,6 +6,10 @@ tokens: byte offsets, verified in both token sequences, at which the next token
 windows of token ids. Groups, the finest pieces in which both sides end together, depend on a window's ids alone,
 so alignments of windows are memoised by their id tuples; in a batch each different window is looked up once.
 
+No token of either vocabulary holds a space after a sign at which a text is cut, and both tokenizers work inside the runs between
+such spaces, so a text's ids are those of its chunks: runs cut at single spaces between two other signs. Each different chunk is
+encoded once per worker while it is remembered. Vocabularies of another kind encode whole texts.
+
 Links pair every token of A with every token of B of the same group. A group keeps its different ids and how often each occurs,
 never its pairs of occurrences: ids (a, b) are linked ``times(a) * times(b)`` times. The count of an id pair is the number of documents
 that hold it linked. Pairs are counted inside each task first. Those that hold more than one of ``HOT_PAIRS`` (document, pair) rows
@@ -19,7 +23,7 @@ are best. An empty table gives no rows. Columns are carried inside one struct, s
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -37,8 +41,11 @@ from tidewater.llm import kernel
 from tidewater.llm.common import cut
 
 HOT_PAIRS = 1 << 17
-MEMO_WINDOWS = 100_000  # windows a worker remembers before it starts anew
-MEMO_TOKENS = 2_000_000
+MEMO_WINDOWS = 50_000  # windows a worker remembers before it starts anew
+SLICE = 1 << 19  # bytes of text handled at once
+MEMO_CHUNKS = 200_000
+MEMO_BYTES = 16_000_000
+SMALL_GROUP = 4096  # links of a group that are spelled out before equal ones are added up
 COUNTED_PAIRS = 2_000_000  # pairs a counting task holds before it gives them on
 SPACE_MARK = "▁"
 PAIR_BITS = 32
@@ -59,6 +66,10 @@ class Vocabulary:
         spaced = np.array([t[:1] == b" " for t in tokens])
         return cls(np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes, spaced)
 
+    def tokens(self) -> Iterator[bytes]:
+        raw = self.data.tobytes()
+        return (raw[a : a + n] for a, n in zip(self.starts.tolist(), self.sizes.tolist(), strict=True))
+
     def joined(self, ids: np.ndarray) -> np.ndarray:
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
@@ -89,72 +100,125 @@ def pieces(path: str) -> tuple[sentencepiece.SentencePieceProcessor, Vocabulary]
 
 
 @dataclass
-class Window:
-    """Alignment of one window."""
+class Runs:
+    """Alignments of windows, as arrays: those of window i are at ``x_at[i]`` to ``x_at[i + 1]``."""
 
-    a: list[list[int]]  # ids of A by group
-    b: list[list[int]]
-    text: bytes  # the groups as a1,a2|b1;a3|b2,b3
-    links: int
+    groups: np.ndarray
+    links: np.ndarray
+    text: np.ndarray  # bytes of the groups, each as a1,a2|b1;
+    text_at: np.ndarray
     pairs: np.ndarray  # different id pairs, a in the upper bits
     times: np.ndarray  # their links
+    pairs_at: np.ndarray
 
+    def one(self, i: int) -> Runs:
+        """A copy of window i."""
+        x, y = self.text_at[i : i + 2]
+        p, q = self.pairs_at[i : i + 2]
+        return Runs(self.groups[i : i + 1].copy(), self.links[i : i + 1].copy(), self.text[x:y].copy(), np.array([0, y - x]), self.pairs[p:q].copy(), self.times[p:q].copy(), np.array([0, q - p]))
 
-def align(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> Window:
-    """Cut two token sequences over the same bytes where both end."""
-    groups_a, groups_b = [[]], [[]]
-    i = j = at_a = at_b = 0
-    while i < len(a) or j < len(b):
-        if at_a == at_b and groups_a[-1]:
-            groups_a.append([])
-            groups_b.append([])
-        if at_a <= at_b:
-            groups_a[-1].append(a[i])
-            at_a += sizes_a[i]
-            i += 1
-        else:
-            groups_b[-1].append(b[j])
-            at_b += sizes_b[j]
-            j += 1
-    linked: Counter[int] = Counter()
-    for x, y in zip(groups_a, groups_b, strict=True):
-        if len(x) == len(y) == 1:
-            linked[x[0] << PAIR_BITS | y[0]] += 1
-        else:
-            times = Counter(y).items()
-            for p, m in Counter(x).items():
-                for q, n in times:
-                    linked[p << PAIR_BITS | q] += m * n
-    text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in zip(groups_a, groups_b, strict=True))
-    links = sum(len(x) * len(y) for x, y in zip(groups_a, groups_b, strict=True))
-    return Window(groups_a, groups_b, text.encode(), links, np.array(list(linked), np.int64), np.array(list(linked.values()), np.int64))
+    @staticmethod
+    def joined(runs: list[Runs]) -> Runs:
+        sizes = [np.concatenate([getattr(r, c)[1:] - getattr(r, c)[:-1] for r in runs]) for c in ("text_at", "pairs_at")]
+        ends = [np.concatenate(([0], np.cumsum(x))) for x in sizes]
+        groups, links, text, pairs, times = (np.concatenate([getattr(r, c) for r in runs]) for c in ("groups", "links", "text", "pairs", "times"))
+        return Runs(groups, links, text, ends[0], pairs, times, ends[1])
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs one after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+@cache
+def decimals(n: int) -> Vocabulary:
+    """The numbers below n in decimal, each with one more byte."""
+    return Vocabulary.of([b"%d," % i for i in range(n)])
+
+
+def align(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, va: Vocabulary, vb: Vocabulary) -> Runs:
+    """Cut windows where both sides end: window i has the next ``n_a[i]`` ids of ``a`` and ``n_b[i]`` of ``b``, over the same bytes."""
+    windows = len(n_a)
+    size_a, size_b = va.sizes[a], vb.sizes[b]
+    at_a, at_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
+    begins = np.intersect1d(at_a, at_b, assume_unique=True)
+    of_a, of_b = np.searchsorted(begins, at_a, "right") - 1, np.searchsorted(begins, at_b, "right") - 1
+    in_a, in_b = np.bincount(of_a, minlength=len(begins)), np.bincount(of_b, minlength=len(begins))
+    last_a, last_b = np.cumsum(in_a), np.cumsum(in_b)
+    first = np.searchsorted(last_a, np.concatenate(([0], np.cumsum(n_a))), "right")  # first group of each window
+    first[0] = 0
+    links = np.diff(np.concatenate(([0], np.cumsum(in_a * in_b)))[first])
+    # The groups as text: ids of A, ids of B.
+    ids = np.empty(len(a) + len(b), np.int64)
+    place_a = np.arange(len(a)) + (last_b - in_b)[of_a]
+    place_b = np.arange(len(b)) + last_a[of_b]
+    ids[place_a], ids[place_b] = a, b
+    d = decimals(max(len(va.sizes), len(vb.sizes)))
+    text, ends = d.joined(ids), np.cumsum(d.sizes[ids])
+    text = text.copy()
+    text[ends[place_a[last_a - 1]] - 1] = 124  # |
+    text[ends[place_b[last_b - 1]] - 1] = 59  # ;
+    text_at = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_a + n_b)))]
+    # Id pairs: small groups all at once, large ones by their different ids.
+    window = np.repeat(np.arange(windows), np.diff(first))
+    size = in_a * in_b
+    small = np.flatnonzero(size <= SMALL_GROUP)
+    each = size[small]
+    inside = spread(np.zeros(len(small), np.int64), each)
+    g = np.repeat(small, each)
+    x = a[(last_a - in_a)[g] + inside // in_b[g]].astype(np.int64)
+    y = b[(last_b - in_b)[g] + inside % in_b[g]]
+    owner, pair, times = [window[g]], [x << PAIR_BITS | y], [np.ones(len(g), np.int64)]
+    for k in np.flatnonzero(size > SMALL_GROUP).tolist():
+        p, m = np.unique(a[last_a[k] - in_a[k] : last_a[k]], return_counts=True)
+        q, n = np.unique(b[last_b[k] - in_b[k] : last_b[k]], return_counts=True)
+        pair.append(((p.astype(np.int64) << PAIR_BITS)[:, None] | q).ravel())
+        times.append((m[:, None] * n).ravel())
+        owner.append(np.full(len(p) * len(q), window[k]))
+    first_pair, pair, times = summed(windows, np.concatenate(owner), np.concatenate(pair), np.concatenate(times))
+    return Runs(np.diff(first), links, text, text_at, pair, times, first_pair)
+
+
+def summed(n: int, owner: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs of each of n owners, with the sums of ``times``; the first entry of each owner leads."""
+    ids, number = np.unique(pair, return_inverse=True)
+    key = owner * len(ids) + number
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(times[order], begins) if len(key) else times
+    key = key[begins]
+    return np.searchsorted(key, np.arange(n + 1) * len(ids)), ids[key % max(len(ids), 1)], sums
 
 
 class Memo:
-    """Windows by their id tuples, bounded in number and size."""
+    """Alignments of windows by their id tuples, bounded in number and size."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, Window] = {}
-        self.tokens = 0
-
-    def get(self, a: np.ndarray, b: np.ndarray, va: Vocabulary, vb: Vocabulary) -> Window:
-        key = len(a).to_bytes(4, "little") + a.tobytes() + b.tobytes()
-        found = self.known.get(key)
-        if found is None:
-            found = align(a.tolist(), b.tolist(), va.sizes[a].tolist(), vb.sizes[b].tolist())
-            if len(self.known) >= MEMO_WINDOWS or self.tokens + len(found.pairs) + len(a) + len(b) > MEMO_TOKENS:
-                self.known.clear()
-                self.tokens = 0
-            self.known[key] = found
-            self.tokens += len(found.pairs) + len(a) + len(b)
-        return found
+        self.known: dict[bytes, Runs] = {}
+        self.size = 0
+
+    def put(self, key: bytes, window: Runs) -> None:
+        self.size += len(key) + len(window.text) + 16 * len(window.pairs)
+        if len(self.known) >= MEMO_WINDOWS or self.size > MEMO_BYTES:
+            self.known.clear()
+            self.size = len(key) + len(window.text) + 16 * len(window.pairs)
+        self.known[key] = window
+
 
+def run_hashes(mixed: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of symbols, each given as a random number."""
+    prefix = np.zeros(len(mixed) + 1, np.uint64)
+    np.cumsum(mixed * kernel.powers(kernel.BASE, len(mixed)), out=prefix[1:])
+    return kernel.mix((prefix[ends] - prefix[starts]) * kernel.powers(kernel.BASE_INV, len(mixed) + 1)[starts])
 
-def run_hashes(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of runs of ids."""
-    prefix = np.zeros(len(ids) + 1, np.uint64)
-    np.cumsum(kernel.mix(ids.astype(np.uint64)) * kernel.powers(kernel.BASE, len(ids)), out=prefix[1:])
-    return kernel.mix((prefix[ends] - prefix[starts]) * kernel.powers(kernel.BASE_INV, len(ids) + 1)[starts])
+
+def different(key: np.ndarray, *runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different run, and of each run which one it is. Runs of one ``key`` are compared; if two differ, all count as different."""
+    _, which, each = np.unique(key, return_index=True, return_inverse=True)
+    if all(same_runs(symbols, starts, ends, which[each]) for symbols, starts, ends in runs):
+        return which, each
+    return np.arange(len(key)), np.arange(len(key))
 
 
 def same_runs(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> bool:
@@ -178,7 +242,33 @@ class Aligned:
     first: np.ndarray  # the id pairs of text i are at first[i] to first[i + 1]
     pairs: np.ndarray
     times: np.ndarray
-    groups: list[list[dict]] | None
+    groups: list[list[dict]] | None  # ids of A and B by group
+
+
+def _signs(kept: list[int], but: list[int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[kept] = True
+    out[but] = False
+    return out
+
+
+#: Bytes that may stand before and after a space at which a text is cut. A byte that can begin other white space, or end
+#: the sign that B writes for a space, is left out.
+BEFORE = _signs([*range(33, 256)], [0x81, 0x85, 0xA0])
+AFTER = _signs([*range(33, 127), *range(128, 256)], [0xC2, 0xE1, 0xE2, 0xE3])
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the chunks of several texts, and the first chunk of each text and past the last."""
+    at = np.flatnonzero(data[1:-1] == 32) + 1
+    at = at[BEFORE[data[at - 1]] & AFTER[data[at + 1]]]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    at = at[~edge[at] & ~edge[at + 1]]  # both neighbours belong to the same text
+    full = np.diff(offsets) > 0
+    starts = np.sort(np.concatenate([offsets[:-1][full], at + 1]))
+    ends = np.sort(np.concatenate([offsets[1:][full], at]))
+    return starts, ends, np.searchsorted(starts, offsets)
 
 
 class Aligner:
@@ -186,17 +276,47 @@ class Aligner:
         self.a, self.va = byte_level(path_a)
         self.b, self.vb = pieces(path_b)
         self.memo = Memo()
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and first places, of A and of B."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+        self.encoded: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        self.size = 0
+        crossing = re.compile(b"[" + b"".join(re.escape(bytes([x])) for x in np.flatnonzero(BEFORE).tolist()) + b"] ")
+        self.by_chunk = not any(crossing.search(t) for v in (self.va, self.vb) for t in v.tokens())
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids and first places of texts in UTF-8, of A and of B."""
+        if self.by_chunk:
+            starts, ends, first = chunks(data, offsets)
+        else:
+            starts, ends, first = offsets[:-1], offsets[1:], np.arange(len(offsets))
+        which, each = different(run_hashes(kernel.BYTE_MIX[data], starts, ends), (data, starts, ends))
+        raw = data.tobytes()
+        found = self._ids([raw[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)])
         out = []
-        for lists in (a, b):
-            sizes = np.array([len(x) for x in lists], np.int64)
-            ids = np.fromiter((i for x in lists for i in x), np.int32, sizes.sum())
-            out += [ids, np.concatenate(([0], np.cumsum(sizes)))]
-        return tuple(out)
+        for side in (0, 1):
+            ids = [x[side] for x in found]
+            sizes = np.array([len(x) for x in ids], np.int64)
+            flat = np.concatenate([np.zeros(0, np.int32), *ids])
+            begins, length = (np.cumsum(sizes) - sizes)[each], sizes[each]
+            total = np.concatenate(([0], np.cumsum(length)))
+            out += [flat[np.repeat(begins - total[:-1], length) + np.arange(total[-1])], total[first]]
+        return out
+
+    def _ids(self, parts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and B of each chunk."""
+        found = [self.encoded.get(p) for p in parts]
+        new = [k for k, x in enumerate(found) if x is None]
+        for lo in range(0, len(new), 1024):
+            some = new[lo : lo + 1024]
+            texts = [parts[k].decode() for k in some]
+            a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+            b = self.b.encode(texts, num_threads=1)
+            for k, x, y in zip(some, a, b, strict=True):
+                found[k] = np.array(x.ids, np.int32), np.array(y, np.int32)
+                self.size += len(parts[k])
+                if len(self.encoded) >= MEMO_CHUNKS or self.size > MEMO_BYTES:
+                    self.encoded.clear()
+                    self.size = len(parts[k])
+                self.encoded[parts[k]] = found[k]
+        return found
 
     def _joins(self, v: Vocabulary, ids: np.ndarray, first: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Of each text whether its tokens join to a space and the text."""
@@ -214,10 +334,10 @@ class Aligner:
             good[i] = np.array_equal(joined[sizes[i] : sizes[i + 1]], with_space[starts[i] : starts[i] + want[i]])
         return good
 
-    def texts(self, texts: list[str], data: np.ndarray, offsets: np.ndarray, groups: bool = False) -> Aligned:
-        """``data`` and ``offsets`` hold the same texts in UTF-8; an empty text stands for NULL too."""
-        n = len(texts)
-        a, first_a, b, first_b = self.encode(texts)
+    def texts(self, data: np.ndarray, offsets: np.ndarray, groups: bool = False) -> Aligned:
+        """Align texts in UTF-8; an empty text stands for NULL too."""
+        n = len(offsets) - 1
+        a, first_a, b, first_b = self.encode(data, offsets)
         good = (np.diff(offsets) > 0) & self._joins(self.va, a, first_a, data, offsets) & self._joins(self.vb, b, first_b, data, offsets)
         n_a, n_b = np.where(good, np.diff(first_a), 0), np.where(good, np.diff(first_b), 0)
         if not good.all():
@@ -233,53 +353,51 @@ class Aligner:
         if not len(anchors):
             to_a, to_b = from_a, from_b
         window_of, found = self._windows(a, from_a, to_a, b, from_b, to_b)
-        text_of = np.searchsorted(first_a, from_a, "right") - 1
-
-        def total(values: list[int]) -> np.ndarray:
-            each = np.array(values, np.int64)[window_of] if len(window_of) else np.zeros(0, np.int64)
-            sums = np.concatenate(([0], np.cumsum(each)))
-            return np.diff(sums[np.searchsorted(text_of, np.arange(n + 1))])
-
-        place = np.searchsorted(text_of, np.arange(n + 1)).tolist()
-        written = np.empty(len(found), object)
-        written[:] = [w.text for w in found]
-        written = written[window_of].tolist()
-        digests = [hashlib.sha256(b";".join(written[x:y])).hexdigest() if y > x else "" for x, y in zip(place, place[1:], strict=False)]
-        first, pairs, times = self._pairs(n, text_of, window_of, found)
-        shown = None
-        if groups:
-            shown = [[{"a": p, "b": q} for w in window_of[x:y].tolist() for p, q in zip(found[w].a, found[w].b, strict=True)] for x, y in zip(place, place[1:], strict=False)]
-        return Aligned(n_a, n_b, total([len(w.a) for w in found]), total([w.links for w in found]), digests, first, pairs, times, shown)
-
-    def _windows(self, a, from_a, to_a, b, from_b, to_b) -> tuple[np.ndarray, list[Window]]:
-        """The different windows, and of each window which one it is."""
-        key = kernel.mix(run_hashes(a, from_a, to_a) + kernel.mix(run_hashes(b, from_b, to_b)))
-        _, which, window_of = np.unique(key, return_index=True, return_inverse=True)
-        like = which[window_of]
-        if not (same_runs(a, from_a, to_a, like) and same_runs(b, from_b, to_b, like)):  # two windows of one hash
-            which = window_of = np.arange(len(key))
-        ends = zip(from_a[which].tolist(), to_a[which].tolist(), from_b[which].tolist(), to_b[which].tolist(), strict=True)
-        return window_of, [self.memo.get(a[p:q], b[r:s], self.va, self.vb) for p, q, r, s in ends]
-
-    def _pairs(self, n: int, text_of: np.ndarray, window_of: np.ndarray, found: list[Window]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The different id pairs of each text and their links."""
-        if not found:
-            return np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        used, repeats = np.unique(text_of * len(found) + window_of, return_counts=True)
-        text, window = used // len(found), used % len(found)
-        ids, number = np.unique(np.concatenate([w.pairs for w in found]), return_inverse=True)
-        times = np.concatenate([w.times for w in found])
-        sizes = np.array([len(w.pairs) for w in found], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        each = sizes[window]
-        at = np.repeat(starts[window], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        key = np.repeat(text, each) * len(ids) + number[at]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        sums = np.add.reduceat((np.repeat(repeats, each) * times[at])[order], begins)
-        key = key[begins]
-        return np.searchsorted(key, np.arange(n + 1) * len(ids)), ids[key % len(ids)], sums
+        first = np.searchsorted(np.searchsorted(first_a, from_a, "right") - 1, np.arange(n + 1))  # first window of each text
+
+        def total(values: np.ndarray) -> np.ndarray:
+            return np.diff(np.concatenate(([0], np.cumsum(values[window_of])))[first])
+
+        sizes = np.diff(found.text_at)[window_of]
+        text = found.text[spread(found.text_at[:-1][window_of], sizes)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[first].tolist()
+        written = [text[p : q - 1] if q > p else None for p, q in zip(ends, ends[1:], strict=False)]
+        digests = ["" if t is None else hashlib.sha256(t).hexdigest() for t in written]
+        used, repeats = np.unique(np.repeat(np.arange(n), np.diff(first)) * max(len(found.groups), 1) + window_of, return_counts=True)
+        owner, window = used // max(len(found.groups), 1), used % max(len(found.groups), 1)
+        each = np.diff(found.pairs_at)[window]
+        at = spread(found.pairs_at[:-1][window], each)
+        pairs = summed(n, np.repeat(owner, each), found.pairs[at], found.times[at] * np.repeat(repeats, each))
+        shown = [_parsed(t) for t in written] if groups else None
+        return Aligned(n_a, n_b, total(found.groups), total(found.links), digests, *pairs, shown)
+
+    def _windows(self, a, from_a, to_a, b, from_b, to_b) -> tuple[np.ndarray, Runs]:
+        """Of each window which it is among the different ones, and their alignments."""
+        hash_a, hash_b = (run_hashes(kernel.mix(x.astype(np.uint64)), p, q) for x, p, q in ((a, from_a, to_a), (b, from_b, to_b)))
+        which, window_of = different(kernel.mix(hash_a + kernel.mix(hash_b)), (a, from_a, to_a), (b, from_b, to_b))
+        # Windows met once in a batch are seldom met again: the others are remembered.
+        often = np.flatnonzero(np.bincount(window_of, minlength=len(which)) > 1)
+        ends = zip(*(x[which[often]].tolist() for x in (from_a, to_a, from_b, to_b)), strict=True)
+        keys = [(q - p).to_bytes(4, "little") + a[p:q].tobytes() + b[r:s].tobytes() for p, q, r, s in ends]
+        known = [self.memo.known.get(k) for k in keys]
+        is_new = np.ones(len(which), bool)
+        is_new[often[[w is not None for w in known]]] = False
+        new = which[is_new]
+        n_a, n_b = to_a[new] - from_a[new], to_b[new] - from_b[new]
+        made = align(a[spread(from_a[new], n_a)], n_a, b[spread(from_b[new], n_b)], n_b, self.va, self.vb)
+        at = np.cumsum(is_new) - 1
+        for k, i, w in zip(keys, often.tolist(), known, strict=True):
+            if w is None:
+                self.memo.put(k, made.one(int(at[i])))
+        at[~is_new] = len(new) + np.arange(len(which) - len(new))
+        return at[window_of], Runs.joined([made, *(w for w in known if w is not None)])
+
+
+def _parsed(text: np.ndarray | None) -> list[dict]:
+    if text is None:
+        return []
+    sides = (g.split("|") for g in text.tobytes().decode().split(";"))
+    return [{"a": [int(i) for i in x.split(",")], "b": [int(i) for i in y.split(",")]} for x, y in sides]
 
 
 # -- over a table --------------------------------------------------------------------------------------
@@ -304,8 +422,8 @@ def alignments(rows: DataFrame, path_a: str, path_b: str, groups: bool = False)
             text = batch.column(0).field("text")
             if batch.column(0).null_count:
                 text = pc.if_else(batch.column(0).is_valid(), text, None)
-            for lo, hi, data, offsets in kernel.text_slices(text):
-                x = aligner.texts(text.slice(lo, hi - lo).fill_null("").to_pylist(), data, offsets, groups)
+            for lo, hi, data, offsets in kernel.text_slices(text, SLICE):
+                x = aligner.texts(data, offsets, groups)
                 first = pa.array(x.first.astype(np.int32))
                 out = [batch.column(0).slice(lo, hi - lo), *(pa.array(getattr(x, c)) for c in COLUMNS), pa.array(x.digests, pa.string())]
                 out += [pa.ListArray.from_arrays(first, pa.array(v)) for v in (x.pairs, x.times)]
