@@ -34,6 +34,13 @@ VIEWS = {
     "disordered": "SELECT *, event_id + (7919 * event_id) % 50 AS arrival FROM e",
     "wm": """SELECT *, epoch_us(max(ts) OVER (ORDER BY arrival, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS top_us FROM disordered""",
+    # Four micro-batches by arrival; the watermark of one is the newest time of those before, in whole milliseconds, less the delay.
+    "slices": f"""SELECT s.slice, (SELECT (max(epoch_us(d.ts)) // 1000) * 1000 - {10 * 60 * 1_000_000} FROM disordered d
+        WHERE (d.arrival - a.low) // a.span < s.slice) AS wm_us
+        FROM (SELECT unnest(range(5)) AS slice) s, (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 4 + 1 AS span FROM disordered) a""",
+    "sliced": """SELECT d.*, s.slice, s.wm_us FROM disordered d,
+        (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 4 + 1 AS span FROM disordered) a, slices s
+        WHERE s.slice = (d.arrival - a.low) // a.span""",
 }
 
 
@@ -441,6 +448,41 @@ ORACLE: dict[str, str] = {
         "disordered",
         "wm",
     ),
+    "stream_late_rows": sql(
+        """SELECT user_id, event_id AS seq, late,
+             CASE WHEN NOT late THEN count(*) OVER (PARTITION BY user_id, late ORDER BY ts, event_id) END AS cnt
+           FROM (SELECT *, coalesce(epoch_us(ts) <= wm_us, false) AS late FROM sliced)""",
+        "disordered",
+        "slices",
+        "sliced",
+    ),
+    "stream_late_corrected": sql(
+        f""", d AS (
+             SELECT k % 3 AS part, slice, (epoch_us(ts) // {HOUR}) * {HOUR} AS w, wm_us FROM sliced
+           ), late AS (
+             SELECT part, w, 'late' AS row_kind, count(*) AS cnt FROM d WHERE w + {HOUR} + {150 * MIN} <= wm_us GROUP BY part, w, slice
+           ), n AS (
+             SELECT part, w, slice, count(*) AS c FROM d
+             WHERE wm_us IS NULL OR w + {HOUR} + {150 * MIN} > wm_us GROUP BY part, w, slice
+           ), fires AS (
+             SELECT part, w, coalesce((SELECT min(s.slice) FROM slices s WHERE s.wm_us >= w + {HOUR}), 99) AS at FROM (SELECT DISTINCT part, w FROM n)
+           ), later AS (
+             SELECT part, w, slice, sum(c) OVER (PARTITION BY part, w ORDER BY slice) AS new, c FROM n
+           ), first AS (
+             SELECT part, w, min(slice) AS slice FROM n GROUP BY part, w
+           ), born AS (
+             SELECT f.part, f.w, greatest(f.at, b.slice) AS at FROM fires f JOIN first b USING (part, w)
+           ), changes AS (
+             SELECT part, w, '+I' AS row_kind, sum(c) AS cnt FROM n JOIN born USING (part, w) WHERE n.slice <= born.at GROUP BY part, w
+             UNION ALL SELECT part, w, '-U', new - c FROM later JOIN born USING (part, w) WHERE later.slice > born.at
+             UNION ALL SELECT part, w, '+U', new FROM later JOIN born USING (part, w) WHERE later.slice > born.at
+             UNION ALL SELECT part, w, row_kind, cnt FROM late
+           )
+           SELECT part, make_timestamp(w) AS window_start, row_kind, CAST(cnt AS BIGINT) AS cnt FROM changes""",
+        "disordered",
+        "slices",
+        "sliced",
+    ),
     "watermark_trace": sql(
         """SELECT event_id, max(ts) OVER (ORDER BY arrival, event_id ROWS UNBOUNDED PRECEDING) - INTERVAL 5 SECOND
            AS watermark FROM disordered""",

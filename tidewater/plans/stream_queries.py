@@ -1,4 +1,5 @@
-"""Registered queries that run as streams: the events table is replayed through a file source until it is drained.
+"""Registered queries that run as streams: the events table is replayed through a file source, in several micro-batches, until
+it is drained.
 
 An end marker, one row of its own key past the newest event time, moves the watermark beyond all rows and windows, so
 that results which wait for the watermark are complete. It is left out of the results.
@@ -6,6 +7,7 @@ that results which wait for the watermark are complete. It is left out of the re
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -18,10 +20,12 @@ from tidewater.session import scratch_path
 from tidewater.sinks import files, upsert
 from tidewater.streaming import batches
 from tidewater.streaming import processors as P
-from tidewater.streaming.ordered import run_ordered
+from tidewater.streaming.ordered import run_ordered, run_tagged
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DELAY = "1 hour"
+SLICES = 4  # micro-batches of events
+SHORT = "10 minutes"  # a delay below the disorder, so that rows come late
 MARKER = -1  # the user of the end marker
 
 
@@ -42,21 +46,28 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _events(v: Views, kind: str | None = None) -> DataFrame:
-    """All events and the end marker, with a watermark over all of them. Spark moves filters below the watermark, so
-    the marker is of the ``kind`` of event that the query keeps."""
-    path = f"{v.dir}/events.parquet"
-    table = v.spark.read.parquet(path)
-    newest = table.agg(F.max("ts").alias("ts")).select(F.lit(MARKER).alias("user_id"), (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), F.lit(kind).alias("event_type"))
-    kinds = {f.name: f.dataType for f in table.schema}
-    marker = newest.select(*[F.col(c).cast(t).alias(c) if c in newest.columns else F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
-    end = scratch_path(v.spark, "stream-end")
-    marker.write.parquet(end)
-    # A pattern stands for the table whether it is one file or a folder.
-    rows = v.spark.readStream.schema(table.schema).parquet(f"{path}*").unionByName(v.spark.readStream.schema(table.schema).parquet(end))
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint").alias("k")
-    rows = rows.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), k, F.col("event_id").alias("seq"))
-    return rows.withWatermark("ts", DELAY)
+def _slices(v: Views, rows: DataFrame, order: str, marker: dict[str, object]) -> DataFrame:
+    """Replay ``rows`` in ``SLICES`` micro-batches of one file each, cut into equal spans of the number ``order``, and then an
+    end marker with the given values, other columns NULL."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    folder = scratch_path(v.spark, "stream-in")
+    low, high = (0, 0) if low is None else (low, high)
+    span = (high - low) // SLICES + 1
+    for k in range(SLICES):  # one after the other: the source takes files in the order of their times
+        mine = rows.filter((F.col(order) >= low + k * span) & (F.col(order) < low + (k + 1) * span))
+        mine.coalesce(1).write.mode("append").parquet(folder)
+    end = v.spark.range(1).select(*[F.lit(marker.get(f.name)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    end.coalesce(1).write.mode("append").parquet(folder)
+    return v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _events(v: Views, kind: str | None = None, order: str = "seq", delay: str = DELAY) -> DataFrame:
+    """All events and the end marker in several micro-batches, with a watermark over all of them. Spark moves filters below the
+    watermark, so the marker is of the ``kind`` of event that the query keeps."""
+    rows = v.disordered.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "k", "seq", "arrival")
+    newest = rows.agg(F.max("ts")).first()[0] or dt.datetime(2000, 1, 1)
+    marker = {"user_id": MARKER, "ts": newest + dt.timedelta(days=40), "event_type": kind}
+    return _slices(v, rows, order, marker).withWatermark("ts", delay)
 
 
 def _finish(v: Views, stream: DataFrame) -> DataFrame:
@@ -95,7 +106,7 @@ def stream_click_limit(v: Views) -> DataFrame:
 def stream_hot_items(v: Views) -> DataFrame:
     views = _events(v, "view").filter("event_type = 'view'").withColumnRenamed("k", "item_id")
     path = scratch_path(v.spark, "stream-out")
-    counts = batches.hot_counts(views, "item_id", "ts", "1 hour", "5 minutes")
+    counts = batches.pane_counts(views, "item_id", "ts", "1 hour", "5 minutes")
     ranked = batches.top_n_batch(path, ["window_end"], [F.desc("cnt"), F.asc("item_id")], 10)
     _finish_batches(v, counts, ranked)
     return v.spark.read.parquet(path).select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "item_id", "cnt", "rn")
@@ -116,3 +127,24 @@ def stream_upsert(v: Views) -> DataFrame:
     _finish_batches(v, rows, upsert.upsert_batch(path, ["user_id"], ["ts", "seq"]))
     latest = upsert.read_latest(v.spark, path, ["user_id"], ["ts", "seq"])
     return latest.select("user_id", "event_type", "seq")
+
+
+@stream_query
+def stream_late_rows(v: Views) -> DataFrame:
+    """Running counts of the rows in time, and the rows that came too late, as two outputs of one operator."""
+    path = scratch_path(v.spark, "stream-out")
+    out = run_tagged(_events(v, order="arrival", delay=SHORT), ["user_id"], "ts", "seq", P.RunningCount())
+    _finish_batches(v, out, batches.tagged_batch(path))
+    rows = v.spark.read.schema(out.schema).parquet(path).filter(F.col("user_id") != MARKER)
+    return rows.select("user_id", F.coalesce("seq", "late_seq").alias("seq"), "cnt", "late")
+
+
+@stream_query
+def stream_late_corrected(v: Views) -> DataFrame:
+    """Hourly counts as they fire, as rows within the lateness correct them, and what comes after that."""
+    rows = _events(v, "none", order="arrival", delay=SHORT)
+    rows = rows.filter(F.col("event_type").isNotNull()).withColumn("user_id", F.when(F.col("user_id") == MARKER, MARKER).otherwise(F.col("k") % 3))
+    changes = P.corrected_windows(rows.select("user_id", "ts"), ["user_id"], "ts", "1 hour", "150 minutes")
+    out = _finish(v, changes)
+    start = F.timestamp_micros("start_us").cast("timestamp_ntz")
+    return out.select(F.col("user_id").alias("part"), start.alias("window_start"), "row_kind", "cnt")

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.timeexpr import Duration, micros
+from tidewater.functions.timeexpr import Duration, duration_us, micros, spark_duration
 from tidewater.operators.late import late_status
 from tidewater.operators.topn import top_n
 from tidewater.operators.windows import window_count
@@ -79,3 +79,23 @@ def late_split_batch(
             batch.unpersist()
 
     return write
+
+
+def tagged_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """The two outputs of :func:`ordered.run_tagged` in folders of their own, written in one pass."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("late").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def pane_counts(df: DataFrame, key: str, ts: str, size: Duration, slide: Duration) -> DataFrame:
+    """Counts per key and sliding window in two stateful steps: rows are counted once per pane of ``slide``, and only the counts of
+    closed panes enter the windows they belong to. ``size`` is a multiple of ``slide``."""
+    if duration_us(size) % duration_us(slide):
+        raise ValueError("size must be a multiple of slide")
+    panes = df.groupBy(key, F.window(ts, spark_duration(slide)).alias("pane")).agg(F.count(F.lit(1)).alias("n"))
+    whole = panes.select(key, "n", F.window_time("pane").alias("pane_time"))
+    sums = whole.groupBy(key, F.window("pane_time", spark_duration(size), spark_duration(slide)).alias("w")).agg(F.sum("n").alias("cnt"))
+    return sums.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")

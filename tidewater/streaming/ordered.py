@@ -2,39 +2,84 @@
 
 Rows of a key wait in state until the watermark has passed them, and are then handled in the order of event
 time and tie breaker. So the result does not depend on the order of arrival (within the watermark's delay) nor
-on the cut into micro-batches, and it equals the batch form. State is the waiting rows plus one small value per
+on the cut into micro-batches, and it equals the batch form.
+
+Waiting rows lie in a map from time bucket to parts of at most ``PART_ROWS`` rows in Arrow format. Arriving rows are added
+without reading what waits; when the watermark moves, only buckets it has reached are read, one after the other, so a task
+holds one bucket of one key. Due rows are handed over as one sorted frame of arrays. State is the map, its index and one small value per
 key, kept in the RocksDB store and checkpointed by Spark.
+
+A row is late when the watermark of its arrival has passed it. Late rows, and rows without an event time, are a second output of the
+same operator (:func:`run_tagged`): every input row is handled or comes out as late.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-from tidewater.functions.timeexpr import micros
+from tidewater.functions.timeexpr import Duration, duration_us, micros
 
 US = "_us"
 NEVER = -(1 << 62)  # before any event time
+PART_ROWS = 8192
+BUCKET = "6 hours"
+
+
+@dataclass
+class Frame:
+    """Rows of one key in order: event time in microseconds, tie breaker, and the columns an operator reads."""
+
+    us: np.ndarray
+    seq: np.ndarray
+    values: list[np.ndarray]
+
+    def __len__(self) -> int:
+        return len(self.us)
+
+    def take(self, rows: np.ndarray) -> Frame:
+        return Frame(self.us[rows], self.seq[rows], [v[rows] for v in self.values])
 
+    def to_bytes(self) -> bytes:
+        columns = [pa.array(x, from_pandas=True) for x in (self.us, self.seq, *self.values)]
+        batch = pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        return sink.getvalue().to_pybytes()
 
-class OrderedProcessor(StatefulProcessor):
-    """Subclasses say what one row does to the state of its key, and when the state needs a wake-up.
+    @staticmethod
+    def of_bytes(parts: Sequence[bytes]) -> Frame:
+        tables = [pa.ipc.open_stream(p).read_all() for p in parts]
+        columns = [np.concatenate([t.column(i).to_numpy() for t in tables]) for i in range(tables[0].num_columns)]
+        return Frame(columns[0], columns[1], columns[2:])
 
-    ``state`` is a tuple of the fields of ``state_schema`` or None for a new key.
+
+class FrameProcessor(StatefulProcessor):
+    """Subclasses say what a frame of due rows does to the state of its key.
+
+    ``state`` is a tuple of the fields of ``state_schema`` or None for a new key. A key may give several frames in a row.
     """
 
     row_fields: Sequence[tuple[str, str]] = ()  # (name, type) of the input columns the operator reads
     state_schema = "n bigint"
     output_schema = "n bigint"
-    result_names: Sequence[str] = ()  # keys and output columns, set by run_ordered
+    bucket: Duration = BUCKET  # width of a time bucket of waiting rows
+    result_names: Sequence[str] = ()  # keys, output columns and the tag, set by the run functions
+    input_names: Sequence[str] = ()
+    tagged = False
 
-    def step(self, key: tuple, state: tuple | None, us: int, seq: int, row: tuple) -> tuple[Any, list[tuple]]:
-        """New state and output values (without the key) for one row."""
+    def frame(self, key: tuple, state: tuple | None, rows: Frame) -> tuple[Any, list]:
+        """New state, and the output columns (without the key) for the rows."""
         raise NotImplementedError
 
     def deadline(self, state: tuple | None) -> int | None:
@@ -47,64 +92,77 @@ class OrderedProcessor(StatefulProcessor):
     # -- Spark interface -------------------------------------------------------------------------
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = ", ".join(f"f{i} {kind}" for i, (_, kind) in enumerate(self.row_fields))
         self._handle = handle
+        self._width = duration_us(self.bucket)
         self._names = [name for name, _ in self.row_fields]
-        self._result = Row(*self.result_names)
-        self._waiting = handle.getListState("waiting", f"us bigint, seq bigint{', ' + fields if fields else ''}")
+        self._waiting = handle.getMapState("waiting", "bucket bigint, part int", "rows binary")
         self._value = handle.getValueState("value", self.state_schema)
-        self._clock = handle.getValueState("clock", "done bigint, timer bigint")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        done, timer = self._clock.get() or (NEVER, -1)
-        fresh = [
-            (r[US], r["_seq"], *[r[n] for n in self._names]) for r in rows if r[US] > done
-        ]
-        if not fresh:
-            return
-        first = min(r[0] for r in fresh)
-        if first > watermark and (timer < 0 or timer > watermark // 1000):
-            # Nothing is due yet: append, without reading what waits.
-            self._waiting.appendList(fresh)
-            self._wake_at(first if timer < 0 else min(first, timer * 1000), watermark)
-            return
-        yield from self._advance(key, fresh, watermark)
+        self._clock = handle.getValueState("clock", "timer bigint, index array<struct<bucket: bigint, parts: int, first: bigint>>")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        watermark = watermark_us(timerValues)
+        timer, index = self._index()
+        for part in rows:
+            part.columns = self.input_names  # computed columns arrive without their names
+            us = part[US].to_numpy()
+            late = part["_no_time"].to_numpy() | (us <= watermark)
+            if late.any() and self.tagged:
+                yield self._late(key, part[late])
+            if late.all():
+                continue
+            fresh = Frame(us, part["_seq"].to_numpy(), [part[n].to_numpy() for n in self._names])
+            self._store(fresh.take(np.flatnonzero(~late)), index)
+        self._wake(timer, index, self._state(), watermark)
 
-    def close(self) -> None:
-        return None
-
-    def _advance(self, key, fresh: list[tuple], watermark: int) -> Iterator[Row]:
-        state = self._value.get()
-        state = tuple(state) if state is not None else None
-        before = state
-        had = [tuple(r) for r in self._waiting.get()]
-        waiting = sorted(had + fresh, key=lambda r: (r[0], r[1]))
-        cut = 0
-        while cut < len(waiting) and waiting[cut][0] <= watermark:
-            us, seq, *values = waiting[cut]
-            for state, out in self._expired(key, state, us):
-                yield from self._rows(key, out)
-            state, out = self.step(key, state, us, seq, tuple(values))
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = watermark_us(timerValues)
+        timer, index = self._index()
+        state = before = self._state()
+        for bucket in sorted(b for b, (_, first) in index.items() if first <= watermark):
+            parts, _ = index.pop(bucket)
+            waiting = Frame.of_bytes([self._waiting.getValue((bucket, k))[0] for k in range(parts)])
+            for k in range(parts):
+                self._waiting.removeKey((bucket, k))
+            due = waiting.us <= watermark
+            if not due.all():
+                self._store(waiting.take(np.flatnonzero(~due)), index)
+                waiting = waiting.take(np.flatnonzero(due))
+            state, out = self.frame(key, state, waiting.take(np.lexsort((waiting.seq, waiting.us))))
             yield from self._rows(key, out)
-            cut += 1
         for state, out in self._expired(key, state, watermark):
-            yield from self._rows(key, out)
-        rest = waiting[cut:]
-        if cut or fresh:
-            if rest:
-                self._waiting.put(rest)
-            elif had:
-                self._waiting.clear()
+            yield from self._rows(key, _columns(out))
         if state != before:
             if state is None:
                 self._value.clear()
             else:
                 self._value.update(state)
-        self._wake(rest, state, watermark)
+        self._wake(timer, index, state, watermark)
+
+    def close(self) -> None:
+        return None
+
+    # -- helpers -----------------------------------------------------------------------------------
+
+    def _state(self) -> tuple | None:
+        state = self._value.get()
+        return None if state is None else tuple(state)
+
+    def _index(self) -> tuple[int, dict[int, tuple[int, int]]]:
+        """The timer, and of each bucket its parts and the first event time in it."""
+        found = self._clock.get()
+        if found is None:
+            return -1, {}
+        return found[0], {b: (parts, first) for b, parts, first in (tuple(x) for x in found[1])}
+
+    def _store(self, rows: Frame, index: dict[int, tuple[int, int]]) -> None:
+        buckets = rows.us // self._width
+        for b in np.unique(buckets).tolist():
+            mine = np.flatnonzero(buckets == b)
+            parts, first = index.get(b, (0, 1 << 62))
+            for lo in range(0, len(mine), PART_ROWS):
+                self._waiting.updateValue((b, parts), (rows.take(mine[lo : lo + PART_ROWS]).to_bytes(),))
+                parts += 1
+            index[b] = parts, min(first, int(rows.us[mine].min()))
 
     def _expired(self, key, state, now: int):
         due = self.deadline(state) if state is not None else None
@@ -113,41 +171,97 @@ class OrderedProcessor(StatefulProcessor):
             yield state, out
             due = self.deadline(state) if state is not None else None
 
-    def _wake(self, rest: list[tuple], state, watermark: int) -> None:
-        due = [rest[0][0]] if rest else []
+    def _wake(self, old: int, index: dict[int, tuple[int, int]], state: tuple | None, watermark: int) -> None:
+        """Keep one timer per key, at the first whole millisecond from the earliest waiting row or deadline on."""
+        due = [first for _, first in index.values()]
         if state is not None and (at := self.deadline(state)) is not None:
             due.append(at)
-        self._wake_at(min(due) if due else None, watermark)
-
-    def _wake_at(self, us: int | None, watermark: int) -> None:
-        """Keep one timer per key, at the first whole millisecond from ``us`` on."""
-        timer = -(-us // 1000) if us is not None else -1
-        old = self._clock.get()
-        if timer >= 0 and (old is None or old[1] != timer):
-            if old is not None and old[1] > watermark // 1000:
-                self._handle.deleteTimer(old[1])
-            self._handle.registerTimer(timer)
-        # Before the first watermark nothing is late, rows before 1970 included.
-        self._clock.update((watermark if watermark > 0 else NEVER, timer))
-
-    def _rows(self, key, out: list[tuple]) -> Iterator[Row]:
-        for values in out:
-            yield self._result(*key, *values)
-
-
-def run_ordered(
-    df: DataFrame, keys: Sequence[str], ts: str, seq: str, processor: OrderedProcessor
-) -> DataFrame:
-    """Apply a processor to a stream that has a watermark on ``ts``. Output: the keys and the processor's columns.
+        timer = -(-min(due) // 1000) if due else -1
+        if timer != old:
+            if old > watermark // 1000:
+                self._handle.deleteTimer(old)
+            if timer >= 0:
+                self._handle.registerTimer(timer)
+        if timer < 0:
+            self._clock.clear()
+        else:
+            self._clock.update((timer, [(b, *x) for b, x in sorted(index.items())]))
 
-    Rows without an event time have no place in the order and are left out; rows behind the watermark of their key are
-    late and are left out too: take them from ``batches.late_split_batch`` where they matter.
-    """
+    def _rows(self, key: tuple, out: list) -> Iterator[pd.DataFrame]:
+        if not out or not len(out[0]):
+            return
+        n = len(out[0])
+        columns = [np.full(n, k, None if isinstance(k, (int, float)) else object) for k in key] + list(out)
+        if self.tagged:
+            columns += [np.zeros(n, bool), np.full(n, None), np.full(n, None)]
+        yield pd.DataFrame(dict(zip(self.result_names, columns, strict=True)))
+
+    def _late(self, key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        n = len(rows)
+        us = rows[US].astype(object).where(~rows["_no_time"], None)
+        blank = len(self.result_names) - len(key) - 3
+        columns = [np.full(n, k, object) for k in key] + [np.full(n, None)] * blank + [np.ones(n, bool), rows["_seq"].to_numpy(), us.to_numpy()]
+        return pd.DataFrame(dict(zip(self.result_names, columns, strict=True)))
+
+
+class OrderedProcessor(FrameProcessor):
+    """An operator that looks at one row after the other: what a row does may set a deadline before the next row."""
+
+    def step(self, key: tuple, state: tuple | None, us: int, seq: int, row: tuple) -> tuple[Any, list[tuple]]:
+        """New state and output values (without the key) for one row."""
+        raise NotImplementedError
+
+    def frame(self, key, state, rows):
+        out: list[tuple] = []
+        values = list(zip(*(v.tolist() for v in rows.values), strict=True)) or [()] * len(rows)
+        for us, seq, row in zip(rows.us.tolist(), rows.seq.tolist(), values, strict=True):
+            for state, more in self._expired(key, state, us):
+                out += more
+            state, more = self.step(key, state, us, seq, row)
+            out += more
+        return state, _columns(out)
+
+
+def _columns(rows: list[tuple]) -> list:
+    """Columns of objects, so that integers beside NULLs stay integers."""
+    out = []
+    for values in zip(*rows, strict=True):
+        column = np.empty(len(values), object)
+        column[:] = values
+        out.append(column)
+    return out
+
+
+def watermark_us(timer_values) -> int:
+    """In microseconds; before the first one nothing is late, rows before 1970 included."""
+    ms = timer_values.getCurrentWatermarkInMs()
+    return ms * 1000 if ms > 0 else NEVER
+
+
+def _run(df: DataFrame, keys: Sequence[str], ts: str, seq: str, processor: FrameProcessor, tag: str) -> DataFrame:
     if not df.isStreaming:
         raise ValueError("the batch operators do this on tables")
     types = dict(df.dtypes)
     needed = [n for n, _ in processor.row_fields if n not in keys]
-    slim = df.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts), micros(ts).alias(US), F.col(seq).cast("bigint").alias("_seq"), *needed)
-    schema = StructType.fromDDL(", ".join([f"{k} {types[k]}" for k in keys] + [processor.output_schema]))
-    processor.result_names = schema.names
-    return slim.groupBy(*keys).transformWithState(processor, schema, "Append", "eventTime")
+    # Without the event-time column itself Spark leaves late rows to the operator.
+    no_time = F.col(ts).isNull()
+    slim = df.select(*keys, F.coalesce(micros(ts), F.lit(NEVER)).alias(US), no_time.alias("_no_time"), F.col(seq).cast("bigint").alias("_seq"), *needed)
+    schema = StructType.fromDDL(", ".join([f"{k} {types[k]}" for k in keys] + [processor.output_schema + tag]))
+    processor.result_names, processor.input_names = schema.names, slim.columns
+    return slim.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "eventTime")
+
+
+def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, seq: str, processor: FrameProcessor) -> DataFrame:
+    """Apply a processor to a stream that has a watermark on ``ts``. Output: the keys and the processor's columns.
+
+    Late rows and rows without an event time have no place in the order and are left out: :func:`run_tagged` gives them too.
+    """
+    return _run(df, keys, ts, seq, processor, "")
+
+
+def run_tagged(df: DataFrame, keys: Sequence[str], ts: str, seq: str, processor: FrameProcessor) -> DataFrame:
+    """As :func:`run_ordered` with two outputs in one: ``late`` is false for rows of the processor, and true for input
+    rows that came too late or have no event time, with their ``late_seq`` and ``late_us``. Split it on write, for example
+    by partition (``batches.tagged_batch``)."""
+    processor.tagged = True
+    return _run(df, keys, ts, seq, processor, ", late boolean, late_seq bigint, late_us bigint")

@@ -4,31 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from tidewater.functions.timeexpr import Duration, duration_us
-from tidewater.streaming.ordered import OrderedProcessor
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
+from tidewater.functions.timeexpr import Duration, duration_us, micros
+from tidewater.streaming.ordered import US, FrameProcessor, OrderedProcessor, watermark_us
 
-class RunningCount(OrderedProcessor):
+
+class RunningCount(FrameProcessor):
     state_schema = "n bigint"
     output_schema = "seq bigint, cnt bigint"
 
-    def step(self, key, state, us, seq, row):
-        n = (state[0] if state else 0) + 1
-        return (n,), [(seq, n)]
+    def frame(self, key, state, rows):
+        n = (state[0] if state else 0) + np.arange(1, len(rows) + 1)
+        return (int(n[-1]),), [rows.seq, n]
+
 
+class CountChangelog(FrameProcessor):
+    """The first row of a key is an insert; each further one takes back the count before and gives the new one."""
 
-class CountChangelog(OrderedProcessor):
     state_schema = "n bigint"
     output_schema = "seq bigint, row_kind string, cnt bigint"
 
-    def step(self, key, state, us, seq, row):
-        if state is None:
-            return (1,), [(seq, "+I", 1)]
-        n = state[0]
-        return (n + 1,), [(seq, "-U", n), (seq, "+U", n + 1)]
+    def frame(self, key, state, rows):
+        before = state[0] if state else 0
+        n = before + np.arange(len(rows))
+        counts = np.stack([n, n + 1], axis=1).ravel()
+        kinds = np.tile(np.array(["-U", "+U"], object), len(rows))
+        seq = np.repeat(rows.seq, 2)
+        if not before:
+            counts, kinds, seq = counts[1:], kinds[1:], seq[1:]
+            kinds[0] = "+I"
+        return (before + len(rows),), [seq, kinds, counts]
 
 
-class EveryN(OrderedProcessor):
+class EveryN(FrameProcessor):
     """Mean event time (milliseconds) of each ``n`` rows."""
 
     state_schema = "n bigint, total_ms bigint, batch bigint"
@@ -37,15 +50,20 @@ class EveryN(OrderedProcessor):
     def __init__(self, n: int):
         self.n = n
 
-    def step(self, key, state, us, seq, row):
+    def frame(self, key, state, rows):
         n, total, batch = state or (0, 0, 0)
-        n, total = n + 1, total + us // 1000
-        if n < self.n:
-            return (n, total, batch), []
-        return (0, 0, batch + 1), [(batch, total // n)]
-
-
-class CompleteBatches(OrderedProcessor):
+        sums = np.concatenate(([0], np.cumsum(rows.us // 1000)))
+        ends = np.arange(self.n - n, len(rows) + 1, self.n)  # rows of this frame in each full batch
+        totals = sums[ends]
+        means = np.diff(totals, prepend=-total) // self.n if len(ends) else totals
+        done = len(ends)
+        used = int(ends[-1]) if done else 0
+        rest = int(sums[-1] - sums[used]) + (0 if done else total)
+        state = (n + len(rows) - done * self.n, rest, batch + done)
+        return state, [batch + np.arange(done), means]
+
+
+class CompleteBatches(FrameProcessor):
     """Rows leave in batches of ``n``; the rest stays in checkpointed state and goes on after a restart."""
 
     state_schema = "batch bigint, held array<bigint>"
@@ -54,12 +72,12 @@ class CompleteBatches(OrderedProcessor):
     def __init__(self, n: int):
         self.n = n
 
-    def step(self, key, state, us, seq, row):
+    def frame(self, key, state, rows):
         batch, held = state or (0, [])
-        held = [*held, seq]
-        if len(held) < self.n:
-            return (batch, held), []
-        return (batch + 1, []), [(s, batch) for s in held]
+        seq = np.concatenate([np.array(held, np.int64), rows.seq])
+        full = len(seq) // self.n
+        out = [seq[: full * self.n], batch + np.repeat(np.arange(full), self.n)]
+        return (batch + full, seq[full * self.n :].tolist()), out
 
 
 class KeyedStateView(OrderedProcessor):
@@ -193,7 +211,7 @@ class FailureBursts(OrderedProcessor):
         return None, ([state] if state[2] >= self.n else [])
 
 
-class ClickLimit(OrderedProcessor):
+class ClickLimit(FrameProcessor):
     """Per key and day the first ``limit`` rows pass, the next gives a warning, the rest are dropped."""
 
     state_schema = "day bigint, n bigint"
@@ -202,12 +220,15 @@ class ClickLimit(OrderedProcessor):
     def __init__(self, limit: int, zone_hours: int = 8):
         self.limit, self.shift = limit, zone_hours * 3_600_000_000
 
-    def step(self, key, state, us, seq, row):
-        day = (us + self.shift) // 86_400_000_000
-        n = state[1] if state and state[0] == day else 0
-        if n > self.limit:
-            return (day, n), []
-        return (day, n + 1), [(seq, "kept" if n < self.limit else "warning")]
+    def frame(self, key, state, rows):
+        day = (rows.us + self.shift) // 86_400_000_000  # rises with the rows
+        first = np.searchsorted(day, day)
+        n = np.arange(len(day)) - first
+        if state and state[0] == day[0]:
+            n[first == 0] += state[1]
+        tags = np.where(n < self.limit, "kept", "warning").astype(object)
+        said = n <= self.limit
+        return (int(day[-1]), int(n[-1]) + 1), [rows.seq[said], tags[said]]
 
     def deadline(self, state):
         return (state[0] + 1) * 86_400_000_000 - self.shift
@@ -266,3 +287,86 @@ class PeriodicCount(OrderedProcessor):
 
     def expire(self, key, state, at):
         return (state[0] + self.period, state[1]), [(state[0], state[1])]
+
+
+class CorrectedWindows(StatefulProcessor):
+    """Counts of tumbling windows that fire, are corrected and are purged.
+
+    A window fires with ``+I`` once the watermark has reached its end. Until its lateness has passed too, rows that still come give, per
+    micro-batch, ``-U`` with the count before and ``+U`` with the new one. Then its state goes, and rows that come after that are
+    given as ``late`` with their number. State is a map from window to its count and whether it has fired.
+    """
+
+    output_schema = "start_us bigint, row_kind string, cnt bigint"
+
+    def __init__(self, size: Duration, lateness: Duration):
+        self.size, self.lateness = duration_us(size), duration_us(lateness)
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._windows = handle.getMapState("windows", "start bigint", "n bigint, fired boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        watermark = watermark_us(timerValues)
+        out = []
+        us = np.concatenate([part.iloc[:, -1].to_numpy() for part in rows])  # eight bytes a row
+        starts, counts = np.unique(us // self.size * self.size, return_counts=True)
+        for start, n in zip(starts.tolist(), counts.tolist(), strict=True):
+            end = start + self.size
+            if end + self.lateness <= watermark:
+                out.append((start, "late", n))
+                continue
+            had, fired = self._windows.getValue((start,)) if self._windows.containsKey((start,)) else (0, False)
+            self._windows.updateValue((start,), (had + n, fired))
+            if fired:
+                out += [(start, "-U", had), (start, "+U", had + n)]
+            if not had:
+                self._handle.registerTimer(_timer(end))
+                self._handle.registerTimer(_timer(end + self.lateness))
+        yield from self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = watermark_us(timerValues)
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        out = []
+        for at_end, offset in ((True, self.size), (False, self.size + self.lateness)):
+            start = (at + 1) * 1000 - offset
+            if start % self.size or not self._windows.containsKey((start,)):
+                continue
+            if start + offset > watermark:
+                self._handle.registerTimer(at)
+                continue
+            n, fired = self._windows.getValue((start,))
+            if at_end and not fired:
+                out.append((start, "+I", n))
+                self._windows.updateValue((start,), (n, True))
+            elif not at_end:
+                if not fired:
+                    out.append((start, "+I", n))
+                self._windows.removeKey((start,))
+        yield from self._frame(key, out)
+
+    def close(self) -> None:
+        return None
+
+    def _frame(self, key, out: list[tuple]):
+        if out:
+            yield pd.DataFrame([(*key, *r) for r in out], columns=self.result_names)
+
+
+def _timer(us: int) -> int:
+    """A timer is due when the watermark has passed it: one millisecond before an instant that the watermark may just reach."""
+    return us // 1000 - 1
+
+
+def corrected_windows(df: DataFrame, keys: list[str], ts: str, size: Duration, lateness: Duration) -> DataFrame:
+    """(keys, start_us, row_kind, cnt) of a stream with a watermark on ``ts``; rows without an event time are left out. Bounds
+    are whole milliseconds, and the lateness is no multiple of the size unless it is zero or another window's timer may be shared."""
+    if duration_us(size) % 1000 or duration_us(lateness) % 1000:
+        raise ValueError("windows in whole milliseconds")
+    processor = CorrectedWindows(size, lateness)
+    types = dict(df.dtypes)
+    processor.result_names = [*keys, "start_us", "row_kind", "cnt"]
+    schema = ", ".join([f"{k} {types[k]}" for k in keys] + [processor.output_schema])
+    slim = df.filter(F.col(ts).isNotNull()).select(*keys, micros(ts).alias(US))
+    return slim.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "eventTime")
