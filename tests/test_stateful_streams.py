@@ -11,7 +11,7 @@ from tidewater.functions.timeexpr import micros
 from tidewater.operators import aggregate, bursts, changelog, joins, late, patterns
 from tidewater.plans.views import Views
 from tidewater.streaming import processors as P
-from tidewater.streaming.ordered import run_ordered
+from tidewater.streaming.ordered import run_ordered, run_tagged
 
 ORDER = ["ts", "seq"]
 DELAY = "6 hours"
@@ -124,3 +124,44 @@ def test_stream_equals_batch(name, events, stream):
     else:
         assert got == want
     assert end_us and sum(got.values()) > 0
+
+
+@pytest.mark.parametrize("name", ["every_n", "click_limit", "relaxed"])
+def test_waiting_rows_in_buckets(name, events, stream):
+    """Beyond a small pool rows wait in parts of time buckets; the result is the same."""
+    processor, batch = CASES[name]
+    processor.pool_rows, processor.part_rows, processor.bucket = 5, 2, "3 hours"
+    try:
+        got = rows(drain(run_ordered(stream.withWatermark("ts", DELAY), ["user_id"], "ts", "seq", processor)))
+    finally:
+        del processor.pool_rows, processor.part_rows, processor.bucket
+    assert not got - rows(batch(events)) and sum((rows(batch(events)) - got).values()) <= (8 if name == "relaxed" else 0)
+
+
+def test_late_and_timeless_rows_are_a_second_output(spark, events):
+    """With no allowed disorder rows come late; together with the handled ones they are the input."""
+    some = events.withColumn("ts", F.when(F.col("seq") % 13 != 0, F.col("ts")))
+    arrival = (F.col("seq") + (F.col("seq") * 7919) % 101).alias("arrival")
+    last = events.agg(F.max("ts")).first()[0] + dt.timedelta(days=1)
+    flush = spark.createDataFrame([(-1, "none", last, 0, 10**9)], events.schema)
+    ordered = some.select("*", arrival.cast("bigint")).unionByName(flush.withColumn("arrival", F.lit(10**9).cast("bigint")))
+    stream = replay(ordered, "arrival", 4).withWatermark("ts", "0 seconds")
+    out = drain(run_tagged(stream, ["user_id"], "ts", "seq", P.RunningCount())).filter("user_id >= 0").collect()
+    late, main = [r for r in out if r.late], [r for r in out if not r.late]
+    assert Counter([r.late_seq for r in late] + [r.seq for r in main]) == Counter(r.seq for r in events.collect())
+    assert all(r.seq is None and r.cnt is None for r in late) and all(r.late_seq is None for r in main)
+    assert {r.late_seq for r in late if r.late_us is None} == {r.seq for r in events.collect() if r.seq % 13 == 0}
+    assert any(r.late_us is not None for r in late)
+    at = {r.seq: r.ts for r in events.collect()}
+    for user in {r.user_id for r in main}:
+        mine = sorted((at[r.seq], r.seq, r.cnt) for r in main if r.user_id == user)
+        assert [c for _, _, c in mine] == list(range(1, len(mine) + 1))
+
+
+def test_a_hot_key_waits_in_buckets(spark):
+    rows_ = spark.range(60_000).select(F.lit(1).cast("bigint").alias("user_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 7 % 59_999).alias("ts"), F.col("id").alias("seq"))
+    flush = spark.range(1).select(F.lit(-1).cast("bigint").alias("user_id"), F.timestamp_seconds(F.lit(1_800_000_000)).alias("ts"), F.lit(10**9).cast("bigint").alias("seq"))
+    stream = replay(rows_.unionByName(flush), "seq", 2).withWatermark("ts", "20 hours")
+    out = drain(run_ordered(stream, ["user_id"], "ts", "seq", P.RunningCount())).filter("user_id = 1")
+    order = {r.seq: r.rn for r in rows_.selectExpr("seq", "row_number() OVER (ORDER BY ts, seq) AS rn").collect()}
+    assert {r.seq: r.cnt for r in out.collect()} == order

@@ -34,12 +34,12 @@ VIEWS = {
     "disordered": "SELECT *, event_id + (7919 * event_id) % 50 AS arrival FROM e",
     "wm": """SELECT *, epoch_us(max(ts) OVER (ORDER BY arrival, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS top_us FROM disordered""",
-    # Four micro-batches by arrival; the watermark of one is the newest time of those before, in whole milliseconds, less the delay.
+    # Three micro-batches by arrival; the watermark of one is the newest time of those before, in whole milliseconds, less the delay.
     "slices": f"""SELECT s.slice, (SELECT (max(epoch_us(d.ts)) // 1000) * 1000 - {10 * 60 * 1_000_000} FROM disordered d
         WHERE (d.arrival - a.low) // a.span < s.slice) AS wm_us
-        FROM (SELECT unnest(range(5)) AS slice) s, (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 4 + 1 AS span FROM disordered) a""",
+        FROM (SELECT unnest(range(3)) AS slice) s, (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 3 + 1 AS span FROM disordered) a""",
     "sliced": """SELECT d.*, s.slice, s.wm_us FROM disordered d,
-        (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 4 + 1 AS span FROM disordered) a, slices s
+        (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 3 + 1 AS span FROM disordered) a, slices s
         WHERE s.slice = (d.arrival - a.low) // a.span""",
 }
 

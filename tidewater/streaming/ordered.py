@@ -4,10 +4,11 @@ Rows of a key wait in state until the watermark has passed them, and are then ha
 time and tie breaker. So the result does not depend on the order of arrival (within the watermark's delay) nor
 on the cut into micro-batches, and it equals the batch form.
 
-Waiting rows lie in a map from time bucket to parts of at most ``PART_ROWS`` rows in Arrow format. Arriving rows are added
-without reading what waits; when the watermark moves, only buckets it has reached are read, one after the other, so a task
-holds one bucket of one key. Due rows are handed over as one sorted frame of arrays. State is the map, its index and one small value per
-key, kept in the RocksDB store and checkpointed by Spark.
+Up to ``POOL_ROWS`` waiting rows of a key lie in one value, so that keys with few rows need few calls. Further ones lie in a map
+from time bucket to parts of at most ``PART_ROWS`` rows: arriving rows are added without reading what waits there, and when
+the watermark moves, only buckets it has reached are read, one after the other. So a task holds one bucket of one key and
+its pool. Rows are kept in Arrow format, and due rows are handed over as sorted frames of arrays. State is kept in the RocksDB store
+and checkpointed by Spark.
 
 A row is late when the watermark of its arrival has passed it. Late rows, and rows without an event time, are a second output of the
 same operator (:func:`run_tagged`): every input row is handled or comes out as late.
@@ -31,8 +32,9 @@ from tidewater.functions.timeexpr import Duration, duration_us, micros
 
 US = "_us"
 NEVER = -(1 << 62)  # before any event time
+POOL_ROWS = 1024
 PART_ROWS = 8192
-BUCKET = "6 hours"
+BUCKET = "1 hour"
 
 
 @dataclass
@@ -58,9 +60,16 @@ class Frame:
         return sink.getvalue().to_pybytes()
 
     @staticmethod
-    def of_bytes(parts: Sequence[bytes]) -> Frame:
-        tables = [pa.ipc.open_stream(p).read_all() for p in parts]
-        columns = [np.concatenate([t.column(i).to_numpy() for t in tables]) for i in range(tables[0].num_columns)]
+    def of_bytes(data: bytes) -> Frame:
+        table = pa.ipc.open_stream(data).read_all()
+        columns = [c.to_numpy() for c in table.columns]
+        return Frame(columns[0], columns[1], columns[2:])
+
+    @staticmethod
+    def joined(frames: Sequence[Frame]) -> Frame:
+        if len(frames) == 1:
+            return frames[0]
+        columns = [np.concatenate(c) for c in zip(*((f.us, f.seq, *f.values) for f in frames), strict=True)]
         return Frame(columns[0], columns[1], columns[2:])
 
 
@@ -74,6 +83,8 @@ class FrameProcessor(StatefulProcessor):
     state_schema = "n bigint"
     output_schema = "n bigint"
     bucket: Duration = BUCKET  # width of a time bucket of waiting rows
+    pool_rows = POOL_ROWS
+    part_rows = PART_ROWS
     result_names: Sequence[str] = ()  # keys, output columns and the tag, set by the run functions
     input_names: Sequence[str] = ()
     tagged = False
@@ -97,11 +108,12 @@ class FrameProcessor(StatefulProcessor):
         self._names = [name for name, _ in self.row_fields]
         self._waiting = handle.getMapState("waiting", "bucket bigint, part int", "rows binary")
         self._value = handle.getValueState("value", self.state_schema)
-        self._clock = handle.getValueState("clock", "timer bigint, index array<struct<bucket: bigint, parts: int, first: bigint>>")
+        self._clock = handle.getValueState("clock", "timer bigint, pool binary, index array<struct<bucket: bigint, parts: int, first: bigint>>")
+        self._sets_deadlines = type(self).deadline is not FrameProcessor.deadline
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = watermark_us(timerValues)
-        timer, index = self._index()
+        timer, pool, index = self._load()
         for part in rows:
             part.columns = self.input_names  # computed columns arrive without their names
             us = part[US].to_numpy()
@@ -111,24 +123,33 @@ class FrameProcessor(StatefulProcessor):
             if late.all():
                 continue
             fresh = Frame(us, part["_seq"].to_numpy(), [part[n].to_numpy() for n in self._names])
-            self._store(fresh.take(np.flatnonzero(~late)), index)
-        self._wake(timer, index, self._state(), watermark)
+            fresh = fresh.take(np.flatnonzero(~late))
+            if len(fresh) + sum(map(len, pool)) <= self.pool_rows:
+                pool.append(fresh)
+            else:
+                self._put(fresh, index)
+        self._save(timer, pool, index, self._state() if self._sets_deadlines else None, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = watermark_us(timerValues)
-        timer, index = self._index()
+        timer, pool, index = self._load()
         state = before = self._state()
-        for bucket in sorted(b for b, (_, first) in index.items() if first <= watermark):
-            parts, _ = index.pop(bucket)
-            waiting = Frame.of_bytes([self._waiting.getValue((bucket, k))[0] for k in range(parts)])
-            for k in range(parts):
-                self._waiting.removeKey((bucket, k))
-            due = waiting.us <= watermark
-            if not due.all():
-                self._store(waiting.take(np.flatnonzero(~due)), index)
-                waiting = waiting.take(np.flatnonzero(due))
-            state, out = self.frame(key, state, waiting.take(np.lexsort((waiting.seq, waiting.us))))
-            yield from self._rows(key, out)
+        for bucket in [*sorted(b for b, (_, first) in index.items() if first <= watermark), None]:
+            # Rows of the pool up to the end of a bucket belong before the next bucket.
+            end = watermark if bucket is None else min((bucket + 1) * self._width - 1, watermark)
+            rows = Frame.joined([*([] if bucket is None else [self._take(bucket, index)]), *pool]) if pool or bucket is not None else None
+            if rows is None:
+                continue
+            is_due = rows.us <= end
+            due, rest = rows.take(np.flatnonzero(is_due)), rows.take(np.flatnonzero(~is_due))
+            if len(rest) > self.pool_rows:  # of the last bucket that was read
+                mine = rest.us // self._width == bucket
+                self._put(rest.take(np.flatnonzero(mine)), index)
+                rest = rest.take(np.flatnonzero(~mine))
+            pool = [rest] if len(rest) else []
+            if len(due):
+                state, out = self.frame(key, state, due.take(np.lexsort((due.seq, due.us))))
+                yield from self._rows(key, out)
         for state, out in self._expired(key, state, watermark):
             yield from self._rows(key, _columns(out))
         if state != before:
@@ -136,7 +157,7 @@ class FrameProcessor(StatefulProcessor):
                 self._value.clear()
             else:
                 self._value.update(state)
-        self._wake(timer, index, state, watermark)
+        self._save(timer, pool, index, state, watermark)
 
     def close(self) -> None:
         return None
@@ -147,23 +168,32 @@ class FrameProcessor(StatefulProcessor):
         state = self._value.get()
         return None if state is None else tuple(state)
 
-    def _index(self) -> tuple[int, dict[int, tuple[int, int]]]:
-        """The timer, and of each bucket its parts and the first event time in it."""
+    def _load(self) -> tuple[int, list[Frame], dict[int, tuple[int, int]]]:
+        """The timer, the pool, and of each bucket its parts and the first event time in it."""
         found = self._clock.get()
         if found is None:
-            return -1, {}
-        return found[0], {b: (parts, first) for b, parts, first in (tuple(x) for x in found[1])}
+            return -1, [], {}
+        timer, pool, index = found
+        return timer, [] if pool is None else [Frame.of_bytes(bytes(pool))], {x[0]: (x[1], x[2]) for x in map(tuple, index)}
 
-    def _store(self, rows: Frame, index: dict[int, tuple[int, int]]) -> None:
+    def _put(self, rows: Frame, index: dict[int, tuple[int, int]]) -> None:
         buckets = rows.us // self._width
         for b in np.unique(buckets).tolist():
             mine = np.flatnonzero(buckets == b)
             parts, first = index.get(b, (0, 1 << 62))
-            for lo in range(0, len(mine), PART_ROWS):
-                self._waiting.updateValue((b, parts), (rows.take(mine[lo : lo + PART_ROWS]).to_bytes(),))
+            for lo in range(0, len(mine), self.part_rows):
+                self._waiting.updateValue((b, parts), (rows.take(mine[lo : lo + self.part_rows]).to_bytes(),))
                 parts += 1
             index[b] = parts, min(first, int(rows.us[mine].min()))
 
+    def _take(self, bucket: int, index: dict[int, tuple[int, int]]) -> Frame:
+        """Read a bucket and remove it."""
+        parts = index.pop(bucket)[0]
+        found = [Frame.of_bytes(self._waiting.getValue((bucket, k))[0]) for k in range(parts)]
+        for k in range(parts):
+            self._waiting.removeKey((bucket, k))
+        return Frame.joined(found)
+
     def _expired(self, key, state, now: int):
         due = self.deadline(state) if state is not None else None
         while due is not None and due <= now:
@@ -171,9 +201,9 @@ class FrameProcessor(StatefulProcessor):
             yield state, out
             due = self.deadline(state) if state is not None else None
 
-    def _wake(self, old: int, index: dict[int, tuple[int, int]], state: tuple | None, watermark: int) -> None:
+    def _save(self, old: int, pool: list[Frame], index: dict[int, tuple[int, int]], state: tuple | None, watermark: int) -> None:
         """Keep one timer per key, at the first whole millisecond from the earliest waiting row or deadline on."""
-        due = [first for _, first in index.values()]
+        due = [first for _, first in index.values()] + [int(f.us.min()) for f in pool]
         if state is not None and (at := self.deadline(state)) is not None:
             due.append(at)
         timer = -(-min(due) // 1000) if due else -1
@@ -185,7 +215,7 @@ class FrameProcessor(StatefulProcessor):
         if timer < 0:
             self._clock.clear()
         else:
-            self._clock.update((timer, [(b, *x) for b, x in sorted(index.items())]))
+            self._clock.update((timer, Frame.joined(pool).to_bytes() if pool else None, [(b, *x) for b, x in sorted(index.items())]))
 
     def _rows(self, key: tuple, out: list) -> Iterator[pd.DataFrame]:
         if not out or not len(out[0]):
