@@ -104,6 +104,7 @@ def test_alignment_where_hashes_collide_and_the_memo_is_small(monkeypatch):
     monkeypatch.setattr(token_alignment, "run_hashes", lambda mixed, starts, ends: np.zeros(len(starts), np.uint64))
     monkeypatch.setattr(token_alignment, "MEMO_CHUNKS", 2)
     monkeypatch.setattr(token_alignment, "MEMO_WINDOWS", 3)
+    monkeypatch.setattr(token_alignment, "OFTEN", 1)
     monkeypatch.setattr(token_alignment, "SMALL_GROUP", 5)
     assert digests() == [w[-1] for w in want]
 

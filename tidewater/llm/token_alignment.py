@@ -27,6 +27,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ from tidewater.llm import kernel
 from tidewater.llm.common import cut
 
 HOT_PAIRS = 1 << 17
-MEMO_WINDOWS = 50_000  # windows a worker remembers before it starts anew
+MEMO_WINDOWS = 20_000  # windows a worker remembers before it starts anew
+OFTEN = 4  # so often in a batch is a window met that is remembered
 SLICE = 1 << 19  # bytes of text handled at once
 MEMO_CHUNKS = 200_000
 MEMO_BYTES = 16_000_000
@@ -271,16 +273,40 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+class Arena:
+    """Ids of many chunks in one array, which grows."""
+
+    def __init__(self) -> None:
+        self.flat = np.empty(1 << 12, np.int32)
+        self.used = 0
+        self.starts = np.zeros(1 << 10, np.int64)
+        self.sizes = np.zeros(1 << 10, np.int64)
+
+    def put(self, k: int, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of the chunks from number k on."""
+        while k + len(sizes) > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.sizes))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.sizes[k : k + len(sizes)] = sizes
+        self.starts[k : k + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.va = byte_level(path_a)
         self.b, self.vb = pieces(path_b)
         self.memo = Memo()
-        self.encoded: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-        self.size = 0
+        self._forget()
         crossing = re.compile(b"[" + b"".join(re.escape(bytes([x])) for x in np.flatnonzero(BEFORE).tolist()) + b"] ")
         self.by_chunk = not any(crossing.search(t) for v in (self.va, self.vb) for t in v.tokens())
 
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}  # of each chunk that is remembered
+        self.ids = Arena(), Arena()  # of A and of B
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids and first places of texts in UTF-8, of A and of B."""
         if self.by_chunk:
@@ -288,35 +314,47 @@ class Aligner:
         else:
             starts, ends, first = offsets[:-1], offsets[1:], np.arange(len(offsets))
         which, each = different(run_hashes(kernel.BYTE_MIX[data], starts, ends), (data, starts, ends))
+        if len(self.number) > MEMO_CHUNKS or self.ids[0].used + self.ids[1].used > MEMO_BYTES:
+            self._forget()
         raw = data.tobytes()
-        found = self._ids([raw[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)])
+        parts = [raw[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]
+        self._learn(list(dict.fromkeys(p for p in parts if p not in self.number)))
+        chunk = np.array([self.number[p] for p in parts], np.int64)[each]
         out = []
-        for side in (0, 1):
-            ids = [x[side] for x in found]
-            sizes = np.array([len(x) for x in ids], np.int64)
-            flat = np.concatenate([np.zeros(0, np.int32), *ids])
-            begins, length = (np.cumsum(sizes) - sizes)[each], sizes[each]
-            total = np.concatenate(([0], np.cumsum(length)))
-            out += [flat[np.repeat(begins - total[:-1], length) + np.arange(total[-1])], total[first]]
+        for arena in self.ids:
+            sizes = arena.sizes[chunk]
+            total = np.concatenate(([0], np.cumsum(sizes)))
+            out += [arena.flat[spread(arena.starts[chunk], sizes)], total[first]]
         return out
 
-    def _ids(self, parts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and B of each chunk."""
-        found = [self.encoded.get(p) for p in parts]
-        new = [k for k, x in enumerate(found) if x is None]
-        for lo in range(0, len(new), 1024):
-            some = new[lo : lo + 1024]
-            texts = [parts[k].decode() for k in some]
-            a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-            b = self.b.encode(texts, num_threads=1)
-            for k, x, y in zip(some, a, b, strict=True):
-                found[k] = np.array(x.ids, np.int32), np.array(y, np.int32)
-                self.size += len(parts[k])
-                if len(self.encoded) >= MEMO_CHUNKS or self.size > MEMO_BYTES:
-                    self.encoded.clear()
-                    self.size = len(parts[k])
-                self.encoded[parts[k]] = found[k]
-        return found
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode chunks: many in one text of A, where they may stand one after the other, by themselves otherwise."""
+        apart = np.array([not (p and BEFORE[p[-1]] and AFTER[p[0]]) for p in new], bool)
+        for together in (True, False):
+            some = [p for p, x in zip(new, apart.tolist(), strict=True) if x != together]
+            for lo in range(0, len(some), 512):
+                part = some[lo : lo + 512]
+                texts = [p.decode() for p in part]
+                found = self._together(part) if together and self.by_chunk else None
+                if found is None:
+                    lists = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+                    found = np.fromiter(chain.from_iterable(lists), np.int32), np.array([len(x) for x in lists], np.int64)
+                lists = self.b.encode(texts, num_threads=1)
+                k = len(self.number)
+                self.ids[0].put(k, *found)
+                self.ids[1].put(k, np.fromiter(chain.from_iterable(lists), np.int32), np.array([len(x) for x in lists], np.int64))
+                self.number.update(zip(part, range(k, k + len(part)), strict=True))
+
+    def _together(self, part: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of A of chunks in one text; None if tokens do not end where the chunks do."""
+        (found,) = self.a.encode_batch_fast([(b" " + b" ".join(part)).decode()], add_special_tokens=False)
+        ids = np.array(found.ids, np.int32)
+        want = np.cumsum([len(p) + 1 for p in part])
+        ends = np.cumsum(self.va.sizes[ids])
+        at = np.searchsorted(ends, want)
+        if len(ends) != at[-1] + 1 or (ends[at] != want).any():
+            return None
+        return ids, np.diff(at + 1, prepend=0)
 
     def _joins(self, v: Vocabulary, ids: np.ndarray, first: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Of each text whether its tokens join to a space and the text."""
@@ -375,8 +413,8 @@ class Aligner:
         """Of each window which it is among the different ones, and their alignments."""
         hash_a, hash_b = (run_hashes(kernel.mix(x.astype(np.uint64)), p, q) for x, p, q in ((a, from_a, to_a), (b, from_b, to_b)))
         which, window_of = different(kernel.mix(hash_a + kernel.mix(hash_b)), (a, from_a, to_a), (b, from_b, to_b))
-        # Windows met once in a batch are seldom met again: the others are remembered.
-        often = np.flatnonzero(np.bincount(window_of, minlength=len(which)) > 1)
+        # Windows that are rare in a batch are seldom met again: the others are remembered.
+        often = np.flatnonzero(np.bincount(window_of, minlength=len(which)) >= OFTEN)
         ends = zip(*(x[which[often]].tolist() for x in (from_a, to_a, from_b, to_b)), strict=True)
         keys = [(q - p).to_bytes(4, "little") + a[p:q].tobytes() + b[r:s].tobytes() for p, q, r, s in ends]
         known = [self.memo.known.get(k) for k in keys]
