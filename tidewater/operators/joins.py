@@ -156,3 +156,33 @@ def rule_pair_match(
     pairs = before.withColumn("action1", F.col("_prev.a")).withColumn("action2", F.col(action)).drop("_prev")
     wanted = bounded_broadcast(rules.select("action1", "action2").distinct(), policy)
     return pairs.join(wanted, ["action1", "action2"])
+
+
+def rule_pair_match_asof(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    ts: str,
+    action: str,
+    versions: DataFrame,
+    valid_from: str,
+    version: str,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """Rows whose previous action and own action are those of the rule in force at their time.
+
+    ``versions`` has ``valid_from``, ``version``, ``action1`` and ``action2``: each replaces the one before from its time on, that time
+    included; of versions of one time the greatest ``version`` holds. A row before the first version matches nothing, and so does
+    one without a time. Versions are carried along in one ordered pass over rows and versions together, so neither side needs to be small.
+    Adds ``rule_version``, ``action1`` and ``action2``.
+    """
+    before = nearest(df, keys, order, F.struct(F.col(action).alias("a")), "_prev", policy=policy)
+    rule = F.struct(F.col(version).alias("version"), "action1", "action2")
+    changes = versions.select(F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"), F.col(version).cast("bigint").alias("_tie"), rule.alias("_rule"), F.lit(None).cast(before.select(F.struct("*")).schema[0].dataType).alias("_row"))
+    rows = before.filter(F.col(ts).isNotNull() & F.col("_prev").isNotNull())
+    rows = rows.select(F.col(ts).alias("_at"), F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"), F.lit(None).cast(changes.schema["_rule"].dataType).alias("_rule"), F.struct("*").alias("_row"))
+    both = changes.filter(F.col("_at").isNotNull()).unionByName(rows)
+    held = nearest(both, [], ["_at", "_kind", "_tie"], F.col("_rule"), "_held", where=F.col("_kind") == 0, policy=policy)
+    hit = (F.col("_row._prev.a") == F.col("_held.action1")) & (F.col(f"_row.{action}") == F.col("_held.action2"))
+    found = held.filter((F.col("_kind") == 1) & hit)
+    return found.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], F.col("_held.version").alias("rule_version"), "_held.action1", "_held.action2")

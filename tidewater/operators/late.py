@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.timeexpr import Duration, cell, duration_us, from_micros, micros
-from tidewater.plans.ordered import running_max
+from tidewater.plans.ordered import running_max, running_maxima
 from tidewater.plans.skew import DEFAULT, SkewPolicy, lookup
 
 ON_TIME, LATE_ALLOWED, TOO_LATE = "on_time", "late_allowed", "too_late"
@@ -27,6 +27,39 @@ def watermark_trace(
     return seen.withColumn("watermark", from_micros(F.col("_top") - F.lit(duration_us(delay)), df, ts)).drop("_top")
 
 
+def watermark_of_sources(
+    df: DataFrame,
+    order: Sequence[str],
+    source: str,
+    sources: Sequence[object],
+    ts: str,
+    delay: Duration,
+    clock: str,
+    idle_after: int,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """The watermark after each row where several sources have one of their own.
+
+    A source's watermark is its newest event time; that of the whole is the smallest among the sources that are not idle, less the
+    delay. A source is idle when its last row, or without one the first row of all, lies more than ``idle_after`` units of ``clock``
+    (an arrival number or time) back. A source that has sent nothing and is not idle holds the watermark back, as do
+    sources that are all idle; it never falls. ``sources`` are few and known; all their maxima come from one ordered pass,
+    and the falls are taken out by a second. Rows of other sources move nothing.
+    """
+    tops = {f"_top{i}": F.when(F.col(source) == F.lit(s), micros(ts)) for i, s in enumerate(sources)}
+    seen = {f"_seen{i}": F.when(F.col(source) == F.lit(s), F.col(clock)) for i, s in enumerate(sources)}
+    rows = running_maxima(df, [], order, {**tops, **seen, "_start": -F.col(clock)}, policy=policy)
+    never = F.lit(-(1 << 62)).cast("bigint")
+    live = []
+    for i in range(len(sources)):
+        is_live = F.col(clock) - F.coalesce(F.col(f"_seen{i}"), -F.col("_start")) <= F.lit(idle_after)
+        live.append(F.when(is_live, F.coalesce(F.col(f"_top{i}"), never)))
+    lowest = F.least(*live) if len(live) > 1 else live[0]  # NULLs, that is idle sources, are passed over
+    rows = rows.withColumn("_lowest", F.when(lowest > never, lowest)).drop(*tops, *seen, "_start")
+    rows = running_max(rows, [], order, F.col("_lowest"), "_top", policy=policy)
+    return rows.withColumn("watermark", from_micros(F.col("_top") - F.lit(duration_us(delay)), df, ts)).drop("_top", "_lowest")
+
+
 def _watermark_before(
     df: DataFrame, order: Sequence[str], ts: str, delay: Duration, policy: SkewPolicy
 ) -> DataFrame:

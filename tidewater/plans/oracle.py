@@ -646,3 +646,51 @@ ORACLE["api_slide"] = ORACLE["sql_hop"]
 
 # Bodies that add their own common table expressions start with a comma.
 ORACLE = {name: text.replace("\n, ", ",\n", 1) if "\n, " in text else text for name, text in ORACLE.items()}
+
+ORACLE["rule_pair_match_asof"] = sql(
+    """, r AS (
+         SELECT ts AS valid_from, event_id AS rule_version, CASE user_id % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'error' END AS action1
+         FROM e WHERE event_type = 'signup' AND k % 10 = 7
+       ), p AS (
+         SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM e
+       )
+       SELECT user_id, event_id AS seq, rule_version, action1, event_type AS action2
+       FROM p ASOF JOIN r ON p.ts >= r.valid_from WHERE prev = action1 AND event_type = 'purchase'""",
+    "e",
+)
+
+IDLE_TOPS = ", ".join(
+    f"max(epoch_us(ts)) FILTER (WHERE source = {i}) OVER upto AS top{i}, "
+    f"arrival - coalesce(max(arrival) FILTER (WHERE source = {i}) OVER upto, min(arrival) OVER upto) <= 60 AS live{i}"
+    for i in range(4)
+)
+IDLE_HELD = " OR ".join(f"(live{i} AND top{i} IS NULL)" for i in range(4))
+IDLE_LEAST = ", ".join(f"CASE WHEN live{i} THEN top{i} END" for i in range(4))
+ORACLE["watermark_idle"] = sql(
+    f""", s AS (SELECT *, user_id % 4 AS source FROM disordered WHERE NOT (user_id % 4 = 3 AND (event_id // 200) % 2 = 1)),
+       t AS (SELECT *, {IDLE_TOPS} FROM s WINDOW upto AS (ORDER BY arrival, event_id ROWS UNBOUNDED PRECEDING)),
+       l AS (SELECT *, CASE WHEN {IDLE_HELD} THEN NULL ELSE least({IDLE_LEAST}) END AS low FROM t)
+       SELECT event_id, source,
+         make_timestamp(max(low) OVER (ORDER BY arrival, event_id ROWS UNBOUNDED PRECEDING) - {10 * MIN}) AS watermark FROM l""",
+    "disordered",
+)
+
+ORACLE["rolling_files"] = sql(
+    f""", l AS (
+         SELECT event_id, event_id % 2 AS writer, epoch_us(ts) AS us,
+           strlen(concat_ws(',', event_id, user_id, event_type, epoch_us(ts))) + 1 AS size FROM e
+       ), p AS (
+         SELECT *, coalesce(us - lag(us) OVER (PARTITION BY writer ORDER BY event_id) >= {3 * HOUR}, false) AS pause FROM l
+       ), r AS (
+         SELECT *, count(*) FILTER (WHERE pause) OVER (PARTITION BY writer ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM p
+       ), a AS (
+         SELECT *, (us - first_value(us) OVER (PARTITION BY writer, run ORDER BY event_id)) // {48 * HOUR} AS age FROM r
+       ), b AS (
+         SELECT *, coalesce(sum(size) OVER (PARTITION BY writer, run, age ORDER BY event_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 8192 AS part FROM a
+       ), g AS (
+         SELECT *, dense_rank() OVER (PARTITION BY writer ORDER BY run, age, part) - 1 AS file FROM b
+       )
+       SELECT writer, file, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, min(us) AS first_us, max(us) AS last_us FROM g GROUP BY 1, 2""",
+    "e",
+)

@@ -9,7 +9,7 @@ the shared folder. The summary has at most (chunks + hot keys) rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,19 +162,32 @@ def running_max(
     policy: SkewPolicy = DEFAULT,
 ) -> DataFrame:
     """Largest ``value`` up to each row (or before it). ``keys`` may be empty: the whole stream in order."""
+    return running_maxima(df, keys, order, {out: value}, include_self, policy)
+
+
+def running_maxima(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: Mapping[str, Column],
+    include_self: bool = True,
+    policy: SkewPolicy = DEFAULT,
+) -> DataFrame:
+    """Several running maxima in one pass: output column to value."""
     end = 0 if include_self else -1
 
     def plain(d: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         # With no keys this is one task, reached only when the input is at most ``rows_per_task`` rows.
         w = Window.partitionBy(*keys, *extra).orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, end)
-        return d.withColumn(out, F.max(value).over(w))
+        return d.select("*", *[F.max(value).over(w).alias(out) for out, value in values.items()])
 
     def cut(chunks: DataFrame, hot: HotKeys) -> DataFrame:
-        tops = chunks.groupBy(*keys, CHUNK).agg(F.max(value).alias("_top"))
+        tops = chunks.groupBy(*keys, CHUNK).agg(*[F.max(value).alias(f"_top_{out}") for out, value in values.items()])
         frame = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carry = tops.select(*keys, CHUNK, F.max("_top").over(frame).alias("_carry"))
+        carry = tops.select(*keys, CHUNK, *[F.max(f"_top_{out}").over(frame).alias(f"_carry_{out}") for out in values])
         d = _with_carry(plain(chunks, [CHUNK]), carry, keys, hot, policy)
-        return d.withColumn(out, F.greatest(F.col(out), F.col("_carry"))).drop(CHUNK, "_carry")
+        best = [F.greatest(F.col(out), F.col(f"_carry_{out}")).alias(out) if out in values else F.col(out) for out in [*df.columns, *values]]
+        return d.select(*best)
 
     return _by_key(df, keys, order, policy, plain, cut)
 

@@ -102,6 +102,21 @@ def file_sink_roundtrip(v: Views) -> DataFrame:
     return tables.table_from_ddl(v.spark, "rolling_sink", path, "csv", "url STRING, user_name STRING")
 
 
+@query
+def rolling_files(v: Views) -> DataFrame:
+    """Files that roll by size, pause and age: what each holds, from the files."""
+    path = scratch_path(v.spark, "rolling-files")
+    us = timeexpr.micros("ts").cast("string")
+    rows = v.events.withColumn("writer", F.col("seq") % 2)
+    files.write_rolling(rows, path, "writer", ["seq"], "ts", F.concat_ws(",", "seq", "user_id", "event_type", us), 8192, "3 hours", "2 days")
+    lines = v.spark.read.schema("value string, writer bigint, file bigint").text(path)
+    at = F.split("value", ",")[3].cast("bigint")
+    found = lines.groupBy("writer", "file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.min(at).alias("first_us"), F.max(at).alias("last_us")
+    )
+    return found.select("writer", "file", "n", "bytes", "first_us", "last_us")
+
+
 @query
 def csv_insert(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "csv-sink")
@@ -293,6 +308,14 @@ def rule_pair_match_latest(v: Views) -> DataFrame:
     return hits.select("user_id", "seq", "action1", "action2")
 
 
+@query
+def rule_pair_match_asof(v: Views) -> DataFrame:
+    """Pairs of actions that form the rule in force at their time; some signups put a new rule in force."""
+    e = v.events.select("user_id", "event_type", "ts", "seq")
+    hits = joins.rule_pair_match_asof(e, ["user_id"], ["ts", "seq"], "ts", "event_type", v.rule_versions, "valid_from", "rule_seq")
+    return hits.select("user_id", "seq", "rule_version", "action1", "action2")
+
+
 @query
 def bill_check(v: Views) -> DataFrame:
     app = v.pay_log.select(F.col("tx_id").alias("order_id"), F.col("pay_ts").alias("app_ts"))
@@ -567,6 +590,15 @@ def watermark_trace(v: Views) -> DataFrame:
     return w.select("event_id", "watermark")
 
 
+@query
+def watermark_idle(v: Views) -> DataFrame:
+    """The watermark of four sources, of which one is silent at times."""
+    rows = v.disordered.withColumn("source", F.col("user_id") % 4)
+    rows = rows.filter("NOT (source = 3 AND (event_id DIV 200) % 2 = 1)")
+    w = late.watermark_of_sources(rows, ["arrival", "event_id"], "source", range(4), "ts", "10 minutes", "arrival", 60)
+    return w.select("event_id", "source", "watermark")
+
+
 @query
 def periodic_pv(v: Views) -> DataFrame:
     return late.periodic_count(v.clicks, ["user_name"], "ts", "1 day")

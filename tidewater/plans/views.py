@@ -160,6 +160,13 @@ class Views:
         rows = [(1, "view", "purchase"), (2, "click", "purchase")]
         return self.spark.createDataFrame(rows, "rule_seq bigint, action1 string, action2 string")
 
+    @cached_property
+    def rule_versions(self) -> DataFrame:
+        """Rules with the time from which on they hold."""
+        first = F.element_at(F.array(*[F.lit(x) for x in ("view", "click", "error")]), (F.col("user_id") % 3 + 1).cast("int"))
+        rows = self.events.filter("event_type = 'signup' AND k % 10 = 7")
+        return rows.select(F.col("ts").alias("valid_from"), F.col("seq").alias("rule_seq"), first.alias("action1"), F.lit("purchase").alias("action2"))
+
     @cached_property
     def key_table(self) -> DataFrame:
         return self.table("part").withColumn("row_key", F.lpad(F.col("p_partkey").cast("string"), 8, "0"))

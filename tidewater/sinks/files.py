@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewater.functions.timeexpr import Duration, cell, duration_us, micros
+
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """CSV without header; a file rolls over after ``rows_per_file`` rows. Blanks around text are kept."""
@@ -24,3 +29,35 @@ def stream_files(
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.outputMode("append").trigger(**trigger).start()
+
+
+def rolled(df: DataFrame, writer: str, order: Sequence[str], ts: str, size: Column, most: int, idle: Duration, age: Duration) -> DataFrame:
+    """Add ``file``, the number from 0 of the file in which each row of a ``writer`` goes.
+
+    A file ends when nothing was written for ``idle`` or longer, when ``age`` has passed since the files after that pause began (and each
+    further ``age``), and when the bytes written since then reach the next multiple of ``most``: so no file is longer than ``most`` and one
+    row. Writers are the unit of work, as many as the data need: choose them by a hash of a unique column, so that none is hot. Rows
+    without a time stay in the file of the row before.
+    """
+    by = Window.partitionBy(writer).orderBy(*order)
+    up_to = by.rowsBetween(Window.unboundedPreceding, 0)
+    us = F.coalesce(micros(ts), F.last(micros(ts), ignorenulls=True).over(up_to), F.lit(0))
+    rows = df.withColumn("_us", us)
+    pause = F.col("_us") - F.lag("_us").over(by) >= F.lit(duration_us(idle))
+    rows = rows.withColumn("_run", F.count(F.when(pause, 1)).over(up_to))
+    in_run = Window.partitionBy(writer, "_run").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_age", cell(F.col("_us") - F.first("_us").over(in_run), duration_us(age)))
+    in_age = Window.partitionBy(writer, "_run", "_age").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_part", cell(F.coalesce(F.sum(size).over(in_age), F.lit(0)), most))
+    place = F.struct("_run", "_age", "_part")
+    first = F.coalesce(place != F.lag(place).over(by), F.lit(False))
+    rows = rows.withColumn("_first", first)
+    return rows.withColumn("file", F.count(F.when(F.col("_first"), 1)).over(up_to)).drop("_us", "_run", "_age", "_part", "_first")
+
+
+def write_rolling(df: DataFrame, path: str, writer: str, order: Sequence[str], ts: str, line: Column, most: int, idle: Duration, age: Duration) -> None:
+    """Text files of one line per row, one folder per writer and file, rolled by :func:`rolled`; a line counts its bytes and its end."""
+    rows = df.withColumn("_line", line)
+    rows = rolled(rows, writer, order, ts, F.octet_length("_line") + 1, most, idle, age)
+    rows = rows.repartitionByRange(writer, "file").sortWithinPartitions(writer, "file", *order)
+    rows.select(writer, "file", F.col("_line").alias("value")).write.partitionBy(writer, "file").text(path)
