@@ -5,11 +5,12 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
-from streams import drain, replay
+from streams import drain, read_stream, replay
 
 from tidewater.functions.timeexpr import micros
 from tidewater.operators import aggregate, bursts, changelog, joins, late, patterns
 from tidewater.plans.views import Views
+from tidewater.session import scratch_path
 from tidewater.streaming import processors as P
 from tidewater.streaming.ordered import run_ordered, run_tagged
 
@@ -165,3 +166,42 @@ def test_a_hot_key_waits_in_buckets(spark):
     out = drain(run_ordered(stream, ["user_id"], "ts", "seq", P.RunningCount())).filter("user_id = 1")
     order = {r.seq: r.rn for r in rows_.selectExpr("seq", "row_number() OVER (ORDER BY ts, seq) AS rn").collect()}
     assert {r.seq: r.cnt for r in out.collect()} == order
+
+
+@pytest.mark.parametrize("late_hours", [0, 2, 3])
+def test_windows_fire_are_corrected_and_purged(spark, late_hours):
+    """Against a replay of the micro-batches one by one; the lateness may be a multiple of the size."""
+    hour = 3_600_000_000
+    batches_ = [[(i % 2, (base * 7 + i * 11) % 40 + base * 6) for i in range(30)] for base in range(5)] + [[(9, 900)]]
+    rows_ = [(k, t, n) for n, batch in enumerate(batches_) for k, t in batch]
+    df = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=20 * t), n) for k, t, n in rows_], "k long, ts timestamp, n long")
+    folder = None
+    for n in range(len(batches_)):
+        part = df.filter(F.col("n") == n).coalesce(1)
+        folder = folder or scratch_path(spark, "windows-in")
+        part.write.mode("append").parquet(folder)
+    stream = read_stream(spark, folder, df.schema).withWatermark("ts", "30 minutes")
+    got = Counter(tuple(r) for r in drain(P.corrected_windows(stream, ["k"], "ts", "2 hours", f"{late_hours} hours")).filter("k < 9").collect())
+    zero = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    state, want, newest = {}, Counter(), None
+    for batch in [*batches_, []]:
+        mark = -1 if newest is None else newest - hour // 2
+        counts = Counter((k, (zero + t * hour // 3) // (2 * hour) * 2 * hour) for k, t in batch if k < 9)
+        for (k, w), n in sorted(counts.items()):
+            if w + (2 + late_hours) * hour <= mark:
+                want[k, w, "late", n] += 1
+                continue
+            had, fired = state.get((k, w), (0, False))
+            state[k, w] = (had + n, fired)
+            if fired:
+                want[k, w, "-U", had] += 1
+                want[k, w, "+U", had + n] += 1
+        for (k, w), (n, fired) in list(state.items()):
+            if w + 2 * hour <= mark and not fired:
+                want[k, w, "+I", n] += 1
+                state[k, w] = (n, True)
+            if w + (2 + late_hours) * hour <= mark:
+                del state[k, w]
+        newest = max([zero + t * hour // 3 for _, t in batch] + ([] if newest is None else [newest]), default=newest)
+    assert got == want
+    assert {r[2] for r in want} == ({"+I", "late"} if not late_hours else {"+I", "-U", "+U", "late"} & {r[2] for r in want})

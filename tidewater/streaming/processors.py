@@ -360,8 +360,8 @@ def _timer(us: int) -> int:
 
 
 def corrected_windows(df: DataFrame, keys: list[str], ts: str, size: Duration, lateness: Duration) -> DataFrame:
-    """(keys, start_us, row_kind, cnt) of a stream with a watermark on ``ts``; rows without an event time are left out. Bounds
-    are whole milliseconds, and the lateness is no multiple of the size unless it is zero or another window's timer may be shared."""
+    """(keys, start_us, row_kind, cnt) of a stream with a watermark on ``ts``; rows without an event time are left out. Sizes and
+    latenesses are whole milliseconds."""
     if duration_us(size) % 1000 or duration_us(lateness) % 1000:
         raise ValueError("windows in whole milliseconds")
     processor = CorrectedWindows(size, lateness)
