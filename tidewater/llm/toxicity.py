@@ -45,24 +45,25 @@ THRESHOLD = 0.3
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (from, past the end, score) in one pass: every candidate is merged at most once.
+    """All maximal scoring segments (from, past the end, score) in linear time.
 
-    Only words with a positive score start a step; a running sum carries what stands between them.
+    Only words with a positive score start a candidate; a running sum carries what stands between them. Every candidate
+    keeps a link to the nearest one before it with a smaller sum on its left. A search follows these links, so a
+    candidate that was passed over once is never visited again; one that is merged passes its link on.
     """
     total = np.concatenate(([0.0], np.cumsum(scores)))
-    found: list[tuple[int, int, float, float]] = []  # from, past the end, sums before and after
+    found: list[tuple[int, int, float, float, int]] = []  # from, past the end, sums before and after, link
     for i in np.flatnonzero(scores > 0).tolist():
         a, b, low, high = i, i + 1, float(total[i]), float(total[i + 1])
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= low:
-                j -= 1
-            if j < 0 or found[j][3] >= high:
-                found.append((a, b, low, high))
-                break
-            a, low = found[j][0], found[j][2]
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= low:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < high:
+            a, _, low, _, link = found[j]
             del found[j:]
-    return [(a, b, high - low) for a, b, low, high in found]
+            j = link
+        found.append((a, b, low, high, j))
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 def prefix_hashes(w: kernel.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,23 +202,31 @@ def _rate(scores: np.ndarray, share: np.ndarray) -> float:
 
 
 def _calibrated(model: Model, rows: DataFrame) -> Model:
-    """Fit K on clean rows and the logistic function on all rows; both see a few numbers per fitting row."""
+    """Fit K on clean rows and the logistic function on all rows; the driver gets two numbers per fitting row."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, best, found = [], [], []
+            n, found = [], []
             for words, s in shared.value.texts(batch.column(0)):
                 n.append(words)
                 found.append([x[2] for x in s])
-                best.append(max(found[-1], default=None))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["toxic", "n", "s"])
 
-    seen = rows.select("text", "toxic").mapInArrow(run, "toxic int, n long, s array<double>").collect()
-    clean = [model.rate * max(r["s"]) - math.log(r["n"]) for r in seen if not r["toxic"] and r["s"]]
+    seen = cut(rows.select("text", "toxic").mapInArrow(scan, "toxic int, n long, s array<double>"), "label-segments")
+    clean = seen.filter("toxic = 0 AND size(s) > 0").agg(F.avg(F.array_max("s") * model.rate - F.log("n"))).first()[0]
     # Of a Gumbel variable with location ln K the mean lies Euler's constant above it.
-    model.log_k = float(np.mean(clean) - 0.5772156649) if clean else 0.0
-    x = np.array([(1.0, *model.features(r["n"], [(0, 0, v) for v in r["s"]])) for r in seen])
+    model.log_k = clean - 0.5772156649 if clean is not None else 0.0
+    level = rows.sparkSession.sparkContext.broadcast(model)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [level.value.features(n, [(0, 0, v) for v in s]) for n, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            columns = [pa.array([f[k] for f in each], pa.float64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["toxic", "best", "total"])
+
+    seen = seen.mapInArrow(reduce, "toxic int, best double, total double").collect()
+    x = np.array([(1.0, r["best"], r["total"]) for r in seen])
     y = np.array([r["toxic"] for r in seen], float)
     w = np.zeros(3)
     for _ in range(50):  # Newton steps with a small ridge
