@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -474,6 +475,24 @@ def test_only_groups_above_a_shard_are_cut(spark):
     assert len(pieces["a"]) == 3 and pieces["b"] == [(3, 1.0)] and len(pieces["c"]) == 1 and sum(room) == pytest.approx(30)
 
 
+def test_rounds_lower_the_cut(spark):
+    n, shards_, each = 9600, 24, 3
+    rows = [(f"group {i // each}", (i * 7 + i // each) % shards_) for i in range(n)]  # a bad start: full shards, hubs divided
+    cells = spark.createDataFrame(rows, "hub string, start int").groupBy("hub", "start").agg(F.count("*").alias("load"), F.count("*").alias("n"))
+    quota = n / shards_
+    out, cut_edges, load = shards.propagate(cells.withColumn("shard", F.col("start")), shards_, [quota] * shards_, quota / shards.PIECE)
+    assert cut_edges[0] == n and cut_edges[-1] == 0 and all(a >= b for a, b in zip(cut_edges, cut_edges[1:], strict=False))
+    held = out.groupBy("hub").agg(F.count_distinct("shard").alias("k"), F.count("*").alias("c")).agg(F.max("k"), F.sum("c")).first()
+    assert held[0] == 1 and held[1] == cells.count()
+    assert sum(load) == n and max(load) - min(load) <= 0.25 * quota
+
+
+def test_shards_swap_when_full():
+    assert shards.admitted({(0, 1): 5, (1, 0): 5}, [0.0, 0.0]) == [1.0, 1.0]
+    assert shards.admitted({(0, 1): 5}, [0.0, 2.0]) == [1.0, pytest.approx(0.4)]
+    assert shards.admitted({(0, 1): 5, (1, 2): 5}, [0.0, 0.0, 1.0]) == [1.0, pytest.approx(0.2), pytest.approx(0.2)]
+
+
 # -- 8 mixture ---------------------------------------------------------------------------------------------------
 
 
@@ -504,6 +523,61 @@ def test_mix_repeats_rows(documents):
     assert Counter(r.doc_id for r in out.collect()) == Counter({d: c for d, c in copies.items() if c})
 
 
+def test_draw_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(["w"] * int(n)), "abc"[i % 3]) for i, n in enumerate(rng.integers(1, 60, 6000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = {d: len(t.split()) for d, t, _ in rows}
+    sizes = Counter()
+    for d, _, s in rows:
+        sizes[s] += size[d]
+    want = brute.targets(dict(sizes))
+
+    def expected(source):
+        own = [d for d, _, s in rows if s == source]
+        lo, hi = 0.0, 4.0
+        for _ in range(100):
+            c = (lo + hi) / 2
+            lo, hi = (c, hi) if sum(size[d] * min(2.0, c * len(bin(size[d])) - 2 * c) for d in own) < want[source] else (lo, c)
+        return {d: min(2.0, hi * (len(bin(size[d])) - 2)) for d in own}
+
+    each = {d: e for s in "abc" for d, e in expected(s).items()}
+    taken, seeds = Counter(), 2
+    for seed in range(seeds):
+        got = mixture.mixture(df, seed=seed).collect()
+        for r in got:
+            assert int(each[r.doc_id] + 1e-6) <= r.copies <= min(2, int(each[r.doc_id] + 1e-6) + 1)
+            taken[r.doc_id] += r.copies
+        if seed:
+            continue
+        u = {r["row"].doc_id: r._u for r in mixture._sized(df.select(F.struct("doc_id", "source", "text").alias("row")), seed).collect()}
+        for s in "abc":
+            own = {d: each[d] - int(each[d] + 1e-9) for d, _, x in rows if x == s}
+            left = want[s] - sum(int(each[d] + 1e-9) * size[d] for d in own)
+            seen, drawn = 0, set()
+            for d in sorted((d for d in own if own[d] > 1e-6), key=lambda d: u[d] / (1 - u[d]) * (1 - own[d]) / own[d]):
+                if seen + size[d] / 2 <= left:
+                    drawn.add(d)
+                seen += size[d]
+            assert {r.doc_id for r in got if r.source == s and r.copies > int(each[r.doc_id] + 1e-9)} == drawn
+    by_measure = defaultdict(list)  # inclusion frequencies against p, by classes of equal p
+    for d, _, s in rows:
+        by_measure[s, len(bin(size[d]))].append((taken[d] / seeds, each[d]))
+    for own in by_measure.values():
+        p = own[0][1]
+        assert abs(np.mean([f for f, _ in own]) - p) <= 0.02 + 4 * np.sqrt(0.25 / (seeds * len(own)))
+    assert len({round(e, 6) for e in each.values()}) > 6  # unequal within sources
+
+
+def test_mix_of_repeated_rows_is_exact(spark):
+    rows = [(1, "a b c d e f g h i j", "s", k) for k in range(200)] + [(2, "x y", "t", 0), (2, "x y", "t", 0), (3, "z " * 900, "t", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, row int").repartition(3)
+    decided = Counter()
+    for r in mixture.mixture(df).collect():
+        decided[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in mixture.mix(df).collect()) == +decided and decided[1] % 200
+
+
 # -- 9 toxicity --------------------------------------------------------------------------------------------------
 
 
@@ -522,6 +596,30 @@ def test_segments_are_maximal(scores):
     assert max((s for _, _, s in found), default=0) == max(0, best_segment(scores)[0])
 
 
+@settings(deadline=None)
+@given(st.lists(st.integers(-5, 5), min_size=1, max_size=40))
+def test_segments_equal_those_of_the_definition(scores):
+    """The best segment, then the same on both sides of it: that is what maximal scoring segments are."""
+
+    def split(lo, hi):
+        s, i, j = max((sum(scores[i:j]), i - j, -i) for i in range(lo, hi) for j in range(i + 1, hi + 1)) if lo < hi else (0, 0, 0)
+        if s <= 0:
+            return []
+        a, b = -j, -j - i
+        return [*split(lo, a), (a, b, s), *split(b, hi)]
+
+    # Ties between segments of one score: the scores per segment and the words that count in all.
+    assert sorted(s for _, _, s in toxicity.segments(np.array(scores, float))) == sorted(s for _, _, s in split(0, len(scores)))
+
+
+def test_segments_take_linear_time():
+    for step in ([1.0, -1.3], [1.0, -0.7], [1.0, -2.0, 1.5, -0.4]):
+        scores = np.array(step * (1_000_000 // len(step)))
+        begin = time.process_time()
+        toxicity.segments(scores)
+        assert time.process_time() - begin < 20
+
+
 def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
     model = toxicity.Model(np.array([kernel.word_hash("idiot")], np.uint64), np.array([3.0]), 1.0, 0.0, (0.0, 1.0, 1.0))
     texts = ["idiot", "idiot", "", None, "idiot you", "you are an idiot", "idiot idiot idiot", "idiot"]

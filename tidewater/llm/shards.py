@@ -1,10 +1,14 @@
-"""Sharding by packing whole groups of equal texts, in DataFrame operations only.
-
-Documents are linked through hubs: here the digest of a text that several documents share. Every hub is placed as a whole.
-Hubs above 1 / ``PIECE`` of a shard (a bounded number) are packed one by one, the largest first, into the fullest shard that
-has room; only one that fits nowhere, as any above a whole shard, is divided, over the shards with most room. The other hubs
-fill what is left in proportion, by a running total over hubs in hash order; documents without links fill what remains
-in the same way.
+"""Sharding by balanced label propagation, in DataFrame operations only.
+
+Documents are linked through hubs: here the digest of a text that several documents share. A document starts in the shard
+that a hash of its row names. In each round the documents of a hub look for the shard that holds most of their
+neighbours (a lot, new in every round, decides ties) and ask to move there. A shard admits, of those who ask, what its
+quota has left plus what leaves it in the same round, so that hubs can swap places between full shards; a new lot
+decides who is admitted. Each move joins documents of a hub, so the number of cut links falls until no hub is divided or
+can move. Hubs above 1 / ``PIECE`` of a shard (a bounded number) start packed, the largest first, in the fullest shard
+that has room, as no round could make so much room at once; only one that fits nowhere, as any above a whole shard,
+starts divided, over the shards with most room, and finds no room to join. Documents without links fill what the others
+leave free.
 A last cut of the order (shard, hub) into pieces of equal size makes the law exact. Large hubs stand in the middle of a
 shard and unlinked documents at its ends, so the cut falls among the latter where there are any, and else divides one
 hub per border at most.
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import HOT_SHARE, cut, running_total
 
 SHARDS = 24
+QUIET = 3  # rounds without a move, each with new lots, that end the propagation
 PIECE = 64  # hubs above 1 / PIECE of a shard are packed one by one: fewer than PIECE * shards
 
 
@@ -66,10 +71,71 @@ def _share_of(at: Column, room: list[float]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(e) for e in ends[:-1]]), lambda e: e <= at))
 
 
+def admitted(wants: dict[tuple[int, int], int], free: list[float]) -> list[float]:
+    """Of each shard the share it admits of the load that asks for it (``wants``: from, to): the largest shares that keep
+    what comes in within the free room and what leaves in the same round."""
+    shards = len(free)
+    asked = [sum(load for (_, t), load in wants.items() if t == s) for s in range(shards)]
+    share = [1.0] * shards
+    for _ in range(1000):  # falls from 1 to the largest fixed point
+        leaving = [sum(load * share[t] for (f, t), load in wants.items() if f == s) for s in range(shards)]
+        new = [min(share[s], max(0.0, free[s] + leaving[s]) / asked[s]) if asked[s] else 1.0 for s in range(shards)]
+        if max(a - b for a, b in zip(share, new, strict=True)) < 1e-6:
+            break
+        share = new
+    return share
+
+
+def propagate(cells: DataFrame, shards: int, room: list[float], slack: float) -> tuple[DataFrame, list[int], list[float]]:
+    """Label propagation over ``cells`` (hub, start, load, n, shard), one row per hub and start shard.
+
+    Documents of a hub that started in one shard have the same neighbours and move together. Returns (hub, start, shard),
+    the number of cut links before each round and at the end, and the load of each shard. Hubs that are whole stay and
+    leave the rounds, so these shrink. Only numbers per shard, and per pair of shards, reach the driver.
+    """
+    settled, cut_edges, load, quiet, turn = [], [], [0.0] * shards, 0, 0
+    cells = cut(cells, "cells")
+    for r in cells.groupBy("shard").agg(F.sum("load").alias("load")).collect():  # one row per shard
+        load[r["shard"]] += r["load"]
+    pairs = lambda n: F.col(n) * (F.col(n) - 1) / 2
+    while True:
+        held = cells.groupBy("hub", "shard").agg(F.sum("load").alias("_load"), F.sum("n").alias("_n"))
+        best = F.max_by("shard", F.struct("_load", F.xxhash64(F.lit(turn), "hub", "shard").alias("t")))
+        edges = (pairs("_all") - F.col("_same")).cast("long").alias("_cut")
+        goals = held.groupBy("hub").agg(best.alias("_goal"), F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_all"), F.sum(pairs("_n")).alias("_same"))
+        goals = goals.select("hub", "_goal", "_k", edges)
+        asked = cut(cells.join(goals, "hub"), "asked")
+        settled.append(asked.filter("_k = 1").select("hub", "start", "shard"))
+        # A cut link is counted once per cell of its hub there, so by hub here.
+        edges = asked.filter("_k > 1").groupBy("hub").agg(F.first("_cut").alias("_cut")).agg(F.coalesce(F.sum("_cut"), F.lit(0))).first()[0]
+        cut_edges.append(edges)
+        if not edges or quiet == QUIET:
+            settled.append(asked.filter("_k > 1").select("hub", "start", "shard"))
+            break
+        moves = F.col("_goal") != F.col("shard")
+        wants = asked.filter(moves).groupBy("shard", "_goal").agg(F.sum("load").alias("load")).collect()  # one row per pair of shards
+        share = admitted({(r["shard"], r["_goal"]): r["load"] for r in wants}, [q + slack - x for q, x in zip(room, load, strict=True)])
+        lot = F.pmod(F.xxhash64("hub", F.lit(turn), F.lit(2)), F.lit(1 << 20)) / float(1 << 20)
+        goes = moves & (lot < F.get(F.array(*[F.lit(x) for x in share]), F.col("_goal")))
+        after = F.when(goes, F.col("_goal")).otherwise(F.col("shard"))
+        cells = cut(asked.filter("_k > 1").select("hub", "start", "load", "n", after.alias("shard"), F.col("shard").alias("_from")), "cells")
+        moved = cells.filter("shard != _from").groupBy("shard", "_from").agg(F.sum("load").alias("load")).collect()
+        for r in moved:
+            load[r["shard"]] += r["load"]
+            load[r["_from"]] -= r["load"]
+        cells = cells.drop("_from")
+        quiet = 0 if moved else quiet + 1
+        turn += 1
+    out = settled[0]
+    for part in settled[1:]:
+        out = out.unionByName(part)
+    return out, cut_edges, load
+
+
 def labels(every: DataFrame, shards: int, quota: float, total: int) -> DataFrame:
     """``every`` with _label, the shard meant for the document, and _side, its place in the shard's order."""
     spark = every.sparkSession
-    hubs = cut(every.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"), F.sum("load").alias("_load")), "hubs")
+    hubs = cut(every.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"), F.sum("load").alias("_load")).filter("_n > 1 OR _load > 1"), "hubs")
     # Fewer than PIECE * shards hubs are large; fewer than HOT_SHARE have more rows than a join key should.
     large = (F.col("_load") > 1) & ((F.col("_load") * PIECE > F.lit(quota)) | (F.col("_n") * HOT_SHARE > F.lit(total)))
     pieces, room = pack([(r["hub"], r["_load"]) for r in hubs.filter(large).collect()], shards, quota)
@@ -78,25 +144,27 @@ def labels(every: DataFrame, shards: int, quota: float, total: int) -> DataFrame
         upto = [sum(share for _, share in own[: i + 1]) for i in range(len(own))]
         ends.append((hub, [s for s, _ in own], upto[:-1]))
     ends = F.broadcast(spark.createDataFrame(ends, "hub string, _shards array<int>, _ends array<double>"))
-    side = F.when(F.pmod("node", F.lit(2)) == 0, 0).otherwise(4)  # unlinked documents stand at both ends of a shard
-    placed = every.join(ends, "hub", "left")
+    start = F.pmod(F.xxhash64("doc_id", "node"), F.lit(shards)).cast("int")
+    placed = every.join(ends, "hub", "left").withColumn("start", start)
     top = placed.filter("_shards IS NOT NULL")
     u = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
     top = top.withColumns({"_label": F.get("_shards", F.size(F.filter("_ends", lambda e: e <= u))), "_side": F.lit(2)})
-    small = hubs.filter(~large).withColumn("_single", F.col("_n") == 1)
-    small = cut(running_total(small, [F.col("_single"), F.xxhash64("hub"), F.col("hub")], F.col("_load"), "hub-order"), "small-hubs")
-    loads = {r["_single"]: r["load"] for r in small.groupBy("_single").agg(F.sum("_load").alias("load")).collect()}
-    several, single = loads.get(False, 0), loads.get(True, 0)
-    middle = F.col("_before") + F.col("_load") / 2
-    of_several = _share_of(middle / F.lit(float(several or 1)), room)
-    for r in small.filter("NOT _single").groupBy(of_several.alias("s")).agg(F.sum("_load").alias("load")).collect():  # one row per shard
-        room[r["s"]] = max(0.0, room[r["s"]] - r["load"])
-    of_single = _share_of((middle - several) / F.lit(float(single or 1)), room)
-    small = small.select("hub", "_single", F.when(F.col("_single"), of_single).otherwise(of_several).alias("_label"))
+    linked = hubs.filter(~large & (F.col("_n") > 1)).select("hub")
+    below = placed.filter("_shards IS NULL")
+    cells = below.groupBy("hub", "start").agg(F.sum("load").alias("load"), F.count(F.lit(1)).alias("n")).join(linked, "hub")
+    found, _, load = propagate(cells.withColumn("shard", F.col("start")), shards, room, quota / PIECE)
+    room = [max(0.0, free - own) for free, own in zip(room, load, strict=True)]
+    rest = cut(below.join(found.withColumnRenamed("shard", "_label"), ["hub", "start"], "left").drop("start", "_shards", "_ends"), "linked")
+    # Documents without links follow each other into what is free, in proportion.
+    single = running_total(rest.filter("_label IS NULL"), [F.xxhash64("node"), F.col("node")], F.col("load"), "single-order")
+    amount = rest.filter("_label IS NULL").agg(F.sum("load")).first()[0]
+    at = (F.col("_before") + F.col("load") / 2) / F.lit(float(amount or 1))
+    side = F.when(F.pmod("node", F.lit(2)) == 0, 0).otherwise(4)  # they stand at both ends of a shard
     half = F.when(F.pmod(F.xxhash64("hub", F.lit(2)), F.lit(2)) == 0, 1).otherwise(3)
-    rest = placed.filter("_shards IS NULL").join(small, "hub").withColumn("_side", F.when(F.col("_single"), side).otherwise(half))
+    single = single.withColumns({"_label": _share_of(at, room), "_side": side})
+    rest = rest.filter("_label IS NOT NULL").withColumn("_side", half)
     names = [*every.columns, "_label", "_side"]
-    return top.select(names).unionByName(rest.select(names))
+    return top.select(names).unionByName(rest.select(names)).unionByName(single.select(names))
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, law: str = "rows") -> DataFrame:
