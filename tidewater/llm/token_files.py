@@ -99,7 +99,8 @@ class Encoder:
             (plain if w.isalpha() or w.decode().isalpha() else other).append(w)
         for lo in range(0, len(plain), 4096):
             part = plain[lo : lo + 4096]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
+            (found,) = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)  # without offsets
+            ids = np.array(found.ids, np.uint32)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(part) and ends[-1] == len(ids):  # one pre-token for each word
                 self._put(part, ids, np.diff(ends, prepend=0))
@@ -200,9 +201,12 @@ def count_ids(encoded: DataFrame, kind: str) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                ids = np.frombuffer(b"".join(batch.column(0).slice(lo, 500).to_pylist()), kind)
-                c = np.bincount(ids, minlength=len(total))
+            column = batch.column(0).cast(pa.large_binary())
+            ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+            size = np.dtype(kind).itemsize
+            every = np.frombuffer(column.buffers()[2], kind, int(ends[-1] - ends[0]) // size, int(ends[0])) if ends[-1] else np.zeros(0, kind)
+            for lo in range(0, len(every), 1 << 20):
+                c = np.bincount(every[lo : lo + (1 << 20)], minlength=len(total))
                 total = c + np.pad(total, (0, len(c) - len(total)))
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "c"])
