@@ -31,6 +31,10 @@ FIT_ROWS = 20_000
 MAX_WORDS = 200_000
 MAX_GRAMS = 200_000
 LONGEST = 4
+#: Bytes of text handled at once: n-grams take some hundred bytes of memory for each.
+SLICE = 1 << 18
+#: Rows handed on at once.
+BATCH_ROWS = 500
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
@@ -109,7 +113,7 @@ class Model:
 
     def predict(self, column: pa.Array) -> tuple[list[str], list[float]]:
         names, scores = [], []
-        for _, _, data, offsets in kernel.text_slices(column):
+        for _, _, data, offsets in kernel.text_slices(column, SLICE):
             w = letter_words(data, offsets)
             n = w.counts
             if not self.langs:
@@ -136,7 +140,7 @@ def _counts(rows: DataFrame, langs: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang = np.array([number[x] for x in batch.column(1).to_pylist()], np.int64)
-            for lo, hi, data, offsets in kernel.text_slices(batch.column(0)):
+            for lo, hi, data, offsets in kernel.text_slices(batch.column(0), SLICE):
                 w = letter_words(data, offsets)
                 of_word = np.repeat(lang[lo:hi], w.counts)
                 every = np.arange(len(w.hashes))
@@ -184,14 +188,22 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = MAX_WORD
     return Model(langs, table([0], max_words)[0], [by[n] for n in range(1, LONGEST + 1)])
 
 
-def identify(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` has one struct column ``row`` with a ``text``; adds lang_pred and score (0 to 1)."""
+def identify(rows: DataFrame, model: Model, least_score: float | None = None) -> DataFrame:
+    """``rows`` has one struct column ``row`` with a ``text``; adds lang_pred and score (0 to 1).
+
+    With ``least_score``, rows without a language or with a lower score are left out.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = shared.value.predict(batch.column(0).field("text"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(lo, BATCH_ROWS)
+                names, scores = shared.value.predict(batch.column(0).field("text"))
+                out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
+                if least_score is not None:
+                    out = out.filter(pa.array([x != UNKNOWN and s >= least_score for x, s in zip(names, scores, strict=True)], pa.bool_()))
+                yield out
 
     kind = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, kind)
