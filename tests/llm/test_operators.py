@@ -143,7 +143,7 @@ def test_feistel_is_a_permutation(spark):
 
 
 def test_near_duplicates(spark, clashing, nothing, documents):
-    for df in (clashing.filter("doc_id IS NOT NULL AND doc_id <> 18"), documents):
+    for df in (clashing.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), documents):
         want = brute.near(pairs(df))
         got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dups.group_near(df).collect()}
         assert got == want
@@ -158,6 +158,48 @@ def test_near_duplicates_with_repeated_and_null_ids(clashing):
     assert all(r.component_id == r.doc_id for r in got if r.n_shingles == 0)
 
 
+def test_near_duplicates_where_an_id_has_several_texts(spark):
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, say(1)), (5, say(2)), (5, say(3)), (9, say(3) + " more"), (9, say(3) + " more"), (12, ""), (5, None), (5, say(2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dups.group_near(docs).collect()}
+    assert got == {(1, 56): (1, True), (5, 56): (5, True), (9, 57): (5, False), (12, 0): (12, True), (5, 0): (5, True)}
+    left = sorted(tuple(r) for r in near_dups.one_of_each(docs).select("doc_id", F.coalesce("text", F.lit(""))).collect())
+    assert left == sorted([(1, say(1)), (5, say(2)), (5, say(3)), (12, ""), (5, "")])
+
+
+def test_one_row_of_each_group_stays(clashing, nothing, documents):
+    for df in (clashing, documents):
+        once = sorted({(d, t or "") for d, t in pairs(df) if d is not None})
+        want = brute.near(list(enumerate(t for _, t in once)))
+        left = near_dups.one_of_each(df)
+        got = [(r.doc_id, r.text or "") for r in left.collect() if r.doc_id is not None]
+        assert left.columns == df.columns
+        groups = Counter(want[once.index(x)][1] for x in got if brute.shingles(x[1]))
+        assert set(groups) == {c for n, c, _ in want.values() if n} and set(groups.values()) == {1}
+        assert all(x[0] == once[want[once.index(x)][1]][0] for x in got)  # the smallest doc_id of its group
+        assert Counter(x for x in got if not brute.shingles(x[1])) == Counter((d, t or "") for d, t in pairs(df) if d is not None and not brute.shingles(t))
+    assert near_dups.one_of_each(nothing).collect() == []
+
+
+@pytest.mark.parametrize("part", [near_dups.PART, 4000])
+def test_near_duplicates_of_a_dense_group(spark, monkeypatch, part):
+    """Copies of one text with so many changes that few pairs are just above the threshold, most just below."""
+    monkeypatch.setattr(near_dups, "PART", part)
+    rng = np.random.default_rng(12)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for d in range(240):
+        words = list(base)
+        for at in rng.choice(200, int(rng.integers(1, 8)), replace=False):
+            words[at] = f"n{d}c{at}"
+        rows.append((1000 - d, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute.near(sorted(rows))
+    assert 2 < len({c for _, c, _ in want.values()}) < 200
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dups.group_near(docs).collect()} == want
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(i, i + 1) for i in range(300, 360)] + [(500, 500 + i) for i in range(1, 80)]

@@ -10,19 +10,22 @@ that two sets agree in a register with a probability equal to their Jaccard simi
 3. Sets in such buckets get a finer sketch of 2048 registers, of each of which one bit is kept, drawn from the smallest
    hash and the number of the register. Half of what is different agrees by chance; so corrected, the agreement
    estimates the similarity with a standard deviation below 0.018 at 0.75.
-4. First pairs: of the smallest sets of its buckets each set takes the one that agrees best. Links give components. This
-   is done twice, the second time between components only.
-5. Remaining pairs: in each bucket, sets of different components, whatever their number, that agree well enough. They are
-   enumerated from the sets outside the bucket's largest component, so a bucket full of copies gives none.
-6. Whole registers, again corrected for those that agree by chance, sort out pairs once more; full sets decide every
-   link. The final components are those of all links.
+4. First pairs: each set takes, of one drawn set of each of its buckets, the one that agrees best. Whole registers, corrected
+   for those that agree by chance, sort out pairs once more; full sets decide. Links give components. This is done
+   twice, with new draws and between components only the second time.
+5. Remaining pairs: buckets that still hold several components are compared inside tasks, block against block, each set
+   outside the bucket's largest component with all others. A pair passes sizes, fine bits, corrected registers and last
+   the full sets; a link joins the components at once, so a bucket gives at most one link fewer than it has components.
+   Pairs never become rows. A bucket full of copies gives none; work in a bucket grows with the square of the
+   components near the threshold, the rows moved with its size (and its number of blocks of ``PART`` shingles).
+6. The final components are those of all links.
 
 Links between sets of one component that were not compared cannot change a component.
 
 Cases: a NULL or empty text, and one without words, has no shingles and is linked with nothing. With fewer than five words
-the whole sequence is the one shingle. Rows with the same doc_id are one node: each row is returned, with the
-component of its own set. A NULL doc_id is linked with nothing. An empty table gives an empty result. Only doc_id and
-text are read.
+the whole sequence is the one shingle. Sets, not ids, are the nodes: rows with the same doc_id and different texts have
+the component of their own text each. A NULL doc_id is linked with nothing. An empty table gives an empty result. Only
+doc_id and text are read. ``one_of_each`` keeps, of rows of one group with the same smallest doc_id, one row.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +56,8 @@ SLACK, SMALL = 0.19, 0.6
 FINE_BITS = 11
 #: Of the fine estimate at 0.75; four standard deviations are let through.
 FINE_DEVIATION, FINE_SIGMAS = 0.018, 4
+#: Shingles of a block: its full sets take 16 MB.
+PART = 1 << 21
 
 K = 1 << BUCKET_BITS
 _random = np.random.default_rng(20240)
@@ -142,42 +148,51 @@ def may_link(a: str, b: str) -> Column:
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (agreement(a, b) >= PERCENT / 100 - FINE_SIGMAS * FINE_DEVIATION)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, digest (of the full set), sketch, bands."""
+def digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def sketches(docs: DataFrame, *carried: str) -> DataFrame:
+    """One row per document row: doc_id, n_shingles, digest (of the full set), bands, and the ``carried`` columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digests, regs, bands = [], [], [], []
+            n, digests, bands = [], [], []
             for s in shingle_sets(batch.column(1)):
                 n.append(len(s))
-                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                r = registers(s) if len(s) else None
-                regs.append(None if r is None else r.tobytes())
-                bands.append(None if r is None else band_keys(r))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "sketch", "bands"],
-            )
+                digests.append(digest(s))
+                bands.append(band_keys(registers(s)) if len(s) else None)
+            made = [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[2:]], ["doc_id", "n_shingles", "digest", "bands", *carried])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sketch binary, bands array<long>")
+    kinds = dict(docs.dtypes)
+    more = "".join(f", {c} {kinds[c]}" for c in carried)
+    return docs.select("doc_id", "text", *carried).mapInArrow(run, f"doc_id {kinds['doc_id']}, n_shingles long, digest binary, bands array<long>{more}")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, n, shingles, f0 ..) of the documents named in ``ids`` (doc_id): full set and fine sketch."""
+    """(node, n, sketch, shingles, f0 ..) of the documents named in ``ids`` (doc_id): digest, sketch, full set, fine sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                sets = list(shingle_sets(part.column(1)))
-                bits = [fine_bits(s) if len(s) else np.zeros(len(FINE), np.int64) for s in sets]
-                fine = [pa.array(c) for c in np.array(bits).T.copy()]
-                n = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), n, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), *fine], ["doc_id", "n", "shingles", *FINE])
-
-    kind = f"doc_id {dict(docs.dtypes)['doc_id']}, n long, shingles array<long>, " + ", ".join(f"{f} long" for f in FINE)
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(run, kind)
+                sets = [s for s in shingle_sets(batch.slice(lo, 500).column(0)) if len(s)]
+                if not sets:
+                    continue
+                fine = [pa.array(c) for c in np.array([fine_bits(s) for s in sets]).T.copy()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([digest(s) for s in sets], pa.binary()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([registers(s).tobytes() for s in sets], pa.binary()),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        *fine,
+                    ],
+                    ["node", "n", "sketch", "shingles", *FINE],
+                )
+
+    kind = "node binary, n long, sketch binary, shingles array<long>, " + ", ".join(f"{f} long" for f in FINE)
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").mapInArrow(run, kind)
 
 
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -188,115 +203,241 @@ def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (exact[0] * exact[1]).sum(axis=1) / (1 << MANTISSA)
 
 
-def estimated(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sketches (doc_id, n, sketch) make the similarity likely, after correction for chance."""
+def likely(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether sketches (rows of registers) of sets of sizes n and m make the similarity likely, corrected for chance."""
+    by_chance = chance(n, m)
+    est = ((x == y).mean(axis=1) - by_chance) / (1 - by_chance)
+    return est >= PERCENT / 100 - SLACK - SMALL / np.sqrt(np.minimum(n, m))
+
+
+def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets (node, n, sketch) that are ``likely``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, K) for c in ("sa", "sb"))
-            na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
-            by_chance = chance(na, nb)
-            est = ((x == y).mean(axis=1) - by_chance) / (1 - by_chance)
-            good = pa.array(est >= PERCENT / 100 - SLACK - SMALL / np.sqrt(np.minimum(na, nb)))
+            good = pa.array(likely(x, y, *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
-    kind = dict(pairs.dtypes)["a"]
-    one = sketch.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    other = sketch.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    other = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "na", "nb", "sa", "sb")
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets (doc_id, shingles) have the similarity."""
-    one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa"))
-    other = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb"))
+    """The pairs (a, b) whose full sets (node, shingles) have the similarity."""
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
+    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
     both = pairs.join(one, "a").join(other, "b")
     same = F.size(F.array_intersect("xa", "xb"))
     return both.filter(100 * same >= PERCENT * (F.size("xa") + F.size("xb") - same)).select("a", "b")
 
 
 def bucket_members(sk: DataFrame) -> DataFrame:
-    """(key, node): the different sets in every bucket that holds at least two; node is the smallest doc_id of a set."""
-    rows = sk.select("doc_id", F.xxhash64("digest").alias("d"), F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("d").alias("_lo"), F.max("d").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    """(key, node, n): the different sets in every bucket that holds at least two; node is the digest of a set."""
+    rows = sk.select("digest", "n_shingles", F.explode("bands").alias("key"))
+    d = F.xxhash64("digest")  # tells the sets of one bucket apart
+    buckets = rows.groupBy("key").agg(F.min(d).alias("_lo"), F.max(d).alias("_hi"), F.count(F.lit(1)).alias("_n"))
     buckets = cut(buckets.filter("_lo != _hi").select("key", "_n"), "buckets")
     inside = attach(rows, buckets, "key", "_n", sk.count() * BANDS)
-    return inside.groupBy("key", "d").agg(F.min("doc_id").alias("node")).select("key", "node")
+    return inside.select("key", F.col("digest").alias("node"), F.col("n_shingles").alias("n")).distinct()
 
 
-def _side(members: DataFrame, fine: DataFrame, name: str, *more: str) -> DataFrame:
-    """(key, name, name_n, name_f0 .., name_<more>) of bucket members; ``fine`` has a row for each set."""
-    own = [F.col(c).alias(f"{name}_{c}") for c in ("n", *FINE)]
-    wanted = [c for c in more if c in fine.columns]
-    found = members.join(fine.select(F.col("doc_id").alias("node"), "n", *FINE, *wanted), "node")
-    return found.select("key", F.col("node").alias(name), *own, *[F.col(c).alias(f"{name}_{c}") for c in more])
+def _side(members: DataFrame, sets: DataFrame, name: str, *more: str) -> DataFrame:
+    """(key, name, name_n, name_f0 .., name_<more>) of bucket members; ``sets`` has a row for each set."""
+    found = members.select("key", "node", *more).join(sets.select("node", "n", *FINE), "node")
+    return found.select("key", F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", *FINE, *more)])
 
 
-def best_heads(members: DataFrame, fine: DataFrame, total: int) -> DataFrame:
-    """For each set the one it agrees with best among the heads (smallest sets) of its buckets: (a, b), at most one per b.
+def best_heads(members: DataFrame, sets: DataFrame, total: int, draw: int) -> DataFrame:
+    """For each set the one it agrees with best among the heads of its buckets: (a, b), at most one per b.
 
-    ``members`` (key, node, comp) has a component for each set; heads of the same component are left out.
+    A head is drawn from the sets of a bucket by hash, anew for each ``draw``. ``members`` (key, node, comp) has a
+    component for each set; heads of the same component are left out.
     """
-    heads = members.groupBy("key").agg(F.min(F.struct("node", "comp")).alias("h"), F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+    heads = members.groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(draw)).alias("lot"), "node", "comp")).alias("h"),
+        F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
+    )
     heads = heads.filter("_lo != _hi").select("key", "_n", F.col("h.node").alias("node"), F.col("h.comp").alias("comp"))
-    heads = cut(_side(heads, fine, "a", "comp", "_n").withColumnRenamed("a__n", "_n"), "bucket-heads")
-    pairs = attach(_side(members, fine, "b", "comp"), heads, "key", "_n", total)
+    heads = cut(_side(heads, sets, "a", "comp", "_n").withColumnRenamed("a__n", "_n"), "bucket-heads")
+    pairs = attach(_side(members, sets, "b", "comp"), heads, "key", "_n", total)
     pairs = pairs.filter((F.col("a_comp") != F.col("b_comp")) & may_link("a", "b"))
-    best = pairs.groupBy("b").agg(F.max(F.struct(agreement("a", "b").alias("s"), (-F.col("a")).alias("a"))).alias("x"))
-    return best.select((-F.col("x.a")).alias("a"), "b")
+    best = pairs.groupBy("b").agg(F.min(F.struct((-agreement("a", "b")).alias("s"), "a")).alias("x"))
+    return best.select(F.col("x.a").alias("a"), "b")
+
+
+class Block:
+    """Bucket members as arrays, one entry (row) for each."""
+
+    def __init__(self, node, comp, main, block, n, sketch, fine, shingles):
+        self.node, self.comp, self.main, self.block, self.n, self.sketch, self.fine, self.shingles = node, comp, main, block, n, sketch, fine, shingles
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> Block:
+        get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+        values, ends = batch.column("shingles").values.to_numpy().view(np.uint64), batch.column("shingles").offsets.to_numpy()
+        return Block(
+            batch.column("node").to_pylist(), batch.column("comp").to_pylist(), get("main"), get("block"), get("n"),
+            np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, K),
+            np.stack([get(f).view(np.uint64) for f in FINE], axis=1), [values[a:b] for a, b in pairwise(ends.tolist())],
+        )
+
+    def rows(self, a: int, b: int) -> Block:
+        return Block(*(x[a:b] for x in vars(self).values()))
+
+    @staticmethod
+    def joined(parts: list[Block]) -> Block:
+        if len(parts) == 1:
+            return parts[0]
+        columns = zip(*(vars(p).values() for p in parts), strict=True)
+        return Block(*([y for x in c for y in x] if isinstance(c[0], list) else np.concatenate(c) for c in columns))
+
+    def links(self, key: int, i: int, k: int) -> Iterator[tuple[bytes, bytes]]:
+        """Confirmed links of sets outside the main component in block i with those of block k, one for each two components."""
+        root = {c: c for c in self.comp}
+
+        def find(c: bytes) -> bytes:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        right = np.flatnonzero(self.block == k)
+        bands: dict[int, np.ndarray] = {}
+        for x in np.flatnonzero((self.block == i) & ~self.main).tolist():
+            y = right[self.main[right] | (right > x)] if i == k else right
+            n, m = self.n[x], self.n[y]
+            y = y[100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)]
+            differ = np.bitwise_count(self.fine[y] ^ self.fine[x]).sum(axis=1, dtype=np.int64)
+            y = y[1 - differ * (2.0 / (1 << FINE_BITS)) >= PERCENT / 100 - FINE_SIGMAS * FINE_DEVIATION]
+            if len(y):
+                y = y[likely(self.sketch[y], self.sketch[x], self.n[y], np.full(len(y), n))]
+            for z in y.tolist():
+                a, b = find(self.comp[x]), find(self.comp[z])
+                if a == b:
+                    continue
+                for at in (x, z):
+                    if at not in bands:
+                        bands[at] = band_keys(self.sketch[at])
+                if bands[x][bands[x] == bands[z]].min(initial=key) < key:
+                    continue  # the pair meets in another bucket
+                same = len(np.intersect1d(self.shingles[x], self.shingles[z], assume_unique=True))
+                if 100 * same >= PERCENT * (int(n) + int(self.n[z]) - same):
+                    root[max(a, b)] = min(a, b)
+                    yield self.node[x], self.node[z]
+
+
+def other_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) that join the components inside each bucket; ``members`` has (key, node, n, comp)."""
+    shares = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_c"), F.sum("n").alias("_w"))
+    largest = F.max(F.struct("_c", "comp", "_w"))
+    mixed = shares.groupBy("key").agg(largest.alias("_l"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_n"), F.sum("_w").alias("_w"))
+    mixed = mixed.filter("_k > 1").select("key", F.col("_l.comp").alias("_main"), "_n", (F.col("_w") - F.col("_l._w")).alias("_others"), F.col("_l._w").alias("_same"))
+    inside = attach(members, cut(mixed, "mixed-buckets"), "key", "_n", members.count())
+    # Sets outside the main component lie in blocks 0 .. xs - 1, those of the main component in the blocks after; where
+    # all fit one block there is only that. Each block of the first kind meets itself and all blocks after it.
+    main, one = F.col("comp") == F.col("_main"), F.col("_others") + F.col("_same") <= PART
+    xs = F.when(one, 1).otherwise(F.ceil(F.col("_others") / PART)).cast("int")
+    ms = F.when(one, 0).otherwise(F.ceil(F.col("_same") / PART)).cast("int")
+    of = lambda count: F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(count, F.lit(1))).cast("int")
+    inside = inside.select("key", "node", "comp", main.alias("main"), xs.alias("_xs"), ms.alias("_ms"), F.when(main & ~one, xs + of(ms)).otherwise(of(xs)).alias("block"))
+    every = F.sequence(F.lit(0), F.col("_xs") + F.col("_ms") - 1)
+    met = F.filter(every, lambda j: (j < F.col("_xs")) | (F.col("block") < F.col("_xs")))
+    inside = inside.withColumn("_j", F.explode(met)).withColumn("i", F.least("block", "_j")).withColumn("k", F.greatest("block", "_j"))
+    full = inside.select("key", "i", "k", "block", "main", "node", "comp").join(sets, "node")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Block] = []
+        mark: tuple[int, int, int] = (0, 0, 0)
+
+        def out(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[c] for p in found], pa.binary()) for c in (0, 1)], ["a", "b"])
 
-def other_pairs(members: DataFrame, fine: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components that may be linked: distinct (a, b)."""
-    shares = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_c"))
-    mixed = shares.groupBy("key").agg(F.max_by("comp", F.struct("_c", "comp")).alias("main"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_n"))
-    mixed = cut(mixed.filter("_k > 1").drop("_k"), "mixed-buckets")
-    inside = cut(attach(members, mixed, "key", "_n", members.count()), "mixed-members")
-    x = _side(inside.filter("comp != main"), fine, "x", "comp", "bands")
-    y = _side(inside, fine, "y", "comp", "bands", "main")
-    once = (F.col("y_comp") == F.col("y_main")) | (F.col("x") < F.col("y"))
-    # A pair that shares several buckets comes out of the first one only, in which both orders may meet.
-    first = F.col("key") == F.array_min(F.array_intersect("x_bands", "y_bands"))
-    both = x.join(y, "key").filter((F.col("x_comp") != F.col("y_comp")) & once & may_link("x", "y") & first)
-    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found: list[tuple[bytes, bytes]] = []
+            ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "k")])
+            begins = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+            rows = Block.of(batch)
+            for a, b in pairwise([0, *begins.tolist(), batch.num_rows]):
+                here = tuple(ids[:, a].tolist())
+                if held and here != mark:
+                    found += Block.joined(held).links(*mark)
+                    held = []
+                mark = here
+                held.append(rows.rows(a, b))
+            yield out(found)
+        if held:
+            yield out(list(Block.joined(held).links(*mark)))
+
+    return full.repartition("key", "i", "k").sortWithinPartitions("key", "i", "k").mapInArrow(run, "a binary, b binary")
 
 
 def in_components(members: DataFrame, comp: DataFrame) -> DataFrame:
     side = comp.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
     out = members.join(side, F.col("node") == F.col("_node"), "left")
-    return cut(out.select("key", "node", F.coalesce("_comp", "node").alias("comp")), "bucket-components")
+    return cut(out.select("key", "node", "n", F.coalesce("_comp", "node").alias("comp")), "bucket-components")
 
 
-def links(docs: DataFrame, sk: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between sets (named by their smallest doc_id) whose components are those of all links."""
+def links(docs: DataFrame, sk: DataFrame, classes: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between sets (named by their digests) whose components are those of all links."""
     members = cut(bucket_members(sk), "bucket-members")
     total = members.count()
-    ids = cut(members.select(F.col("node").alias("doc_id")).distinct(), "bucket-ids")
-    sketch = sk.select("doc_id", F.col("n_shingles").alias("n"), "sketch", "bands").join(ids, "doc_id", "left_semi")
-    sketch = cut(sketch.dropDuplicates(["doc_id"]), "sketches")
-    sets = cut(full_sets(docs, ids).dropDuplicates(["doc_id"]), "sets")
+    nodes = members.select(F.col("node").alias("digest")).distinct()
+    ids = classes.join(nodes, "digest", "left_semi").select(F.col("_rep").alias("doc_id")).distinct()
+    sets = cut(full_sets(docs, ids).dropDuplicates(["node"]), "sets")
     known, placed = None, members.withColumn("comp", F.col("node"))
-    for _ in range(2):
-        new = confirmed(estimated(cut(best_heads(placed, sets, total), "head-pairs"), sketch), sets)
+    for draw in range(2):
+        new = confirmed(estimated(cut(best_heads(placed, sets, total, draw), "head-pairs"), sets), sets)
         known = cut(new if known is None else known.unionByName(new), "head-links")
         placed = in_components(members, components(known))
-    banded = sets.drop("shingles").join(sketch.select("doc_id", "bands"), "doc_id")
-    rest = estimated(cut(other_pairs(placed, banded), "other-pairs"), sketch)
-    return known.unionByName(confirmed(rest, sets))
+    return known.unionByName(other_links(placed, sets))
+
+
+def grouped(docs: DataFrame, *carried: str) -> DataFrame:
+    """One row per document row: doc_id, n_shingles, component_id, kept, the ``carried`` columns, and comp, which names the
+    component also where an id has several texts."""
+    sk = cut(sketches(docs, *carried), "near-sketches")
+    known = sk.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = cut(known.groupBy("digest").agg(F.min("doc_id").alias("_rep"), F.count(F.lit(1)).alias("_n")), "near-sets")
+    comp = components(links(docs, known, classes))
+    named = cut(comp.join(classes.withColumnRenamed("digest", "node"), "node").select("node", "comp", "_rep"), "named-sets")
+    least = cut(named.groupBy("comp").agg(F.min("_rep").alias("component_id"), F.count(F.lit(1)).alias("_n")), "component-ids")
+    side = attach(named.select("node", "comp"), least, "comp", "_n", named.count()).select("node", "comp", "component_id")
+    classes = classes.join(side, F.col("digest") == F.col("node"), "left")
+    classes = classes.select("digest", F.coalesce("component_id", "_rep").alias("component_id"), F.coalesce("comp", "digest").alias("comp"), "_n")
+    out = attach(known.select("doc_id", "n_shingles", "digest", *carried), cut(classes, "near-classes"), "digest", "_n", known.count())
+    alone = sk.filter("n_shingles = 0 OR doc_id IS NULL").withColumn("component_id", F.col("doc_id")).withColumn("comp", F.lit(None).cast("binary"))
+    names = ["doc_id", "n_shingles", "component_id", "comp", *carried]
+    return out.select(names).unionByName(alone.select(names)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def group_near(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
-    sk = cut(sketches(docs), "near-sketches")
-    known = sk.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    comp = components(links(docs, known))
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("_rep"), F.count(F.lit(1)).alias("_n"))
-    side = comp.select(F.col("node").alias("_node"), "comp")
-    classes = cut(classes.join(side, F.col("_rep") == F.col("_node"), "left").select("digest", F.coalesce("comp", "_rep").alias("component_id"), "_n"), "near-classes")
-    out = attach(known.select("doc_id", "n_shingles", "digest"), classes, "digest", "_n", known.count())
-    alone = sk.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = out.select("doc_id", "n_shingles", "component_id").unionByName(alone)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return grouped(docs).drop("comp")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates; rows that are linked with nothing stay.
+
+    The row with the smallest doc_id stays; of several such rows that with the smallest hash of its text, of equal texts any one.
+    """
+    key = F.xxhash64("text")  # tells the texts of one doc_id apart
+    found = cut(grouped(docs.select("doc_id", "text", key.alias("_key")), "_key").filter("comp IS NOT NULL"), "near-groups")
+    found = found.withColumnRenamed("doc_id", "_id")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), key.alias("_key"))
+    rows = rows.join(found.filter("NOT kept").select("_id", "_key").distinct(), ["_id", "_key"], "left_anti")
+    kept = found.filter("kept")
+    twice = kept.groupBy("_id", "comp").agg(F.min("_key").alias("_best"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    twice = cut(twice, "near-repeated")
+    if twice.take(1):
+        worse = kept.join(twice, ["_id", "comp"]).filter("_key <> _best").select("_id", "_key").distinct()
+        best = twice.select("_id", F.col("_best").alias("_key"))
+        again = rows.join(best, ["_id", "_key"]).groupBy("_id", "_key").agg(F.first("_row").alias("_row"))
+        rows = rows.join(worse.unionByName(best), ["_id", "_key"], "left_anti").select("_row").unionByName(again.select("_row"))
+    return rows.select("_row.*")
