@@ -17,31 +17,35 @@ LEAST_SCORE = 0.5
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with some certainty; the model learns from labelled rows outside a fifth."""
+    """Documents whose language is known with some certainty; the model learns from labelled rows outside a fifth.
+
+    Documents without text or letters go. Rows are independent, so ties and repeated rows need no rule.
+    """
     model = lang_id.fit(lang_id.training_rows(docs))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    found = lang_id.identify(rows, model)
-    return found.filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return lang_id.identify(rows, model, LEAST_SCORE).select("row.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id."""
-    dropped = near_dups.group_near(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near-duplicates: the one with the smallest doc_id, and one row of it.
+
+    Two different texts under one doc_id are two documents. Documents without words or without a doc_id stay.
+    """
+    return near_dups.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; those without words stay, repeated rows are treated alike."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; NULL is a source, repeated rows have copies of their own."""
     return mixture.mix(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document row."""
+    """Shard and slot of every document row, NULL ids and texts included."""
     return shards.assign(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
