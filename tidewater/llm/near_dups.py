@@ -14,10 +14,11 @@ that two sets agree in a register with a probability equal to their Jaccard simi
    for those that agree by chance, sort out pairs once more; full sets decide. Links give components. This is done
    twice, with new draws and between components only the second time.
 5. Remaining pairs: buckets that still hold several components are compared inside tasks, block against block, each set
-   outside the bucket's largest component with all others. A pair passes sizes, fine bits, corrected registers and last
-   the full sets; a link joins the components at once, so a bucket gives at most one link fewer than it has components.
-   Pairs never become rows. A bucket full of copies gives none; work in a bucket grows with the square of the
-   components near the threshold, the rows moved with its size (and its number of blocks of ``PART`` shingles).
+   outside the bucket's largest component with all others. A pair passes sizes, fine bits and corrected registers in its
+   first common bucket; only sets in such pairs are sent there as a whole, and compared in the same way; a link joins
+   the components at once, so a bucket gives at most one link fewer than it has components. Pairs never become rows. A
+   bucket full of copies gives none; work in a bucket grows with the square of the components near the threshold, the
+   rows moved with its size (and its number of blocks of ``PART`` shingles).
 6. The final components are those of all links.
 
 Links between sets of one component that were not compared cannot change a component.
@@ -31,7 +32,7 @@ doc_id and text are read. ``one_of_each`` keeps, of rows of one group with the s
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import pairwise
 
@@ -279,11 +280,14 @@ class Block:
     @staticmethod
     def of(batch: pa.RecordBatch) -> Block:
         get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
-        values, ends = batch.column("shingles").values.to_numpy().view(np.uint64), batch.column("shingles").offsets.to_numpy()
+        sets: list[np.ndarray | None] = [None] * batch.num_rows
+        if "shingles" in batch.schema.names:
+            values, ends = batch.column("shingles").values.to_numpy().view(np.uint64), batch.column("shingles").offsets.to_numpy()
+            sets = [values[a:b] for a, b in pairwise(ends.tolist())]
         return Block(
             batch.column("node").to_pylist(), batch.column("comp").to_pylist(), get("main"), get("block"), get("n"),
             np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, K),
-            np.stack([get(f).view(np.uint64) for f in FINE], axis=1), [values[a:b] for a, b in pairwise(ends.tolist())],
+            np.stack([get(f).view(np.uint64) for f in FINE], axis=1), sets,
         )
 
     def rows(self, a: int, b: int) -> Block:
@@ -296,16 +300,8 @@ class Block:
         columns = zip(*(vars(p).values() for p in parts), strict=True)
         return Block(*([y for x in c for y in x] if isinstance(c[0], list) else np.concatenate(c) for c in columns))
 
-    def links(self, key: int, i: int, k: int) -> Iterator[tuple[bytes, bytes]]:
-        """Confirmed links of sets outside the main component in block i with those of block k, one for each two components."""
-        root = {c: c for c in self.comp}
-
-        def find(c: bytes) -> bytes:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
+    def pairs(self, key: int, i: int, k: int) -> Iterator[tuple[int, int]]:
+        """Rows of block i outside the main component with rows of block k that may be linked and meet in no smaller bucket."""
         right = np.flatnonzero(self.block == k)
         bands: dict[int, np.ndarray] = {}
         for x in np.flatnonzero((self.block == i) & ~self.main).tolist():
@@ -317,65 +313,95 @@ class Block:
             if len(y):
                 y = y[likely(self.sketch[y], self.sketch[x], self.n[y], np.full(len(y), n))]
             for z in y.tolist():
-                a, b = find(self.comp[x]), find(self.comp[z])
-                if a == b:
+                if self.comp[x] == self.comp[z]:
                     continue
                 for at in (x, z):
                     if at not in bands:
                         bands[at] = band_keys(self.sketch[at])
-                if bands[x][bands[x] == bands[z]].min(initial=key) < key:
-                    continue  # the pair meets in another bucket
+                if bands[x][bands[x] == bands[z]].min(initial=key) == key:
+                    yield x, z
+
+    def candidates(self, *mark: int) -> Iterator[tuple]:
+        """(key, i, k, block, main, node, comp) of the rows in any of ``pairs``."""
+        for x in sorted({x for pair in self.pairs(*mark) for x in pair}):
+            yield (*mark, int(self.block[x]), bool(self.main[x]), self.node[x], self.comp[x])
+
+    def links(self, *mark: int) -> Iterator[tuple]:
+        """The (node, node) of ``pairs`` whose full sets have the similarity, as far as they join components."""
+        root = {c: c for c in self.comp}
+
+        def find(c: bytes) -> bytes:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        for x, z in self.pairs(*mark):
+            a, b = find(self.comp[x]), find(self.comp[z])
+            if a != b:
                 same = len(np.intersect1d(self.shingles[x], self.shingles[z], assume_unique=True))
-                if 100 * same >= PERCENT * (int(n) + int(self.n[z]) - same):
+                if 100 * same >= PERCENT * (int(self.n[x]) + int(self.n[z]) - same):
                     root[max(a, b)] = min(a, b)
                     yield self.node[x], self.node[z]
 
 
-def other_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) that join the components inside each bucket; ``members`` has (key, node, n, comp)."""
-    shares = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_c"), F.sum("n").alias("_w"))
-    largest = F.max(F.struct("_c", "comp", "_w"))
-    mixed = shares.groupBy("key").agg(largest.alias("_l"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_n"), F.sum("_w").alias("_w"))
-    mixed = mixed.filter("_k > 1").select("key", F.col("_l.comp").alias("_main"), "_n", (F.col("_w") - F.col("_l._w")).alias("_others"), F.col("_l._w").alias("_same"))
-    inside = attach(members, cut(mixed, "mixed-buckets"), "key", "_n", members.count())
-    # Sets outside the main component lie in blocks 0 .. xs - 1, those of the main component in the blocks after; where
-    # all fit one block there is only that. Each block of the first kind meets itself and all blocks after it.
-    main, one = F.col("comp") == F.col("_main"), F.col("_others") + F.col("_same") <= PART
-    xs = F.when(one, 1).otherwise(F.ceil(F.col("_others") / PART)).cast("int")
-    ms = F.when(one, 0).otherwise(F.ceil(F.col("_same") / PART)).cast("int")
-    of = lambda count: F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(count, F.lit(1))).cast("int")
-    inside = inside.select("key", "node", "comp", main.alias("main"), xs.alias("_xs"), ms.alias("_ms"), F.when(main & ~one, xs + of(ms)).otherwise(of(xs)).alias("block"))
-    every = F.sequence(F.lit(0), F.col("_xs") + F.col("_ms") - 1)
-    met = F.filter(every, lambda j: (j < F.col("_xs")) | (F.col("block") < F.col("_xs")))
-    inside = inside.withColumn("_j", F.explode(met)).withColumn("i", F.least("block", "_j")).withColumn("k", F.greatest("block", "_j"))
-    full = inside.select("key", "i", "k", "block", "main", "node", "comp").join(sets, "node")
+MARKED = ["key", "i", "k", "block", "main", "node", "comp"]
+
+
+def by_block(rows: DataFrame, handle: Callable[..., Iterator[tuple]], names: list[str], kinds: list[pa.DataType], sql: str) -> DataFrame:
+    """What ``handle(block, key, i, k)`` gives for the rows of each (key, i, k); ``rows`` has MARKED and sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Block] = []
-        mark: tuple[int, int, int] = (0, 0, 0)
+        mark: tuple[int, ...] = ()
 
-        def out(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([p[c] for p in found], pa.binary()) for c in (0, 1)], ["a", "b"])
+        def out(found: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], kind) for c, kind in enumerate(kinds)], names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found: list[tuple[bytes, bytes]] = []
+            found: list[tuple] = []
             ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "k")])
             begins = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
-            rows = Block.of(batch)
+            every = Block.of(batch)
             for a, b in pairwise([0, *begins.tolist(), batch.num_rows]):
                 here = tuple(ids[:, a].tolist())
                 if held and here != mark:
-                    found += Block.joined(held).links(*mark)
+                    found += handle(Block.joined(held), *mark)
                     held = []
                 mark = here
-                held.append(rows.rows(a, b))
+                held.append(every.rows(a, b))
             yield out(found)
         if held:
-            yield out(list(Block.joined(held).links(*mark)))
+            yield out(list(handle(Block.joined(held), *mark)))
+
+    return rows.repartition("key", "i", "k").sortWithinPartitions("key", "i", "k").mapInArrow(run, sql)
 
-    return full.repartition("key", "i", "k").sortWithinPartitions("key", "i", "k").mapInArrow(run, "a binary, b binary")
+
+def other_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) that join the components inside each bucket; ``members`` has (key, node, n, comp)."""
+    shares = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_c"), F.sum("n").alias("_w"))
+    largest = F.max(F.struct("_c", "comp", "_w"))
+    mixed = shares.groupBy("key").agg(largest.alias("_l"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_n"), F.sum("_w").alias("_w"))
+    mixed = mixed.filter("_k > 1").select("key", F.col("_l.comp").alias("_main"), "_n", (F.col("_w") - F.col("_l._w")).alias("_others"), F.col("_l._w").alias("_same"))
+    inside = attach(members, cut(mixed, "mixed-buckets"), "key", "_n", members.count())
+    # Sets outside the main component lie in blocks 0 .. xs - 1, those of the main component in the blocks after; where
+    # all fit one block there is only that. Each block of the first kind meets itself and all blocks after it.
+    main, one = F.col("comp") == F.col("_main"), F.col("_others") + F.col("_same") <= PART
+    xs = F.when(one, 1).otherwise(F.ceil(F.col("_others") / PART)).cast("int")
+    ms = F.when(one, 0).otherwise(F.ceil(F.col("_same") / PART)).cast("int")
+    of = lambda count: F.pmod(F.xxhash64("node", F.lit(5)), F.greatest(count, F.lit(1))).cast("int")
+    inside = inside.select("key", "node", "comp", main.alias("main"), xs.alias("_xs"), ms.alias("_ms"), F.when(main & ~one, xs + of(ms)).otherwise(of(xs)).alias("block"))
+    every = F.sequence(F.lit(0), F.col("_xs") + F.col("_ms") - 1)
+    blocks = F.filter(every, lambda j: (j < F.col("_xs")) | (F.col("block") < F.col("_xs")))
+    inside = inside.withColumn("_j", F.explode(blocks)).withColumn("i", F.least("block", "_j")).withColumn("k", F.greatest("block", "_j"))
+    sketched = inside.select(MARKED).join(sets.select("node", "n", "sketch", *FINE), "node")
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+    sql = "key long, i int, k int, block int, main boolean, node binary, comp binary"
+    met = cut(by_block(sketched, Block.candidates, MARKED, kinds, sql), "candidates")
+    # Full sets go only to buckets where they have a candidate.
+    return by_block(met.join(sets, "node"), Block.links, ["a", "b"], [pa.binary()] * 2, "a binary, b binary")
 
 
 def in_components(members: DataFrame, comp: DataFrame) -> DataFrame:
