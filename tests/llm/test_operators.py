@@ -719,3 +719,20 @@ def test_removal(clashing, items):
     cut = decontaminate.decontaminate(clashing, items, "spans")
     assert cut.count() == clashing.count()
     assert not any(r.contaminated for r in decontaminate.contamination(cut.filter("doc_id <> 15"), items).collect())
+
+
+def test_keys_that_stand_alone_and_unwanted_texts_stay_behind(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k), int(d), i) for i, (k, d) in enumerate(zip(rng.integers(0, 400, 600), rng.integers(0, 3, 600), strict=True))]
+    df = spark.createDataFrame(rows, "key long, d long, i long")
+    order = ["key", "d", "i"]
+    for parts in (1, 5):
+        placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("key", "d")
+        got = {tuple(r) for r in near_dups.shared(placed).collect()}
+        sets = {k: {d for x, d, _ in rows if x == k} for k, _, _ in rows}
+        want = {(k, d) for k, s in sets.items() if len(s) > 1 for d in s}
+        ends = 2 * parts
+        assert want <= got <= {(k, d) for k, d, _ in rows} and len(got - want) <= ends
+    wanted = df.filter("i % 50 = 0").select("i")
+    found = near_dups.marked(df, wanted, "i")
+    assert {r.i for r in found.collect()} == {i for i in range(600) if i % 50 == 0} and found.columns == df.columns

@@ -6,11 +6,13 @@ into 128 buckets, and a register keeps, of the smallest hash of its bucket, the
 that two sets agree in a register with a probability equal to their Jaccard similarity, at any size.
 
 1. Bands: 64 keys of five registers each. Two sets of similarity 0.75 share no key with a probability near 1e-5.
-2. Documents with equal sets are one class from here on; a bucket counts only when it holds two different sets.
-3. Sets in such buckets get a finer sketch of 2048 registers, of each of which one bit is kept, drawn from the smallest
+2. Documents with equal sets are one class from here on; a bucket counts only when it holds two different sets. Band keys
+   are sorted over ranges, where a key that stands alone is passed over, so each is moved once, with a hash of its set.
+3. Sets in such buckets are built again from one text each, which a bit map of bounded size finds where it lies. They get a finer sketch of 2048 registers, of each of which one bit is kept, drawn from the smallest
    hash and the number of the register. Half of what is different agrees by chance; so corrected, the agreement
    estimates the similarity with a standard deviation below 0.018 at 0.75.
-4. First pairs: each set takes, of one drawn set of each of its buckets, the one that agrees best. Whole registers, corrected
+4. First pairs: each set takes, of one drawn set of each of its buckets, the one that agrees best; a pair that shares
+   several buckets is compared once. Whole registers, corrected
    for those that agree by chance, sort out pairs once more; full sets decide. Links give components. This is done
    twice, with new draws and between components only the second time.
 5. Remaining pairs: buckets that still hold several components are compared inside tasks, block against block, each set
@@ -59,6 +61,8 @@ FINE_BITS = 11
 FINE_DEVIATION, FINE_SIGMAS = 0.018, 4
 #: Shingles of a block: its full sets take 16 MB.
 PART = 1 << 21
+#: Bits of the map of wanted rows: 8 MB. What it lets through by chance is sorted out by a join.
+MARKS = 1 << 26
 
 K = 1 << BUCKET_BITS
 _random = np.random.default_rng(20240)
@@ -171,8 +175,24 @@ def sketches(docs: DataFrame, *carried: str) -> DataFrame:
     return docs.select("doc_id", "text", *carried).mapInArrow(run, f"doc_id {kinds['doc_id']}, n_shingles long, digest binary, bands array<long>{more}")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(node, n, sketch, shingles, f0 ..) of the documents named in ``ids`` (doc_id): digest, sketch, full set, fine sketch."""
+def marked(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """The ``rows`` with ``keys`` of ``wanted`` (one row for each), NULL keys left out; what is not wanted mostly stays where it is.
+
+    Hashes of the wanted keys make a bit map, which is broadcast; the join after it moves only what passes.
+    """
+    spot = F.pmod(F.xxhash64(*keys), F.lit(MARKS))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits")
+    marks = wanted.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(bits)
+    near = rows.withColumn("_bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(marks), "_bucket")
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = near.filter(F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1)
+    return near.join(wanted, list(keys)).select(rows.columns)  # Spark would move a semi join below the bit map
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, sketch, shingles, f0 ..) of the texts of ``docs`` (doc_id, _text, text) that are ``wanted`` (doc_id, _text, one row for
+    each): digest, sketch, full set, fine sketch. ``_text`` tells the texts of one doc_id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,7 +213,8 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 )
 
     kind = "node binary, n long, sketch binary, shingles array<long>, " + ", ".join(f"{f} long" for f in FINE)
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").mapInArrow(run, kind)
+    once = marked(docs.select("doc_id", "_text", "text"), wanted, "doc_id", "_text").dropDuplicates(["doc_id", "_text"])
+    return once.select("text").mapInArrow(run, kind)
 
 
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -229,28 +250,47 @@ def estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets (node, shingles) have the similarity."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
-    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
+    """The pairs (a, b) whose full sets (node, shingles) have the similarity. ``pairs`` are read more than once and should be cut."""
+    one = marked(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), pairs.select("a").distinct(), "a")
+    other = marked(sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), pairs.select("b").distinct(), "b")
     both = pairs.join(one, "a").join(other, "b")
     same = F.size(F.array_intersect("xa", "xb"))
     return both.filter(100 * same >= PERCENT * (F.size("xa") + F.size("xb") - same)).select("a", "b")
 
 
-def bucket_members(sk: DataFrame) -> DataFrame:
-    """(key, node, n): the different sets in every bucket that holds at least two; node is the digest of a set."""
-    rows = sk.select("digest", "n_shingles", F.explode("bands").alias("key"))
-    d = F.xxhash64("digest")  # tells the sets of one bucket apart
-    buckets = rows.groupBy("key").agg(F.min(d).alias("_lo"), F.max(d).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    buckets = cut(buckets.filter("_lo != _hi").select("key", "_n"), "buckets")
-    inside = attach(rows, buckets, "key", "_n", sk.count() * BANDS)
-    return inside.select("key", F.col("digest").alias("node"), F.col("n_shingles").alias("n")).distinct()
+def shared(rows: DataFrame) -> DataFrame:
+    """Of rows (key, d), sorted by both inside each partition, those with a neighbour of the same key and another d, once each. The
+    first and the last row of a partition, whose neighbours are elsewhere, always stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give = lambda x: pa.RecordBatch.from_arrays([pa.array(c) for c in x], ["key", "d"])
+        held, stays = np.empty((2, 0), np.int64), True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.concatenate([held, np.stack([batch.column(c).to_numpy() for c in ("key", "d")])], axis=1)
+            x = x[:, np.append(True, (x[:, 1:] != x[:, :-1]).any(axis=0))]
+            met = x[0, 1:] == x[0, :-1]
+            good = np.append(False, met) | np.append(met, False)
+            good[0] |= stays
+            held, stays = x[:, -1:], bool(good[-1])
+            yield give(x[:, :-1][:, good[:-1]])
+        if held.size:
+            yield give(held)
+
+    return rows.mapInArrow(run, "key long, d long")
+
 
+def bucket_members(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, node, n): the different sets in every bucket that holds at least two, and a few that are alone; node is the digest of a set.
 
-def _side(members: DataFrame, sets: DataFrame, name: str, *more: str) -> DataFrame:
-    """(key, name, name_n, name_f0 .., name_<more>) of bucket members; ``sets`` has a row for each set."""
-    found = members.select("key", "node", *more).join(sets.select("node", "n", *FINE), "node")
-    return found.select("key", F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", *FINE, *more)])
+    The keys of copies differ in doc_id, so that many copies lie in many ranges.
+    """
+    d = F.xxhash64("digest").alias("d")  # tells the sets of one bucket apart
+    order = ["key", "d", "doc_id"]
+    rows = known.select(F.explode("bands").alias("key"), d, "doc_id").repartitionByRange(*order).sortWithinPartitions(*order)
+    sets = classes.select(d, F.col("digest").alias("node"), "n")
+    return shared(rows.select("key", "d")).distinct().join(sets, "d").select("key", "node", "n")
 
 
 def best_heads(members: DataFrame, sets: DataFrame, total: int, draw: int) -> DataFrame:
@@ -263,10 +303,12 @@ def best_heads(members: DataFrame, sets: DataFrame, total: int, draw: int) -> Da
         F.min(F.struct(F.xxhash64("node", F.lit(draw)).alias("lot"), "node", "comp")).alias("h"),
         F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
     )
-    heads = heads.filter("_lo != _hi").select("key", "_n", F.col("h.node").alias("node"), F.col("h.comp").alias("comp"))
-    heads = cut(_side(heads, sets, "a", "comp", "_n").withColumnRenamed("a__n", "_n"), "bucket-heads")
-    pairs = attach(_side(members, sets, "b", "comp"), heads, "key", "_n", total)
-    pairs = pairs.filter((F.col("a_comp") != F.col("b_comp")) & may_link("a", "b"))
+    heads = heads.filter("_lo != _hi").select("key", "_n", F.col("h.node").alias("a"), F.col("h.comp").alias("a_comp"))
+    met = attach(members.select("key", F.col("node").alias("b"), "comp"), cut(heads, "bucket-heads"), "key", "_n", total)
+    met = cut(met.filter("a_comp != comp").select("a", "b").distinct(), "head-meetings")
+    side = lambda name: sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", *FINE)])
+    drawn = cut(met.groupBy("a").agg(F.count(F.lit(1)).alias("_n")).join(side("a"), "a"), "drawn-sets")
+    pairs = attach(met, drawn, "a", "_n", met.count()).join(side("b"), "b").filter(may_link("a", "b"))
     best = pairs.groupBy("b").agg(F.min(F.struct((-agreement("a", "b")).alias("s"), "a")).alias("x"))
     return best.select(F.col("x.a").alias("a"), "b")
 
@@ -401,7 +443,8 @@ def other_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     sql = "key long, i int, k int, block int, main boolean, node binary, comp binary"
     met = cut(by_block(sketched, Block.candidates, MARKED, kinds, sql), "candidates")
     # Full sets go only to buckets where they have a candidate.
-    return by_block(met.join(sets, "node"), Block.links, ["a", "b"], [pa.binary()] * 2, "a binary, b binary")
+    found = marked(sets, met.select("node").distinct(), "node")
+    return by_block(met.join(found, "node"), Block.links, ["a", "b"], [pa.binary()] * 2, "a binary, b binary")
 
 
 def in_components(members: DataFrame, comp: DataFrame) -> DataFrame:
@@ -410,28 +453,32 @@ def in_components(members: DataFrame, comp: DataFrame) -> DataFrame:
     return cut(out.select("key", "node", "n", F.coalesce("_comp", "node").alias("comp")), "bucket-components")
 
 
-def links(docs: DataFrame, sk: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
     """Confirmed links (a, b) between sets (named by their digests) whose components are those of all links."""
-    members = cut(bucket_members(sk), "bucket-members")
+    members = cut(bucket_members(known, classes), "bucket-members")
     total = members.count()
     nodes = members.select(F.col("node").alias("digest")).distinct()
-    ids = classes.join(nodes, "digest", "left_semi").select(F.col("_rep").alias("doc_id")).distinct()
-    sets = cut(full_sets(docs, ids).dropDuplicates(["node"]), "sets")
-    known, placed = None, members.withColumn("comp", F.col("node"))
+    wanted = classes.join(nodes, "digest", "left_semi").select("_rep.doc_id", "_rep._text")
+    sets = cut(full_sets(docs, cut(wanted, "wanted-texts")), "sets")
+    found, placed = None, members.withColumn("comp", F.col("node"))
     for draw in range(2):
-        new = confirmed(estimated(cut(best_heads(placed, sets, total, draw), "head-pairs"), sets), sets)
-        known = cut(new if known is None else known.unionByName(new), "head-links")
-        placed = in_components(members, components(known))
-    return known.unionByName(other_links(placed, sets))
+        pairs = estimated(cut(best_heads(placed, sets, total, draw), "head-pairs"), sets)
+        new = confirmed(cut(pairs, "likely-pairs"), sets)
+        found = cut(new if found is None else found.unionByName(new), "head-links")
+        placed = in_components(members, components(found))
+    return found.unionByName(other_links(placed, sets))
 
 
 def grouped(docs: DataFrame, *carried: str) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept, the ``carried`` columns, and comp, which names the
     component also where an id has several texts."""
-    sk = cut(sketches(docs, *carried), "near-sketches")
+    docs = docs.withColumn("_text", F.xxhash64("text"))  # tells the texts of one doc_id apart
+    sk = cut(sketches(docs, "_text", *carried), "near-sketches")
     known = sk.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut(known.groupBy("digest").agg(F.min("doc_id").alias("_rep"), F.count(F.lit(1)).alias("_n")), "near-sets")
+    first = F.min(F.struct("doc_id", "_text")).alias("_rep")
+    classes = cut(known.groupBy("digest").agg(first, F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("_n")), "near-sets")
     comp = components(links(docs, known, classes))
+    classes = classes.withColumn("_rep", F.col("_rep.doc_id"))
     named = cut(comp.join(classes.withColumnRenamed("digest", "node"), "node").select("node", "comp", "_rep"), "named-sets")
     least = cut(named.groupBy("comp").agg(F.min("_rep").alias("component_id"), F.count(F.lit(1)).alias("_n")), "component-ids")
     side = attach(named.select("node", "comp"), least, "comp", "_n", named.count()).select("node", "comp", "component_id")
