@@ -95,3 +95,19 @@ def test_files_roll_by_size_pause_and_age(spark):
     for r in lines:
         sizes[r.w, r.file] += len(r.value) + 1
     assert max(sizes.values()) <= 300 + 50 and len(sizes) > 20
+
+
+@pytest.mark.parametrize("steady", [True, False])
+def test_files_of_large_writers_roll_in_ranges(spark, steady):
+    """Writers cut into ranges have the files of writers numbered whole; times may go back, be absent, and writers be NULL."""
+    rng = random.Random(7)
+    rows, t = [], 0
+    for i in range(1500):
+        t += 4000 if rng.random() < 0.01 else rng.randrange(60) - (0 if steady else 25)
+        rows.append((i, None if i % 5 == 4 else i % 2, None if rng.random() < 0.05 or i < 40 else at(t + 10**6), rng.randrange(1, 40)))
+    df = spark.createDataFrame(rows, "i long, w long, ts timestamp_ntz, n long").repartition(4)
+    args = (df, "w", ["i"], "ts", F.col("n"), 300, "1 hour", "30 minutes")
+    want = {r.i: r.file for r in files.rolled(*args).collect()}
+    ranged = files.rolled(*args, SkewPolicy(rows_per_task=100))
+    assert {r.i: r.file for r in ranged.collect()} == want and len(set(want.values())) > 30
+    assert "_chunk" not in ranged.columns and "ExistingRDD" in ranged._jdf.queryExecution().toString()
