@@ -3,6 +3,7 @@
 import hashlib
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -721,6 +722,23 @@ def test_removal(clashing, items):
     assert not any(r.contaminated for r in decontaminate.contamination(cut.filter("doc_id <> 15"), items).collect())
 
 
+def test_memory_of_shingle_sets_does_not_follow_the_batch(monkeypatch):
+    texts = [" ".join(f"w{k}x{i}" for i in range(300)) for k in range(2500)]
+    monkeypatch.setattr(kernel, "_powers", {})
+    peak = {}
+    tracemalloc.start()
+    try:
+        assert all(len(s) == 296 for s in near_dups.shingle_sets(pa.array(texts)))
+        peak["sets"] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        near_dups.asks.__wrapped__(near_dups.FINE_BITS)
+        peak["asks"] = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert peak["sets"] < 40e6 and peak["asks"] < 30e6, peak
+
+
 def test_keys_that_stand_alone_and_unwanted_texts_stay_behind(spark):
     rng = np.random.default_rng(3)
     rows = [(int(k), int(d), i) for i, (k, d) in enumerate(zip(rng.integers(0, 400, 600), rng.integers(0, 3, 600), strict=True))]

@@ -59,6 +59,8 @@ SLACK, SMALL = 0.19, 0.6
 FINE_BITS = 11
 #: Of the fine estimate at 0.75; four standard deviations are let through.
 FINE_DEVIATION, FINE_SIGMAS = 0.018, 4
+#: Bytes of text handled at once: words and shingles take some sixty bytes of memory for each.
+SLICE = 1 << 18
 #: Shingles of a block: its full sets take 16 MB.
 PART = 1 << 21
 #: Bits of the map of wanted rows: 8 MB. What it lets through by chance is sorted out by a join.
@@ -74,14 +76,15 @@ TRIES = 24
 def asks(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each of 2**bits buckets: the priority it gives to the others, and the first it asks."""
     priority = np.random.default_rng(bits).random((1 << bits, 1 << bits), np.float32)
-    first = np.argpartition(priority, TRIES, axis=1)[:, :TRIES]
+    # A few rows at once: the order of all columns takes twice their memory.
+    first = np.concatenate([np.argpartition(p, TRIES, axis=1)[:, :TRIES].copy() for p in np.split(priority, 16)])
     order = np.argsort(np.take_along_axis(priority, first, axis=1), axis=1)
     return priority, np.take_along_axis(first, order, axis=1)
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    for lo, hi, data, offsets in kernel.text_slices(column):
+    for _, _, data, offsets in kernel.text_slices(column, SLICE):
         w = kernel.byte_words(data, offsets, kernel.NOT_SPACE)
         grams = kernel.gram_hashes(w.hashes, WORDS)
         for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
