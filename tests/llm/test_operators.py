@@ -6,6 +6,7 @@ import time
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -739,6 +740,23 @@ def test_memory_of_shingle_sets_does_not_follow_the_batch(monkeypatch):
     assert peak["sets"] < 40e6 and peak["asks"] < 30e6, peak
 
 
+def test_memory_of_a_scan_for_windows_does_not_follow_the_batch(monkeypatch):
+    texts = [" ".join(f"w{k}x{i}" for i in range(300)) for k in range(2500)]
+    known = decontaminate.HashSet([(" ".join(f"w7x{i}" for i in range(10, 20)), 10, "a"), ("w9x4 w9x5", 2, "b")])
+    rows = pa.StructArray.from_arrays([pa.array(texts)], ["text"])
+    nothing = [pa.nulls(len(texts), kind) for kind in (pa.binary(), pa.list_(pa.string()))]
+    batch = pa.RecordBatch.from_arrays([rows, *nothing], ["row", "spans", "items"])
+    monkeypatch.setattr(kernel, "_powers", {})
+    tracemalloc.start()
+    try:
+        (out,) = decontaminate._scan(SimpleNamespace(value=known))(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert {k: x for k, x in enumerate(out.column("items").to_pylist()) if x} == {7: ["a"], 9: ["b"]}
+    assert set(out.column("n_words").to_pylist()) == {300} and peak < 40e6, peak
+
+
 def test_keys_that_stand_alone_and_unwanted_texts_stay_behind(spark):
     rng = np.random.default_rng(3)
     rows = [(int(k), int(d), i) for i, (k, d) in enumerate(zip(rng.integers(0, 400, 600), rng.integers(0, 3, 600), strict=True))]

@@ -25,6 +25,8 @@ from tidewater.llm.common import cut, running_total
 
 WINDOW = 10
 BLOCK_ROWS = 200_000  # (window, item) rows per broadcast: some 60 MB in a Python worker
+#: Bytes of text handled at once: words and windows take some sixty bytes of memory for each.
+SLICE = 1 << 18
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -97,7 +99,7 @@ def _scan(shared) -> object:
             text = rows.field("text")
             had = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             n_words, spans, items = [], [], []
-            for lo, hi, data, offsets in kernel.text_slices(text):
+            for lo, hi, data, offsets in kernel.text_slices(text, SLICE):
                 w = kernel.byte_words(data, offsets, kernel.ALNUM)
                 cover: dict[int, list[tuple[int, int]]] = {}
                 found: dict[int, set[str]] = {}
