@@ -228,3 +228,76 @@ def test_slices_of_several_files_are_one_micro_batch_each(spark, sf, monkeypatch
     span = (every[-1] - every[0]) // stream_queries.SLICES + 1
     assert [seen[k] for k in sorted(seen)] == [[s for s in every if (s - every[0]) // span == k] for k in range(stream_queries.SLICES)]
     assert min(parts.values()) > 1
+
+
+def _clicks(spark, rows_):
+    """A stream of (user_id, ad_id, minute, seq), a micro-batch for each list, and a row that moves the watermark to the end."""
+    zero = dt.datetime(2024, 1, 1)
+    schema = "user_id long, ad_id long, ts timestamp, seq long, batch long"
+    all_ = [(u, a, zero + dt.timedelta(minutes=m), s, b) for b, part in enumerate(rows_) for u, a, m, s in part]
+    all_.append((-1, None, zero + dt.timedelta(days=400), 10**9, len(rows_)))
+    df = spark.createDataFrame(all_, schema)
+    return replay(df, "batch", len(rows_) + 1).withWatermark("ts", "1 hour")
+
+
+def _limited(rows_, limit):
+    """One by one: the first ``limit`` rows of a key and day are kept, the next gives a warning."""
+    seen, want = Counter(), Counter()
+    for u, a, m, s in sorted((r for part in rows_ for r in part), key=lambda r: (r[2], r[3])):
+        key = u, a, (m + 480) // 1440
+        seen[key] += 1
+        if seen[key] <= limit + 1:
+            want[u, a, s, "kept" if seen[key] <= limit else "warning"] += 1
+    return want
+
+
+@pytest.mark.parametrize(("limit", "pool"), [(1, 16_384), (2, 3)])
+def test_keys_beside_a_null_stay_what_they_are(spark, limit, pool):
+    """A NULL in a part of a key changes no other key, whatever Arrow batch they share; large numbers stay exact."""
+    big = 2**53 + 1
+    rows_ = [[(big + i % 4, [0, 1, None][i % 3], base * 2880 + i * 37 % 2880, base * 100 + i) for i in range(60)] for base in range(3)]
+    processor = P.ClickLimit(limit)
+    processor.pool_rows, processor.part_rows = pool, 2
+    out = drain(run_ordered(_clicks(spark, rows_), ["user_id", "ad_id"], "ts", "seq", processor)).filter("user_id >= 0")
+    assert Counter(tuple(r) for r in out.select("user_id", "ad_id", "seq", "tag").collect()) == _limited(rows_, limit)
+
+
+def test_state_follows_groups_not_keys(spark):
+    """Calls of the state store do not grow with the number of keys: all keys of a group are one row of state."""
+    rows_ = [[(i % 200, i % 5, base * 1440 + i * 7 % 1440, base * 1000 + i) for i in range(400)] for base in range(2)]
+    stream = run_ordered(_clicks(spark, rows_), ["user_id", "ad_id"], "ts", "seq", P.ClickLimit(1), groups=4)
+    query = stream.writeStream.format("memory").queryName("grouped").option("checkpointLocation", scratch_path(spark, "cp"))
+    query = query.outputMode("append").trigger(availableNow=True).start()
+    assert query.awaitTermination(240)
+    assert max(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"]) <= 3 * 4  # a few values a group
+    got = Counter(tuple(r) for r in spark.table("grouped").filter("user_id >= 0").select("user_id", "ad_id", "seq", "tag").collect())
+    assert got == _limited(rows_, 1)
+
+
+def test_keys_of_other_types(spark):
+    """Dates, texts and small numbers as keys, NULLs among them, keep type and value."""
+    days = [dt.date(2024, 1, 1), None, dt.date(1960, 2, 3)]
+    rows_ = [(days[i % 3], ["a", "", None][i % 2 + i % 4 // 2], i % 2 == 0, i % 3 / 3, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i) for i in range(40)]
+    df = spark.createDataFrame([*rows_, (None, "end", None, None, dt.datetime(2025, 1, 1), 10**6)], "d date, t string, b boolean, f double, ts timestamp, seq long")
+    keys = ["d", "t", "b", "f"]
+    out = drain(run_ordered(replay(df, "seq", 2).withWatermark("ts", "1 minute"), keys, "ts", "seq", P.RunningCount()))
+    assert out.dtypes[:4] == df.dtypes[:4]
+    seen, want = Counter(), Counter()
+    for *key, _, seq in rows_:
+        seen[tuple(key)] += 1
+        want[(*key, seq, seen[tuple(key)])] += 1
+    assert Counter(tuple(r) for r in out.filter("t IS DISTINCT FROM 'end'").collect()) == want
+
+
+def test_click_limit_is_whole_where_numbers_do_not_follow_time(spark, sf, tmp_path):
+    """The query on events whose numbers begin anew in time, as in a table put together from parts: no click is lost as late."""
+    from tidewater.plans.stream_queries import STREAM_QUERIES
+
+    events = spark.read.parquet(f"{sf}/events.parquet").filter("event_id < 300").drop("props")
+    events = events.withColumn("props", F.format_string('{"k": %d}', F.col("event_id") % 7))
+    parts = [events.withColumn("event_id", F.col("event_id") + 1000 * c).withColumn("user_id", F.col("user_id") + 100 * c) for c in range(3)]
+    parts[0].union(parts[1]).union(parts[2]).write.parquet(f"{tmp_path}/events.parquet")
+    got = Counter(tuple(r) for r in STREAM_QUERIES["stream_click_limit"](spark, str(tmp_path)).select("user_id", "ad_id", "seq", "tag").collect())
+    clicks = spark.read.parquet(f"{tmp_path}/events.parquet").filter("event_type = 'click'").selectExpr("user_id", "event_id % 1000 % 7 % 5", "ts", "event_id")
+    rows_ = [(u, a, int((ts - dt.datetime(2024, 1, 1)).total_seconds() // 60), s) for u, a, ts, s in clicks.collect()]
+    assert got == _limited([sorted(rows_, key=lambda r: r[3])], 1) and sum(got.values()) > 90

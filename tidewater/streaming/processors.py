@@ -221,14 +221,21 @@ class ClickLimit(FrameProcessor):
         self.limit, self.shift = limit, zone_hours * 3_600_000_000
 
     def frame(self, key, state, rows):
-        day = (rows.us + self.shift) // 86_400_000_000  # rises with the rows
-        first = np.searchsorted(day, day)
-        n = np.arange(len(day)) - first
-        if state and state[0] == day[0]:
-            n[first == 0] += state[1]
+        after, _, out = self.frames([key], [state], np.array([0, len(rows)]), rows)
+        return after[0], out
+
+    def frames(self, keys, states, starts, rows):
+        day = (rows.us + self.shift) // 86_400_000_000  # rises with the rows of a key
+        owner = np.repeat(np.arange(len(keys)), np.diff(starts))
+        at = np.arange(len(day))
+        is_first = np.diff(owner, prepend=-1).astype(bool) | np.diff(day, prepend=day[0]).astype(bool)
+        n = at - np.maximum.accumulate(np.where(is_first, at, 0))
+        days, counts = np.array([s or (0, 0) for s in states], np.int64).T
+        n += np.where(day == days[owner], counts[owner], 0)  # the day goes on
         tags = np.where(n < self.limit, "kept", "warning").astype(object)
         said = n <= self.limit
-        return (int(day[-1]), int(n[-1]) + 1), [rows.seq[said], tags[said]]
+        last = starts[1:] - 1
+        return list(zip(day[last].tolist(), (n[last] + 1).tolist(), strict=True)), owner[said], [rows.seq[said], tags[said]]
 
     def deadline(self, state):
         return (state[0] + 1) * 86_400_000_000 - self.shift
