@@ -124,7 +124,8 @@ class Model:
         for t in terms(column, len(self.idf)):
             for lo in range(0, len(t.first) - 1, ROWS):
                 hi = min(lo + ROWS, len(t.first) - 1)
-                yield self._votes(_unit(t.dense(lo, hi, self.idf) @ self.space))
+                votes = self._votes(_unit(t.dense(lo, hi, self.idf) @ self.space))
+                yield np.round(votes, 5)  # products of blocks differ in their last bits
 
     def _votes(self, z: np.ndarray) -> np.ndarray:
         near = z @ self.vectors
@@ -137,7 +138,7 @@ class Model:
         weight = near[row, at].astype(np.float64) ** POWER
         votes = np.bincount(row, weight, len(z))
         good = np.bincount(row, weight * self.labels[at], len(z))
-        return np.round(np.clip((good + PRIOR * self.share) / (votes + PRIOR), 0, 1), 5)  # products of blocks differ in their last bits
+        return np.clip((good + PRIOR * self.share) / (votes + PRIOR), 0, 1)
 
 
 def document_counts(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[int, np.ndarray]:
